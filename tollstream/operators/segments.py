@@ -60,7 +60,8 @@ def _finish(df: DataFrame, minute_col: str, hist_cnt: str, hist_speed: str, prev
     spd = F.coalesce(F.col(hist_speed), F.lit(0))
     lav = F.when(first, F.lit(0)).otherwise(lav_expr(spd, cnt))
     cars = F.when(first, F.lit(0)).otherwise(F.coalesce(F.col(prev_cars), F.lit(0)).cast("int"))
-    return df.withColumn("lav", lav).withColumn("num_vehicles", cars).drop(hist_cnt, hist_speed, prev_cars)
+    keep = [c for c in df.columns if c not in (hist_cnt, hist_speed, prev_cars)]
+    return df.select(*keep, lav.alias("lav"), cars.alias("num_vehicles"))
 
 
 def segment_history(stats: DataFrame, keys: list[str] | None = None, minute_col: str = "minute",
@@ -133,5 +134,5 @@ def enrich(reports: DataFrame, history: DataFrame, keys: list[str] | None = None
     if bounded:
         side = F.broadcast(side)
     j = reports.join(side, [*keys, minute_col], "left")
-    return (j.withColumn("lav", F.coalesce(F.col("lav"), F.lit(0)))
-             .withColumn("num_vehicles", F.coalesce(F.col("num_vehicles"), F.lit(0))))
+    return j.select(*reports.columns, F.coalesce(F.col("lav"), F.lit(0)).alias("lav"),
+                    F.coalesce(F.col("num_vehicles"), F.lit(0)).alias("num_vehicles"))

@@ -52,7 +52,7 @@ def flag_new_segment(reports: DataFrame, order_col: str = ORDER_COL, out: str =
     """
     j = _with_first(reports, first, order_col, vid_col, seg_col)
     flag = (F.col(order_col) == F.col(_FIRST_ORDER)) | (F.col(seg_col) != F.col(_FIRST_SEG))
-    return j.withColumn(out, flag).drop(_FIRST_ORDER, _FIRST_SEG)
+    return j.select(*reports.columns, flag.alias(out))
 
 
 def keep_first_segment(reports: DataFrame, order_col: str = ORDER_COL, vid_col: str = "vid",
@@ -65,4 +65,4 @@ def keep_first_segment(reports: DataFrame, order_col: str = ORDER_COL, vid_col:
     """
     j = _with_first(reports, first, order_col, vid_col, seg_col)
     keep = (F.col(order_col) == F.col(_FIRST_ORDER)) | (F.col(seg_col) == F.col(_FIRST_SEG))
-    return j.where(keep).drop(_FIRST_ORDER, _FIRST_SEG)
+    return j.where(keep).select(*reports.columns)

@@ -24,7 +24,7 @@ from ..operators.segments import segment_history, segment_minute_stats
 from ..operators.vehicle import flag_new_segment, keep_first_segment
 from ..schema import ORDER_COL
 from ..session import scratch_path
-from ..sources.events import TIME_ORIGIN, load_lines, load_reports, load_table
+from ..sources.events import TIME_ORIGIN, load_lines, load_reports, load_table, staged_lines
 from ..sources.json_value import json_value_text
 from ..sources.text import read_lines, write_lines
 from ..streaming.sinks import to_kafka_frame
@@ -41,8 +41,9 @@ LOG_RANGE = ("2024-01-01 00:10:00", "2024-01-01 00:10:10")
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports as the applications see them: CSV lines, strictly parsed."""
-    return parse_reports(load_lines(spark, sf_dir))
+    """Reports as the applications see them: CSV lines from the source,
+    strictly parsed."""
+    return parse_reports(staged_lines(spark, sf_dir))
 
 
 def _fixed_clock() -> Column:
@@ -75,19 +76,19 @@ def q_parse_position_reports(spark, sf_dir):
 
 
 def q_parse_permissive_reports(spark, sf_dir):
-    return parse_reports(load_lines(spark, sf_dir, broken=True), mode="permissive")
+    return parse_reports(staged_lines(spark, sf_dir, broken=True), mode="permissive")
 
 
 def q_parse_rejects(spark, sf_dir):
-    return rejected_lines(load_lines(spark, sf_dir, broken=True))
+    return rejected_lines(staged_lines(spark, sf_dir, broken=True))
 
 
 def q_parse_full_lenient(spark, sf_dir):
-    return parse_full_lenient(load_lines(spark, sf_dir, broken=True))
+    return parse_full_lenient(staged_lines(spark, sf_dir, broken=True))
 
 
 def q_format_full_csv(spark, sf_dir):
-    t = parse_full_lenient(load_lines(spark, sf_dir, broken=True))
+    t = parse_full_lenient(staged_lines(spark, sf_dir, broken=True))
     return t.select(ORDER_COL, full_csv(t).alias("value"))
 
 

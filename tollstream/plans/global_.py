@@ -41,7 +41,7 @@ def toll_notifications_global(parsed: DataFrame, order_col: str = ORDER_COL,
     kept = global_kept(parsed, order_col)
     history = minute_history(segment_minute_stats(kept, keys=[]))
     out = enrich(non_exit(kept), history, keys=[], bounded=time_is_short(kept))
-    out = out.withColumn("toll", toll(F.col("num_vehicles"), F.col("lav")))
+    out = out.select("*", toll(F.col("num_vehicles"), F.col("lav")).alias("toll"))
     cols = [order_col, "vid", "time", "lav", "num_vehicles", "toll"]
     if ingest_ts is not None:
         emit = latency_ms(F.col(emit_ts) if emit_ts else F.current_timestamp(), F.col(ingest_ts))

@@ -51,7 +51,7 @@ def toll_notifications_keyed(parsed: DataFrame, emit_zero: bool = False, order_c
     history = segment_history(segment_minute_stats(reports))
     first = first_reports(reports, order_col)
     candidates = new_segment_only(flag_new_segment(non_exit(reports), order_col, first=first))
-    out = enrich(candidates, history, SEGMENT_KEYS).withColumn("toll", toll(F.col("num_vehicles"), F.col("lav")))
+    out = enrich(candidates, history, SEGMENT_KEYS).select("*", toll(F.col("num_vehicles"), F.col("lav")).alias("toll"))
     if not emit_zero:
         out = nonzero_toll(out)
     cols = [order_col, "vid", "time", "lav", "num_vehicles", "toll"]

@@ -29,8 +29,38 @@ MICROS_PER_REPORT_SECOND = 1440 * 1_000_000
 LANE_BY_EVENT_TYPE = {"click": 0, "view": 1, "purchase": 2, "signup": 3}
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-spread an input that has fewer splits than task slots.
+
+    A large input already has one task per split and is left alone (no
+    shuffle). A small file (one row group is one split) would otherwise run
+    every projection of the plan in a single task. Hash partitioning on
+    ``key`` is deterministic, so a retried task gets the same rows.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, key) if key else df.repartition(slots)
+
+
+# Source DataFrames per session: a DataFrame is an immutable plan, so one
+# scan definition (schema read, split count) serves every query built on it.
+_SOURCES: dict[tuple, DataFrame] = {}
+
+
+def _memo(spark: SparkSession, key: tuple, make) -> DataFrame:
+    full = (spark.sparkContext.applicationId, *key)
+    df = _SOURCES.get(full)
+    if df is None:
+        df = _SOURCES[full] = make()
+    return df
+
+
+def load_table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
+    def make() -> DataFrame:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        return spread(df, spread_key) if spread_key else df
+    return _memo(spark, ("table", sf_dir, name, spread_key), make)
 
 
 def _seg_flag(props: Column) -> Column:
@@ -69,7 +99,7 @@ def reports_from_events(events: DataFrame, with_pos: bool = True) -> DataFrame:
 
 
 def load_reports(spark: SparkSession, sf_dir: str, with_pos: bool = True) -> DataFrame:
-    return reports_from_events(load_table(spark, sf_dir, "events"), with_pos=with_pos)
+    return reports_from_events(load_table(spark, sf_dir, "events", "event_id"), with_pos=with_pos)
 
 
 def report_lines(reports: DataFrame, broken: bool = False) -> DataFrame:
@@ -95,3 +125,23 @@ def report_lines(reports: DataFrame, broken: bool = False) -> DataFrame:
 
 def load_lines(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
     return report_lines(load_reports(spark, sf_dir), broken=broken)
+
+
+def staged_lines(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+    """The report lines as a source table: ``offset, value`` written once per
+    session as parquet under the shared checkpoint folder (a stand-in for the
+    topic or file the lines arrive in), range partitioned on the offset.
+
+    Generated lines are an expression over ``events``; every reference to
+    ``value`` (validity check, split) would re-evaluate it, JSON parse
+    included. A real source delivers them as a column, and so does this.
+    """
+    from ..session import scratch_path
+
+    def make() -> DataFrame:
+        path = scratch_path(spark, "staged-lines")
+        lines = load_lines(spark, sf_dir, broken)
+        n = spark.sparkContext.defaultParallelism
+        lines.repartitionByRange(n, ORDER_COL).write.parquet(path)
+        return spark.read.parquet(path)
+    return _memo(spark, ("lines", sf_dir, broken), make)
