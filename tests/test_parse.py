@@ -1,0 +1,52 @@
+"""Parsing: strict, permissive, lenient; bad lines of the fixture table."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql.utils import AnalysisException  # noqa: F401
+
+from tollstream.functions.parse import parse_full_lenient, parse_reports, rejected_lines
+
+GOOD = "0,40,7,55,1,2,0,13,70000,-1,-1,-1,-1,-1,-1"
+BAD = {
+    "eight_fields": "0,40,7,55,1,2,0,13",
+    "x_speed": "0,40,7,x,1,2,0,13,70000,-1,-1,-1,-1,-1,-1",
+    "time_overflow": "0,40000,7,55,1,2,0,13,70000,-1,-1,-1,-1,-1,-1",
+    "blank_padded": "0,40, 7,55,1,2,0,13,70000,-1,-1,-1,-1,-1,-1",
+}
+
+
+def lines(spark, values):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], "offset long, value string")
+
+
+def test_strict_good_line(spark):
+    r = parse_reports(lines(spark, [GOOD, "+2,32,126,-1,-1,-1,-1,-1,-1,4,-1,-1,-1,-1,-1"])).collect()
+    assert tuple(r[0])[1:] == (0, 40, 7, 55, 1, 2, 0, 13, 70000)
+    assert tuple(r[1])[1:4] == (2, 32, 126)
+    assert parse_reports(lines(spark, [GOOD])).schema["time"].dataType.typeName() == "short"
+
+
+def test_nine_fields_are_enough(spark):
+    assert parse_reports(lines(spark, ["0,1,2,3,4,5,6,7,8"])).count() == 1
+
+
+@pytest.mark.parametrize("name", sorted(BAD))
+def test_strict_raises(spark, name):
+    with pytest.raises(PySparkException):
+        parse_reports(lines(spark, [GOOD, BAD[name]])).collect()
+
+
+def test_permissive_rejects(spark):
+    df = lines(spark, [GOOD, *BAD.values()])
+    assert [r["offset"] for r in parse_reports(df, mode="permissive").collect()] == [0]
+    assert sorted(r["offset"] for r in rejected_lines(df).collect()) == [1, 2, 3, 4]
+
+
+def test_lenient_reads_like_atoi(spark):
+    df = lines(spark, list(BAD.values()) + ["0,,40,7"])
+    out = {r["offset"]: r for r in parse_full_lenient(df).collect()}
+    assert out[0]["seg"] == 13 and out[0]["pos"] == 0          # missing -> 0
+    assert out[1]["speed"] == 0                                  # 'x' -> 0
+    assert out[2]["time"] == 40000                               # int, no short limit
+    assert out[3]["vid"] == 7                                    # leading blank skipped
+    assert (out[4]["time"], out[4]["vid"]) == (40, 7)            # empty token skipped
