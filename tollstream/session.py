@@ -34,6 +34,12 @@ def default_conf(shuffle_partitions: int = 8) -> dict[str, str]:
 def build_session(master: str = "local[8]", app: str = "tollstream",
                   shuffle_partitions: int = 8, driver_memory: str = "8g",
                   extra: dict[str, str] | None = None) -> SparkSession:
+    # Python workers (and the driver-side runners of stateful processors)
+    # inherit the JVM's environment: put this package on their path.
+    parent = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if parent not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([parent, *paths])
     builder = SparkSession.builder.master(master).appName(app)
     conf = default_conf(shuffle_partitions)
     conf["spark.driver.memory"] = driver_memory
@@ -80,3 +86,43 @@ def local_path(path: str) -> str:
 def ensure_dir(path: str) -> str:
     os.makedirs(local_path(path), exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tollstream`` importable in Python workers (stateful processors
+    are pickled by reference). Zips the package into the checkpoint folder
+    and adds it with ``addPyFile``, once per application. When the folder is
+    not a local path the package is expected to be installed on the cluster
+    (``--py-files`` or an environment), and nothing is shipped."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    # Processor classes travel by value, so even a runner started without
+    # the package on its path (the driver-side state schema runner) can
+    # rebuild them.
+    from pyspark import cloudpickle
+
+    from .streaming import exact, vehicle
+    for mod in (vehicle, exact):
+        cloudpickle.register_pickle_by_value(mod)
+    root = checkpoint_root(spark)
+    if "://" in root and not root.startswith("file:"):
+        _SHIPPED.add(sc.applicationId)
+        return
+    import zipfile
+
+    import tollstream
+    pkg_dir = os.path.dirname(os.path.abspath(tollstream.__file__))
+    target = ensure_dir(local_path(scratch_path(spark, "pyfiles")))
+    zpath = os.path.join(target, "tollstream.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
