@@ -226,6 +226,31 @@ def q_throughput_per_second(spark, sf_dir):
     return throughput_per_second(marker_filter(_log(spark, sf_dir), LOG_MARKER))
 
 
+def _stream(spark, sf_dir, app, **kw):
+    from ..streaming.jobs import run_app
+    return run_app(spark, staged_lines(spark, sf_dir), app, **kw).result
+
+
+def q_stream_toll_notifications_keyed(spark, sf_dir):
+    """T1 as a stream, exact arrival-order mode, 4 micro-batches."""
+    return _stream(spark, sf_dir, "keyed", mode="exact")
+
+
+def q_stream_toll_notifications_keyed_window(spark, sf_dir):
+    """T1 as a stream, sliding-window statistics joined to the reports."""
+    return _stream(spark, sf_dir, "keyed", mode="window")
+
+
+def q_stream_toll_notifications_global(spark, sf_dir):
+    """T2 as two chained streams (vehicle stage, then statistics and join)."""
+    return _stream(spark, sf_dir, "global")
+
+
+def q_stream_passthrough_text(spark, sf_dir):
+    """T4 as a stream into the text sink, read back."""
+    return _stream(spark, sf_dir, "text")
+
+
 QUERIES: dict[str, Query] = {
     "position_reports": q_position_reports,
     "parse_position_reports": q_parse_position_reports,
@@ -260,4 +285,8 @@ QUERIES: dict[str, Query] = {
     "log_marker_filter": q_log_marker_filter,
     "log_time_range": q_log_time_range,
     "throughput_per_second": q_throughput_per_second,
+    "stream_toll_notifications_keyed": q_stream_toll_notifications_keyed,
+    "stream_toll_notifications_keyed_window": q_stream_toll_notifications_keyed_window,
+    "stream_toll_notifications_global": q_stream_toll_notifications_global,
+    "stream_passthrough_text": q_stream_passthrough_text,
 }

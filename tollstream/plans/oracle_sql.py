@@ -216,3 +216,9 @@ SQL: dict[str, str] = {
                         '%Y-%m-%d %H:%M:%S') AS second, CAST(count(*) AS BIGINT) AS records
         FROM log WHERE contains(line, 'consume') GROUP BY 1""",
 }
+
+# Streaming forms answer exactly what the batch forms answer on ordered input.
+SQL["stream_toll_notifications_keyed"] = SQL["toll_notifications_keyed"]
+SQL["stream_toll_notifications_keyed_window"] = SQL["toll_notifications_keyed"]
+SQL["stream_toll_notifications_global"] = SQL["toll_notifications_global"]
+SQL["stream_passthrough_text"] = _with(PR, LINES) + "SELECT 'input = [' || value || ']' AS text FROM lines"
