@@ -95,3 +95,19 @@ def test_global_matches_replay(spark, seed):
     got = {r["offset"]: (r["lav"], r["num_vehicles"], r["toll"])
            for r in toll_notifications_global(reports_df(spark, rows)).collect()}
     assert got == replay_global(rows)
+
+
+def test_independent_of_input_order_and_partitioning(spark):
+    rows = random_rows(7, n=6000, vids=400, minutes=10, xways=1, segs=2)
+    want = replay_keyed(rows)
+    shuffled = list(reversed(rows))
+    df = reports_df(spark, shuffled).repartition(5)
+    got = {r["offset"]: (r["lav"], r["num_vehicles"], r["toll"])
+           for r in toll_notifications_keyed(df, emit_zero=True).collect()}
+    assert got == want
+    staged = {r["offset"]: (r["lav"], r["num_vehicles"], r["toll"])
+              for r in toll_notifications_keyed(df, emit_zero=True, materialize=True).collect()}
+    assert staged == want
+    g = {r["offset"]: (r["lav"], r["num_vehicles"], r["toll"])
+         for r in toll_notifications_global(df, materialize=True).collect()}
+    assert g == replay_global(rows)

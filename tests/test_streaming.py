@@ -86,3 +86,55 @@ def test_passthrough_stream_to_text(spark, lines):
     plain = run_app(spark, lines, "text", chunks=2).result
     want = lines.select(F.format_string("input = [%s]", "value").alias("text"))
     assert same(plain, want)
+
+
+def _progress(q):
+    import json
+    return [json.loads(p.json) for p in q.recentProgress]
+
+
+def test_window_mode_waits_for_watermark(spark):
+    # Append mode answers minute m once the watermark (max event time - 1 s)
+    # has passed the window that closes at m's start; later input releases it.
+    schema = "offset long, type int, time smallint, vid int, speed int, xway int, lane int, dir int, seg int, pos int"
+    chunks = [[rep(i, 10 + i, 100 + i, speed=30) for i in range(5)] + [rep(10, 700, 1, speed=30)],
+              [rep(21, 720, 2, speed=30)],
+              [rep(30, 1200, 3, speed=30, seg=9)]]
+    src, out, ck = (scratch_path(spark, n) for n in ("wm-src", "wm-out", "wm-ck"))
+
+    def run():
+        s = read_stream_like(spark, src, "offset long, value string", max_files=1)
+        run_to_completion(toll_stream_keyed(parse_reports(s), mode="window", emit_zero=True), out, ck)
+        return {r["offset"] for r in spark.read.parquet(out).collect()}
+
+    for part in chunks[:2]:
+        write_ordered_chunks(report_lines(spark.createDataFrame(part, schema)), src, 1)
+    assert 21 not in run()                    # minute 13 still open at watermark 719 s
+    write_ordered_chunks(report_lines(spark.createDataFrame(chunks[2], schema)), src, 1)
+    got = run()
+    assert {0, 1, 2, 3, 4, 10, 21} <= got
+
+
+def test_window_state_stays_bounded(spark, lines):
+    src, out = scratch_path(spark, "b-src"), scratch_path(spark, "b-out")
+    write_ordered_chunks(lines, src, 6)
+    s = read_stream_like(spark, src, lines.schema, max_files=1)
+    q = run_to_completion(toll_stream_keyed(parse_reports(s), mode="window"), out)
+    agg = [so["numRowsTotal"] for p in _progress(q) for so in p["stateOperators"]
+           if so["operatorName"] == "stateStoreSave"]
+    # Open windows per segment: the ~5 minutes of a batch plus the 5 windows a
+    # minute feeds plus one; without eviction it would reach 4 x 34 windows.
+    assert agg and max(agg) <= 4 * (5 + 5 + 1)
+
+
+def test_notification_text_sink(spark, lines):
+    from tollstream.streaming.pipelines import notification_text
+    from tollstream.streaming.sinks import text_sink
+    src, out = scratch_path(spark, "n-src"), scratch_path(spark, "n-out")
+    write_ordered_chunks(lines, src, 2)
+    s = read_stream_like(spark, src, lines.schema, max_files=1)
+    q = text_sink(notification_text(toll_stream_keyed(parse_reports(s))), out, trigger="availableNow")
+    q.awaitTermination()
+    texts = [r["value"] for r in spark.read.text(out).collect()]
+    assert len(texts) == 1207
+    assert all(re.match(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3},0,\d+,\d+,0,\d+,\d+$", t) for t in texts)

@@ -18,6 +18,7 @@ from ..operators.filters import non_exit, position_reports
 from ..operators.segments import enrich, minute_history, minute_lav, segment_minute_stats, time_is_short
 from ..operators.vehicle import keep_first_segment
 from ..schema import ORDER_COL
+from ..session import stage_table
 
 
 def global_kept(parsed: DataFrame, order_col: str = ORDER_COL) -> DataFrame:
@@ -37,7 +38,11 @@ def global_lav(parsed: DataFrame, order_col: str = ORDER_COL) -> DataFrame:
 
 def toll_notifications_global(parsed: DataFrame, order_col: str = ORDER_COL,
                               emit_ts: str | None = None, ingest_ts: str | None = None,
-                              with_text: bool = False) -> DataFrame:
+                              with_text: bool = False, materialize: bool = False) -> DataFrame:
+    """Global toll assessments; ``materialize`` as in the keyed plan (the
+    input is read twice: reports and the per-vehicle aggregate)."""
+    if materialize:
+        parsed = stage_table(position_reports(parsed), "parsed-reports")
     kept = global_kept(parsed, order_col)
     history = minute_history(segment_minute_stats(kept, keys=[]))
     out = enrich(non_exit(kept), history, keys=[], bounded=time_is_short(kept))

@@ -22,6 +22,7 @@ from ..operators.filters import new_segment_only, non_exit, nonzero_toll, positi
 from ..operators.segments import enrich, segment_history, segment_minute_stats
 from ..operators.vehicle import first_reports, flag_new_segment
 from ..schema import ORDER_COL, SEGMENT_KEYS
+from ..session import stage_table
 
 OUTPUT = [ORDER_COL, "vid", "time", "lav", "num_vehicles", "toll"]
 
@@ -39,7 +40,7 @@ def keyed_enriched(parsed: DataFrame, order_col: str = ORDER_COL) -> DataFrame:
 
 def toll_notifications_keyed(parsed: DataFrame, emit_zero: bool = False, order_col: str = ORDER_COL,
                              emit_ts: str | None = None, ingest_ts: str | None = None,
-                             with_text: bool = False) -> DataFrame:
+                             with_text: bool = False, materialize: bool = False) -> DataFrame:
     """Keyed toll notifications from parsed reports.
 
     Rows: new-segment, non-exit position reports, with ``lav``,

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -126,3 +126,12 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(zpath)
     _SHIPPED.add(sc.applicationId)
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: a lineage cut that survives executor loss, and a columnar copy that
+    later scans read with column pruning and filter pushdown."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -40,12 +40,14 @@ def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str, checkpoint: s
 def text_sink(df: DataFrame, path: str, text_col: str = "text", checkpoint: str | None = None,
               trigger: str = ROLL_INTERVAL) -> StreamingQuery | None:
     """K1: one line per row. A stream rolls a new file per micro-batch, one
-    batch per ``trigger`` interval (the 1 s roll of the original)."""
+    batch per ``trigger`` interval (the 1 s roll of the original);
+    ``trigger="availableNow"`` processes what is there and stops."""
     out = df.select(F.col(text_col).cast("string").alias("value"))
     if df.isStreaming:
-        return (out.writeStream.format("text").option("path", path)
-                .option("checkpointLocation", checkpoint or scratch_path(df.sparkSession, "text-ckpt"))
-                .trigger(processingTime=trigger).start())
+        w = (out.writeStream.format("text").option("path", path)
+             .option("checkpointLocation", checkpoint or scratch_path(df.sparkSession, "text-ckpt")))
+        w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=trigger)
+        return w.start()
     out.write.mode("errorifexists").text(path)
     return None
 
