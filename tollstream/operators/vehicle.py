@@ -4,9 +4,11 @@ Both only need, per vehicle, the order value and segment of its *first*
 report. That is an aggregate (``min`` / ``min_by``, combined map-side, so a
 vehicle holding a third of all rows costs one partial row per task), joined
 back on ``vid``. A window over ``vid`` would instead sort every report of a
-hot vehicle in one task. The join is planned by AQE: broadcast when the
-measured per-vehicle table is small, otherwise a sort-merge join whose skewed
-``vid`` partitions are split.
+hot vehicle in one task. The join back splits hot vehicles off
+(``operators.skew``): their rows are joined to a broadcast of at most
+``2 * partitions`` per-vehicle rows without a shuffle; the rest is planned
+by AQE (broadcast when the measured per-vehicle table is small, otherwise a
+sort-merge join).
 
 Only orders *within* one vehicle are compared, so ``order_col`` only has to
 be ordered per vehicle (a Kafka offset is enough when producers key by vid).
@@ -18,17 +20,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ORDER_COL
+from .skew import join_with_hot_split
 
 _FIRST_ORDER = "_first_order"
 _FIRST_SEG = "_first_seg"
+_COUNT = "_vid_rows"
 
 
 def first_reports(reports: DataFrame, order_col: str = ORDER_COL, vid_col: str = "vid",
                   seg_col: str = "seg") -> DataFrame:
-    """One row per vehicle: order value and segment of its first report."""
+    """One row per vehicle: order value and segment of its first report, and
+    its number of reports (to find hot vehicles)."""
     return reports.groupBy(vid_col).agg(
         F.min(order_col).alias(_FIRST_ORDER),
         F.min_by(seg_col, order_col).alias(_FIRST_SEG),
+        F.count(F.lit(1)).alias(_COUNT),
     )
 
 
@@ -36,7 +42,7 @@ def _with_first(reports: DataFrame, first: DataFrame | None, order_col: str, vid
                 seg_col: str) -> DataFrame:
     if first is None:
         first = first_reports(reports, order_col, vid_col, seg_col)
-    return reports.join(first, vid_col, "inner")
+    return join_with_hot_split(reports, first, vid_col, _COUNT)
 
 
 def flag_new_segment(reports: DataFrame, order_col: str = ORDER_COL, out: str = "in_new_seg",
