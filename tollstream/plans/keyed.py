@@ -47,7 +47,15 @@ def toll_notifications_keyed(parsed: DataFrame, emit_zero: bool = False, order_c
     ``num_vehicles`` and ``toll``; zero tolls are dropped unless
     ``emit_zero``. With ``ingest_ts``/``emit_ts`` columns the latency ``emit``
     (ms) is added; ``with_text`` adds the notification text.
+
+    The plan reads its input three times (reports, per-vehicle aggregate,
+    segment statistics). ``materialize=True`` first writes the position
+    reports to a table in the shared folder: a text source is then parsed
+    once and each branch scans only its columns; use it for line sources at
+    scale. A columnar source needs no staging.
     """
+    if materialize:
+        parsed = stage_table(position_reports(parsed), "parsed-reports")
     reports = keyed_reports(parsed)
     history = segment_history(segment_minute_stats(reports))
     first = first_reports(reports, order_col)
