@@ -138,3 +138,16 @@ def test_notification_text_sink(spark, lines):
     texts = [r["value"] for r in spark.read.text(out).collect()]
     assert len(texts) == 1207
     assert all(re.match(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3},0,\d+,\d+,0,\d+,\d+$", t) for t in texts)
+
+
+def test_text_file_stream_passthrough(spark, lines):
+    from tollstream.sources.text import read_lines_stream, write_lines
+    from tollstream.streaming.pipelines import passthrough_stream
+    src, out = scratch_path(spark, "txt-src"), scratch_path(spark, "txt-out")
+    write_lines(lines, src, partitions=3)
+    s = read_lines_stream(spark, src, max_files_per_trigger=1)
+    q = run_to_completion(passthrough_stream(s, "text").select("text"), out, fmt="text")
+    assert len(q.recentProgress) >= 3
+    got = spark.read.text(out).select(F.col("value").alias("text"))
+    want = lines.select(F.format_string("input = [%s]", "value").alias("text"))
+    assert same(got, want)
