@@ -135,3 +135,12 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def ensure_state_store(spark: SparkSession) -> None:
+    """Streams here keep state in RocksDB (spills to disk, needed by
+    ``transformWithStateInPandas``). The provider is a runtime setting read
+    when a query first starts, so it is set for sessions that lack it."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
