@@ -1,0 +1,66 @@
+"""Log analysis, text formats and JSON decode on hand-written rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tollstream.functions.format import consumed_text, full_csv, toll_text_global, toll_text_keyed
+from tollstream.functions.toll import lav, toll
+from tollstream.operators.logs import marker_filter, throughput_per_second, time_range
+from tollstream.sources.json_value import json_value_text
+
+LOG = [
+    "2023-03-01 10:52:23.468 INFO consume - input = [0,1,2]",
+    "2023-03-01 10:52:23.500 INFO parse - input = [0,1,3]",
+    "2023-03-01 10:52:23.999 INFO consume - input = [0,1,4]",
+    "2023-03-01 10:52:24.000 INFO consume - input = [0,1,5]",
+    "2023-03-01 10:52:24.568 INFO consume - input = [0,1,6]",
+]
+
+
+@pytest.fixture
+def log(spark):
+    return spark.createDataFrame([(x,) for x in LOG], "line string")
+
+
+def test_marker_and_range(log):
+    assert marker_filter(log, "consume").count() == 4
+    got = time_range(log, "2023-03-01 10:52:23.468", "2023-03-01 10:52:24.000").collect()
+    assert [r.line[-6:-1] for r in got] == ["0,1,2", "0,1,3", "0,1,4"]
+
+
+def test_throughput_per_second(log):
+    got = {r.second: r.records for r in throughput_per_second(marker_filter(log, "consume")).collect()}
+    assert got == {"2023-03-01 10:52:23": 2, "2023-03-01 10:52:24": 2}
+
+
+def test_text_formats(spark):
+    df = spark.createDataFrame([(7, 61, 12, 35, 2)], "vid int, time smallint, emit long, lav int, toll int")
+    row = df.select(
+        toll_text_keyed(F.col("vid"), F.col("time"), F.col("emit"), F.col("lav"), F.col("toll"),
+                        clock=F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("k"),
+        toll_text_global(F.col("vid"), F.col("time"), F.col("emit"), F.col("lav"), F.col("toll")).alias("g"),
+        consumed_text(F.lit("0,1")).alias("c")).first()
+    assert row.k == "2024-01-01 00:00:00.000,0,7,61,12,35,2"
+    assert row.g == "0, 7, 61, 12, 35, 2"
+    assert row.c == "input = [0,1]"
+    full = spark.createDataFrame([tuple(range(15))], ", ".join(
+        f"{c} int" for c in ["type", "time", "vid", "speed", "xway", "lane", "dir", "seg", "pos",
+                             "qid", "sinit", "send", "dow", "tod", "day"]))
+    assert full.select(full_csv(full)).first()[0] == ",".join(str(i) for i in range(15))
+
+
+def test_toll_saturates_and_lav_rounding(spark):
+    df = spark.createDataFrame([(100000, 10, 5, 2), (51, 39, 7, 2), (0, 0, 0, 0)],
+                               "n int, l int, s long, c long")
+    got = df.select(toll(F.col("n"), F.col("l")).alias("t"), lav(F.col("s"), F.col("c")).alias("v")).collect()
+    assert [r.t for r in got] == [2147483647, 2, 0]
+    assert [r.v for r in got] == [3, 4, 0]                      # 2.5 -> 3, 3.5 -> 4, 0 reports -> 0
+
+
+def test_json_value_modes(spark):
+    df = spark.createDataFrame([('{"a": [1, 2]}',), (None,), ("{bad",)], "m string")
+    ok = spark.createDataFrame([('{"a": [1, 2]}',), (None,)], "m string")
+    assert [r[0] for r in ok.select(json_value_text(ok.m)).collect()] == ['{"value":{"a":[1,2]}}', "{}"]
+    assert [r[0] for r in df.select(json_value_text(df.m, "try")).collect()][2] == "{}"
+    with pytest.raises(Exception, match="(?i)malformed"):
+        df.select(json_value_text(df.m)).collect()
