@@ -50,3 +50,22 @@ def test_lenient_reads_like_atoi(spark):
     assert out[2]["time"] == 40000                               # int, no short limit
     assert out[3]["vid"] == 7                                    # leading blank skipped
     assert (out[4]["time"], out[4]["vid"]) == (40, 7)            # empty token skipped
+
+
+@pytest.mark.parametrize("line,ok", [
+    ("0,32767,7,55,1,2,0,13,70000", True),
+    ("0,-32768,7,55,1,2,0,13,70000", True),
+    ("0,32768,7,55,1,2,0,13,70000", False),
+    ("0,10799,2147483647,55,1,2,0,13,70000", True),
+    ("0,10799,-2147483648,55,1,2,0,13,70000", True),
+    ("0,10799,2147483648,55,1,2,0,13,70000", False),
+    ("0,10799,0000000000007,55,1,2,0,13,70000", True),
+    ("+0,+40,7,55,1,2,0,13,70000,x,y", True),
+    ("0,40,7,55,1,2,0,13,", True),
+    ("0,40,7,55,1,2,0,13,7 ", False),
+    ("0,40,7,5.5,1,2,0,13,70000", False),
+])
+def test_validity_boundaries(spark, line, ok):
+    df = lines(spark, [line])
+    assert (parse_reports(df, mode="permissive").count() == 1) == ok
+    assert (rejected_lines(df).count() == 0) == ok
