@@ -61,7 +61,8 @@ def test_lenient_reads_like_atoi(spark):
     ("0,10799,2147483648,55,1,2,0,13,70000", False),
     ("0,10799,0000000000007,55,1,2,0,13,70000", True),
     ("+0,+40,7,55,1,2,0,13,70000,x,y", True),
-    ("0,40,7,55,1,2,0,13,", True),
+    ("0,40,7,55,1,2,0,13,", False),
+    ("0,40,7,55,1,2,0,13,5,", True),
     ("0,40,7,55,1,2,0,13,7 ", False),
     ("0,40,7,5.5,1,2,0,13,70000", False),
 ])
