@@ -8,9 +8,7 @@ hot vehicle in one task. The join back splits hot vehicles off
 (``operators.skew``): their rows are joined to a broadcast of at most
 ``2 * partitions`` per-vehicle rows without a shuffle; the rest is planned
 by AQE (broadcast when the measured per-vehicle table is small, otherwise a
-sort-merge join). The per-vehicle table is written to the shared folder
-once (one row per vehicle), so the threshold subquery and the joins read it
-rather than re-reading the reports.
+sort-merge join).
 
 Only orders *within* one vehicle are compared, so ``order_col`` only has to
 be ordered per vehicle (a Kafka offset is enough when producers key by vid).
@@ -22,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ORDER_COL
-from ..session import stage_table
 from .skew import join_with_hot_split
 
 _FIRST_ORDER = "_first_order"
@@ -45,9 +42,6 @@ def _with_first(reports: DataFrame, first: DataFrame | None, order_col: str, vid
                 seg_col: str) -> DataFrame:
     if first is None:
         first = first_reports(reports, order_col, vid_col, seg_col)
-    # Written once: the hot-key threshold and both join parts read this
-    # one-row-per-vehicle table instead of re-aggregating the reports.
-    first = stage_table(first, "first-reports")
     return join_with_hot_split(reports, first, vid_col, _COUNT)
 
 

@@ -38,9 +38,9 @@ def global_lav(parsed: DataFrame, order_col: str = ORDER_COL) -> DataFrame:
 
 def toll_notifications_global(parsed: DataFrame, order_col: str = ORDER_COL,
                               emit_ts: str | None = None, ingest_ts: str | None = None,
-                              with_text: bool = False, materialize: bool = False) -> DataFrame:
+                              with_text: bool = False, materialize: bool = True) -> DataFrame:
     """Global toll assessments; ``materialize`` as in the keyed plan (the
-    input is read twice: reports and the per-vehicle aggregate)."""
+    input is read three times: reports, per-vehicle aggregate, threshold)."""
     if materialize:
         parsed = stage_table(position_reports(parsed), "parsed-reports")
     kept = global_kept(parsed, order_col)

@@ -40,7 +40,7 @@ def keyed_enriched(parsed: DataFrame, order_col: str = ORDER_COL) -> DataFrame:
 
 def toll_notifications_keyed(parsed: DataFrame, emit_zero: bool = False, order_col: str = ORDER_COL,
                              emit_ts: str | None = None, ingest_ts: str | None = None,
-                             with_text: bool = False, materialize: bool = False) -> DataFrame:
+                             with_text: bool = False, materialize: bool = True) -> DataFrame:
     """Keyed toll notifications from parsed reports.
 
     Rows: new-segment, non-exit position reports, with ``lav``,
@@ -48,11 +48,12 @@ def toll_notifications_keyed(parsed: DataFrame, emit_zero: bool = False, order_c
     ``emit_zero``. With ``ingest_ts``/``emit_ts`` columns the latency ``emit``
     (ms) is added; ``with_text`` adds the notification text.
 
-    The plan reads its input three times (reports, per-vehicle aggregate,
-    segment statistics). ``materialize=True`` first writes the position
-    reports to a table in the shared folder: a text source is then parsed
-    once and each branch scans only its columns; use it for line sources at
-    scale. A columnar source needs no staging.
+    The plan reads its input four times (reports, per-vehicle aggregate,
+    its hot-key threshold, segment statistics). With ``materialize`` (the
+    default) the position reports are first written to a table in the shared
+    folder: a line source is parsed once, each read scans only its columns,
+    and the lineage is cut there. Pass ``materialize=False`` when the input
+    already is a columnar table.
     """
     if materialize:
         parsed = stage_table(position_reports(parsed), "parsed-reports")
