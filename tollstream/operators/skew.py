@@ -34,16 +34,19 @@ def hot_threshold(small: DataFrame, count_col: str, partitions: int):
 
 
 def join_with_hot_split(big: DataFrame, small: DataFrame, key: str, count_col: str,
-                        partitions: int | None = None) -> DataFrame:
+                        partitions: int | None = None, salt_cols: list[str] | None = None) -> DataFrame:
     """Inner join of ``big`` to ``small`` (one row per ``key``, with the number
-    of ``big`` rows of that key in ``count_col``)."""
+    of ``big`` rows of that key in ``count_col``). The salt hashes
+    ``salt_cols`` (default: all columns of ``big``; a unique column is
+    enough and keeps the scan pruned)."""
     p = partitions or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = [c for c in small.columns if c != key]
     is_hot = F.col(count_col) > hot_threshold(small, count_col, p)
     hot = F.broadcast(small.where(is_hot).select(key, *[F.col(c).alias(f"_h{c}") for c in values]))
     cold = small.where(~is_hot).select(key, F.lit(0).alias(_SALT), *[F.col(c).alias(f"_c{c}") for c in values])
     probe = F.col(f"_h{values[0]}")
-    salt = F.when(probe.isNull(), F.lit(0)).otherwise(1 + F.pmod(F.hash(*[F.col(c) for c in big.columns]), F.lit(p)))
+    hashed = F.hash(*[F.col(c) for c in (salt_cols or big.columns)])
+    salt = F.when(probe.isNull(), F.lit(0)).otherwise(1 + F.pmod(hashed, F.lit(p)))
     staged = big.join(hot, key, "left").withColumn(_SALT, salt)
     j = staged.join(cold, [key, _SALT], "left")
     merged = [F.coalesce(F.col(f"_h{c}"), F.col(f"_c{c}")).alias(c) for c in values]

@@ -42,7 +42,7 @@ def _with_first(reports: DataFrame, first: DataFrame | None, order_col: str, vid
                 seg_col: str) -> DataFrame:
     if first is None:
         first = first_reports(reports, order_col, vid_col, seg_col)
-    return join_with_hot_split(reports, first, vid_col, _COUNT)
+    return join_with_hot_split(reports, first, vid_col, _COUNT, salt_cols=[order_col, vid_col])
 
 
 def flag_new_segment(reports: DataFrame, order_col: str = ORDER_COL, out: str = "in_new_seg",
