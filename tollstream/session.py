@@ -52,6 +52,26 @@ def build_session(master: str = "local[8]", app: str = "tollstream",
     return spark
 
 
+def spark_context(spark: SparkSession):
+    """The SparkContext, or None in a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = spark_context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
+def task_slots(spark: SparkSession) -> int:
+    sc = spark_context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -59,14 +79,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     private folder is created; on a cluster an absent setting is an error,
     since a machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    sc = spark_context(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
     if not root:
+        if sc is None:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="tollstream-")
         sc.setCheckpointDir(root)
-    elif not sc.getCheckpointDir():
+    elif sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
 
@@ -97,8 +119,8 @@ def ship_package(spark: SparkSession) -> None:
     and adds it with ``addPyFile``, once per application. When the folder is
     not a local path the package is expected to be installed on the cluster
     (``--py-files`` or an environment), and nothing is shipped."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    sc = spark_context(spark)
+    if app_id(spark) in _SHIPPED:
         return
     # Processor classes travel by value, so even a runner started without
     # the package on its path (the driver-side state schema runner) can
@@ -109,8 +131,8 @@ def ship_package(spark: SparkSession) -> None:
     for mod in (vehicle, exact):
         cloudpickle.register_pickle_by_value(mod)
     root = checkpoint_root(spark)
-    if "://" in root and not root.startswith("file:"):
-        _SHIPPED.add(sc.applicationId)
+    if sc is None or ("://" in root and not root.startswith("file:")):
+        _SHIPPED.add(app_id(spark))
         return
     import zipfile
 
@@ -125,7 +147,7 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(zpath)
-    _SHIPPED.add(sc.applicationId)
+    _SHIPPED.add(app_id(spark))
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

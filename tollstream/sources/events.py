@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import LRB_FIELDS, ORDER_COL
+from ..session import app_id, task_slots
 
 # Fixed values of the fixture mapping (shared with the SQL oracles).
 #   time origin ............. 2024-01-01 00:00:00
@@ -37,8 +38,12 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     every projection of the plan in a single task. Hash partitioning on
     ``key`` is deterministic, so a retried task gets the same rows.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    slots = task_slots(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the input as it is
+        return df
+    if splits >= slots:
         return df
     return df.repartition(slots, key) if key else df.repartition(slots)
 
@@ -49,7 +54,7 @@ _SOURCES: dict[tuple, DataFrame] = {}
 
 
 def _memo(spark: SparkSession, key: tuple, make) -> DataFrame:
-    full = (spark.sparkContext.applicationId, *key)
+    full = (app_id(spark), *key)
     df = _SOURCES.get(full)
     if df is None:
         df = _SOURCES[full] = make()
@@ -141,7 +146,7 @@ def staged_lines(spark: SparkSession, sf_dir: str, broken: bool = False) -> Data
     def make() -> DataFrame:
         path = scratch_path(spark, "staged-lines")
         lines = load_lines(spark, sf_dir, broken)
-        n = spark.sparkContext.defaultParallelism
+        n = task_slots(spark)
         lines.repartitionByRange(n, ORDER_COL).write.parquet(path)
         return spark.read.parquet(path)
     return _memo(spark, ("lines", sf_dir, broken), make)
