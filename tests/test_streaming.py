@@ -155,3 +155,17 @@ def test_text_file_stream_passthrough(spark, lines):
     got = spark.read.text(out).select(F.col("value").alias("text"))
     want = lines.select(F.format_string("input = [%s]", "value").alias("text"))
     assert same(got, want)
+
+
+def test_throughput_stream(spark):
+    from tollstream.operators.logs import marker_filter, throughput_per_second
+    log = [f"2023-03-01 10:52:{23 + i // 3}.{100 * (i % 3):03d} INFO consume - input = [{i}]" for i in range(12)]
+    src, out = scratch_path(spark, "log-src"), scratch_path(spark, "log-out")
+    for part in (log[:6], log[6:]):
+        spark.createDataFrame([(x,) for x in part], "value string").coalesce(1).write.mode("append").text(src)
+    s = spark.readStream.option("maxFilesPerTrigger", "1").text(src).withColumnRenamed("value", "line")
+    run_to_completion(throughput_per_second(marker_filter(s, "consume")), out)
+    got = {r["second"]: r["records"] for r in spark.read.parquet(out).collect()}
+    # Max stamp 26.2 s, watermark 25.2 s: seconds 25 and 26 are still open
+    # (append mode waits for the watermark), 23 and 24 are closed.
+    assert got == {"2023-03-01 10:52:23": 3, "2023-03-01 10:52:24": 3}

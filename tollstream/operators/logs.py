@@ -50,10 +50,19 @@ def time_range(log: DataFrame, start: str | _dt.datetime, end: str | _dt.datetim
     return log.where((ts >= _ntz(start)) & (ts < _ntz(end)))
 
 
-def throughput_per_second(log: DataFrame, line_col: str = "line", slice_seconds: int = 1) -> DataFrame:
+def throughput_per_second(log: DataFrame, line_col: str = "line", slice_seconds: int = 1,
+                          delay: str = "1 second") -> DataFrame:
     """Records per one-second slice of the log stamps, ``second`` as
     ``yyyy-MM-dd HH:mm:ss`` text and ``records``. Partial counts per task,
-    one row per second after the shuffle."""
-    w = F.window(log_stamp(line_col), f"{slice_seconds} second")
+    one row per second after the shuffle. On a stream the stamp is
+    watermarked (``delay``; watermarks need a zoned timestamp, read and
+    written back in the session zone) and a second is emitted once closed."""
+    if log.isStreaming:
+        zoned = F.to_timestamp(F.substring(F.col(line_col), 1, STAMP_WIDTH), CLOCK_FORMAT)
+        log = log.withColumn("_stamp", zoned).withWatermark("_stamp", delay)
+        stamp = F.col("_stamp")
+    else:
+        stamp = log_stamp(line_col)
+    w = F.window(stamp, f"{slice_seconds} second")
     return (log.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("records"))
             .select(F.date_format(F.col("w.start"), "yyyy-MM-dd HH:mm:ss").alias("second"), "records"))
