@@ -26,6 +26,7 @@ def default_conf(shuffle_partitions: int = 8) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
     }
@@ -166,3 +167,7 @@ def ensure_state_store(spark: SparkSession) -> None:
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
         spark.conf.set(key, ROCKSDB_PROVIDER)
+    # Commit a changelog per batch instead of a snapshot of every store.
+    changelog = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    if spark.conf.get(changelog, "false") != "true":
+        spark.conf.set(changelog, "true")
