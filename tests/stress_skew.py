@@ -4,7 +4,11 @@ third of them. Runs T1 and prints, per stage, total and largest-task record
 counts from the event log written to a scratch folder (argument 1, else a
 new temp folder): no task should hold the hot vehicle's third.
 
-    python tests/stress_skew.py [scratch_dir]
+    python tests/stress_skew.py [scratch_dir] [vid|segment] [nobroadcast]
+
+``segment`` makes one segment-minute hold a third of the reports instead;
+``nobroadcast`` disables broadcast joins and lowers AQE's skew thresholds,
+to see the sort-merge plans a large cluster would run.
 """
 import sys, time, json, glob, io, tempfile
 sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__))))
@@ -13,18 +17,35 @@ from tollstream.session import build_session, scratch_path
 from tollstream.sources.events import load_reports
 from tollstream.plans.keyed import toll_notifications_keyed
 OUT = tempfile.mkdtemp(prefix="stress-") if len(sys.argv) < 2 else sys.argv[1]
-spark = build_session(extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": OUT})
+HOT = sys.argv[2] if len(sys.argv) > 2 else "vid"
+extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": OUT}
+if "nobroadcast" in sys.argv[3:]:
+    extra.update({"spark.sql.autoBroadcastJoinThreshold": "-1",
+                  "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                  "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+                  "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+                  "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"})
+spark = build_session(extra=extra)
 base = load_reports(spark, "/root/testdata/sf0.1")
 k = F.explode(F.sequence(F.lit(0), F.lit(49))).alias("k")
+hot = (F.col("offset") * 50 + F.col("k")) % 3 == 0
+vid = F.col("vid") + 2000 * F.col("k")
+xway = F.col("k") % 10
+if HOT == "vid":
+    vid = F.when(hot, F.lit(0)).otherwise(vid)
+else:  # one segment-minute: expressway 0, direction 0, segment 0, minute 16
+    xway = F.when(hot, F.lit(0)).otherwise(xway)
+time_ = F.when(hot, F.lit(930)).otherwise(F.col("time")) if HOT != "vid" else F.col("time")
 big = (base.select("*", k)
-       .select((F.col("offset") * 50 + F.col("k")).alias("offset"), "type", "time",
-               F.when((F.col("offset") * 50 + F.col("k")) % 3 == 0, F.lit(0))
-                .otherwise(F.col("vid") + 2000 * F.col("k")).cast("int").alias("vid"),
-               "speed", (F.col("k") % 10).cast("int").alias("xway"), "lane", "dir", "seg", "pos"))
+       .select((F.col("offset") * 50 + F.col("k")).alias("offset"), "type", time_.cast("smallint").alias("time"),
+               vid.cast("int").alias("vid"), "speed", xway.cast("int").alias("xway"), "lane",
+               (F.when(hot, F.lit(0)).otherwise(F.col("dir")) if HOT != "vid" else F.col("dir")).alias("dir"),
+               (F.when(hot, F.lit(0)).otherwise(F.col("seg")) if HOT != "vid" else F.col("seg")).alias("seg"),
+               "pos"))
 path = scratch_path(spark, "stress")
 big.write.parquet(path)
 src = spark.read.parquet(path)
-print("ROWS", src.count(), src.where("vid = 0").count())
+print("ROWS", src.count(), HOT, sys.argv[3:])
 spark.sparkContext.setJobGroup("measured", "measured")
 t = time.time()
 out = toll_notifications_keyed(src, materialize=False)
