@@ -68,7 +68,11 @@ def main():
     from tollstream.session import build_session
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
-    spark = build_session()
+    if os.environ.get("ORACLE_PLAIN_SESSION"):
+        from pyspark.sql import SparkSession  # a session this package did not configure
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = build_session()
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = []
