@@ -1,0 +1,41 @@
+"""The command line front end on line files (batch and stream)."""
+
+import re
+
+import pytest
+
+from tollstream.__main__ import _args, run
+from tollstream.session import scratch_path
+from tollstream.sources.events import staged_lines
+from tollstream.sources.text import write_lines
+
+SF = "/root/testdata/sf0.01"
+KEYED_TEXT = re.compile(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3},0,\d+,\d+,0,\d+,\d+$")
+
+
+@pytest.fixture(scope="module")
+def line_files(spark):
+    path = scratch_path(spark, "cli-in")
+    write_lines(staged_lines(spark, SF), path, partitions=4)
+    return path
+
+
+def _run(spark, *argv):
+    out = scratch_path(spark, "cli-out")
+    run(_args([*argv, "--output", out]), spark)
+    return [r.value for r in spark.read.text(out).collect()]
+
+
+def test_batch_keyed_and_passthrough(spark, line_files):
+    texts = _run(spark, "keyed", "--input", line_files)
+    assert len(texts) == 1207 and all(KEYED_TEXT.match(t) for t in texts)
+    assert len(_run(spark, "global", "--input", line_files)) == 4336
+    plain = _run(spark, "passthrough", "--input", line_files)
+    assert len(plain) == 10000 and all(t.startswith("input = [") for t in plain)
+
+
+def test_stream_once(spark, line_files):
+    keyed = _run(spark, "keyed", "--input", line_files, "--stream", "--once", "--max-files", "1")
+    assert keyed and all(KEYED_TEXT.match(t) for t in keyed)
+    glob = _run(spark, "global", "--input", line_files, "--stream", "--once")
+    assert glob and all(re.match(r"^0, \d+, \d+, 0, \d+, \d+$", t) for t in glob)
