@@ -13,7 +13,7 @@ from tollstream.plans.keyed import toll_notifications_keyed
 from tollstream.session import scratch_path
 from tollstream.sources.events import report_lines, staged_lines
 from tollstream.streaming.jobs import run_app
-from tollstream.streaming.pipelines import toll_stream_keyed
+from tollstream.streaming.applications import toll_stream_keyed
 from tollstream.streaming.runner import read_stream_like, run_to_completion, write_ordered_chunks
 
 SF = "/root/testdata/sf0.01"
@@ -132,7 +132,7 @@ def test_window_state_stays_bounded(spark, lines):
 
 
 def test_notification_text_sink(spark, lines):
-    from tollstream.streaming.pipelines import notification_text
+    from tollstream.streaming.applications import notification_text
     from tollstream.streaming.sinks import text_sink
     src, out = scratch_path(spark, "n-src"), scratch_path(spark, "n-out")
     write_ordered_chunks(lines, src, 2)
@@ -146,7 +146,7 @@ def test_notification_text_sink(spark, lines):
 
 def test_text_file_stream_passthrough(spark, lines):
     from tollstream.sources.text import read_lines_stream, write_lines
-    from tollstream.streaming.pipelines import passthrough_stream
+    from tollstream.streaming.applications import passthrough_stream
     src, out = scratch_path(spark, "txt-src"), scratch_path(spark, "txt-out")
     write_lines(lines, src, partitions=3)
     s = read_lines_stream(spark, src, max_files_per_trigger=1)

@@ -28,7 +28,7 @@ from .schema import ORDER_COL
 from .session import build_session, scratch_path
 from .sources.kafka import kafka_lines, kafka_options, read_kafka
 from .sources.text import read_lines, read_lines_stream
-from .streaming.pipelines import (kept_reports_stream, notification_text, passthrough_stream,
+from .streaming.applications import (kept_reports_stream, notification_text, passthrough_stream,
                                   toll_stream_global, toll_stream_keyed)
 from .streaming.runner import read_stream_like
 from .streaming.sinks import text_sink
