@@ -39,3 +39,17 @@ def test_stream_once(spark, line_files):
     assert keyed and all(KEYED_TEXT.match(t) for t in keyed)
     glob = _run(spark, "global", "--input", line_files, "--stream", "--once")
     assert glob and all(re.match(r"^0, \d+, \d+, 0, \d+, \d+$", t) for t in glob)
+
+
+def test_produce_and_logstats(spark, line_files):
+    canonical = _run(spark, "produce", "--input", line_files)
+    assert len(canonical) == 10000 and all(len(t.split(",")) == 15 for t in canonical)
+    prefix = _run(spark, "produce", "--input", line_files, "--second", "600")
+    assert len(prefix) == 3323                      # as the replay_prefix oracle at second 600
+    log = scratch_path(spark, "cli-log")
+    lines = [f"2023-03-01 10:52:{23 + i // 4}.{i % 4}00 INFO {'consume' if i % 2 else 'parse'} - input = [{i}]"
+             for i in range(16)]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(log)
+    got = sorted(_run(spark, "logstats", "--input", log, "--marker", "consume",
+                      "--start", "2023-03-01 10:52:24", "--end", "2023-03-01 10:52:26"))
+    assert got == ["2023-03-01 10:52:24,2", "2023-03-01 10:52:25,2"]

@@ -3,6 +3,15 @@
     python -m tollstream keyed       --input DIR --output DIR [--emit-zero]
     python -m tollstream global      --input DIR --output DIR
     python -m tollstream passthrough --input DIR --output DIR [--stamped]
+    python -m tollstream produce     --input DIR --output DIR [--second N] [--kafka HOST:PORT]
+    python -m tollstream logstats    --input LOG_DIR --output DIR [--marker M] [--start TS --end TS]
+
+``produce`` is the producer side: lines read the way the C feeder reads them
+(lenient 15 fields), written back canonical; with ``--second`` only the
+replay prefix released by that elapsed second; with ``--kafka`` sent to
+``--topic`` (key = line number). ``logstats`` is the log analysis: lines
+with ``--marker`` (and in ``[--start, --end)``), counted per second, written
+as ``second,records``.
 
 Add ``--stream`` to run as a Structured Streaming query (``--once``: process
 what is there and stop; otherwise a 1 s trigger, as the original's 1 s file
@@ -20,8 +29,12 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .functions.parse import parse_reports
+from .functions.format import full_csv
+from .functions.parse import parse_full_lenient, parse_reports
+from .operators.logs import marker_filter, throughput_per_second, time_range
+from .operators.replay import replay_prefix
 from .plans.global_ import toll_notifications_global
 from .plans.keyed import toll_notifications_keyed
 from .schema import ORDER_COL
@@ -31,12 +44,12 @@ from .sources.text import read_lines, read_lines_stream
 from .streaming.applications import (kept_reports_stream, notification_text, passthrough_stream,
                                   toll_stream_global, toll_stream_keyed)
 from .streaming.runner import read_stream_like
-from .streaming.sinks import text_sink
+from .streaming.sinks import text_sink, write_kafka
 
 
 def _args(argv: list[str] | None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="python -m tollstream")
-    p.add_argument("app", choices=["keyed", "global", "passthrough"])
+    p.add_argument("app", choices=["keyed", "global", "passthrough", "produce", "logstats"])
     p.add_argument("--input", help="folder of line files")
     p.add_argument("--output", required=True, help="output folder (text)")
     p.add_argument("--kafka", help="bootstrap servers; reads --topic instead of files (streams)")
@@ -49,11 +62,15 @@ def _args(argv: list[str] | None) -> argparse.Namespace:
     p.add_argument("--checkpoint", help="stream checkpoint folder (default: under spark.checkpoint.dir)")
     p.add_argument("--max-files", type=int, default=None, help="file stream: files per trigger")
     p.add_argument("--master", default=None, help="for local runs, e.g. local[8]")
+    p.add_argument("--second", type=int, default=None, help="produce: replay prefix at this elapsed second")
+    p.add_argument("--marker", default=None, help="logstats: keep lines containing this text")
+    p.add_argument("--start", default=None, help="logstats: range start, yyyy-MM-dd HH:mm:ss[.SSS]")
+    p.add_argument("--end", default=None, help="logstats: range end (exclusive)")
     a = p.parse_args(argv)
     if not a.input and not a.kafka:
         p.error("give --input or --kafka")
-    if a.kafka and not a.stream:
-        p.error("--kafka is for streams")
+    if a.kafka and not a.stream and a.app != "produce":
+        p.error("--kafka is for streams (and produce)")
     return a
 
 
@@ -63,7 +80,32 @@ def _stream_lines(spark: SparkSession, a: argparse.Namespace) -> tuple[DataFrame
     return read_lines_stream(spark, a.input, a.max_files), "time"
 
 
+def _produce(a: argparse.Namespace, spark: SparkSession) -> None:
+    tuples = parse_full_lenient(read_lines(spark, a.input))
+    if a.second is not None:
+        tuples = replay_prefix(tuples, a.second)
+    out = tuples.select(ORDER_COL, full_csv(tuples).alias("value"))
+    if a.kafka:
+        write_kafka(out, a.kafka, a.topic)
+    else:
+        out.select("value").write.text(a.output)
+
+
+def _logstats(a: argparse.Namespace, spark: SparkSession) -> None:
+    log = spark.read.text(a.input).select(F.col("value").alias("line"))
+    if a.marker:
+        log = marker_filter(log, a.marker)
+    if a.start and a.end:
+        log = time_range(log, a.start, a.end)
+    counts = throughput_per_second(log)
+    counts.select(F.concat_ws(",", "second", F.col("records").cast("string")).alias("value")).write.text(a.output)
+
+
 def run(a: argparse.Namespace, spark: SparkSession) -> None:
+    if a.app == "produce":
+        return _produce(a, spark)
+    if a.app == "logstats":
+        return _logstats(a, spark)
     if not a.stream:
         lines = read_lines(spark, a.input)
         if a.app == "keyed":
