@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from helpers import reports_df
 from pyspark.sql import functions as F
 from test_reference_loop import replay_global, replay_keyed
@@ -12,6 +13,16 @@ from tollstream.plans.global_ import toll_notifications_global
 from tollstream.plans.keyed import toll_notifications_keyed
 
 
+@pytest.fixture(autouse=True)
+def tiny_partitions(spark):
+    """Make these small inputs count as large, so the hot-key split runs."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "1k")
+    yield
+    spark.conf.set(key, previous)
+
+
 def skewed_rows(seed=11, n=6000):
     rnd = random.Random(seed)
     times = sorted(rnd.randrange(0, 600) for _ in range(n))
@@ -32,6 +43,7 @@ def test_hot_split_equals_plain_join(spark):
     assert hot == [0]
     plain = df.join(small, "vid")
     split = join_with_hot_split(df, small, "vid", count_col, partitions=8)
+    assert "_key_salt" in split._jdf.queryExecution().optimizedPlan().toString()   # the split path ran
     assert split.count() == plain.count() == 6000
     assert split.exceptAll(plain.select(*split.columns)).count() == 0
 
