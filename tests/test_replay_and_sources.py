@@ -41,3 +41,11 @@ def test_kafka_options_and_projection(spark):
         "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
     row = kafka_lines(raw).collect()[0]
     assert (row["offset"], row["value"]) == (41, "0,1,2,3,4,5,6,7,8")
+
+
+def test_historical_tolls_reader(spark):
+    from tollstream.sources.text import read_historical_tolls
+    path = scratch_path(spark, "hist")
+    spark.createDataFrame([("1,1,0,12",), ("2,69,3,0",)], "value string").coalesce(1).write.text(path)
+    rows = [tuple(r) for r in read_historical_tolls(spark, path).orderBy("vid").collect()]
+    assert rows == [(1, 1, 0, 12), (2, 69, 3, 0)]

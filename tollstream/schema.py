@@ -37,6 +37,10 @@ LRB_FIELDS = [
     "type", "time", "vid", "speed", "xway", "lane", "dir", "seg", "pos",
     "qid", "sinit", "send", "dow", "tod", "day",
 ]
+# Historical tolls file: vid, day (1 = yesterday .. 69), xway, tolls. Part of
+# the data set's description; no toll application reads it.
+HISTORICAL_TOLLS_FIELDS = ["vid", "day", "xway", "tolls"]
+
 # Only the first nine are read by the toll applications.
 REPORT_FIELDS = LRB_FIELDS[:9]
 
@@ -65,5 +69,9 @@ def report_schema(with_offset: bool = True) -> T.StructType:
     return T.StructType(fields)
 
 
+def historical_tolls_schema() -> T.StructType:
+    return T.StructType([T.StructField(f, T.IntegerType(), False) for f in HISTORICAL_TOLLS_FIELDS])
+
+
 def field_type(name: str) -> T.DataType:
     return T.ShortType() if name == "time" else T.IntegerType()

@@ -67,3 +67,10 @@ def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     df = reader.load(path)
     return df.select("value", F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_modification_time").alias("ingest_ts"))
+
+
+def read_historical_tolls(spark: SparkSession, path: str) -> DataFrame:
+    """The historical tolls file (CSV ``vid, day, xway, tolls``), typed. The
+    reference documents it but no application reads it."""
+    from ..schema import historical_tolls_schema
+    return spark.read.schema(historical_tolls_schema()).option("mode", "FAILFAST").csv(path)
