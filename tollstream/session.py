@@ -157,7 +157,8 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     later scans read with column pruning and filter pushdown."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known: no footer-reading job to infer it.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ensure_state_store(spark: SparkSession) -> None:
