@@ -127,7 +127,8 @@ def run(a: argparse.Namespace, spark: SparkSession) -> None:
     elif a.app == "global":
         parsed = parse_reports(lines, keep=[order] if order != "time" else [])
         kept_path = f"{ck}/kept"
-        stage1 = (kept_reports_stream(parsed, order).writeStream.format("parquet")
+        kept_stream = kept_reports_stream(parsed, order)
+        stage1 = (kept_stream.writeStream.format("parquet")
                   .option("path", kept_path).option("checkpointLocation", f"{ck}/kept-checkpoint"))
         stage1 = stage1.trigger(availableNow=True) if a.once else stage1.trigger(processingTime=trigger)
         q1 = stage1.start()
@@ -136,7 +137,7 @@ def run(a: argparse.Namespace, spark: SparkSession) -> None:
         else:
             queries.append(q1)
             q1.processAllAvailable()
-        kept = read_stream_like(spark, kept_path, spark.read.parquet(kept_path).schema)
+        kept = read_stream_like(spark, kept_path, kept_stream.schema)
         out = notification_text(toll_stream_global(kept, order_col=order), "global")
     else:
         out = passthrough_stream(lines.select("value"), "stamped" if a.stamped else "text")
