@@ -24,7 +24,8 @@ from ..operators.segments import segment_history, segment_minute_stats
 from ..operators.vehicle import flag_new_segment, keep_first_segment
 from ..schema import ORDER_COL
 from ..session import scratch_path
-from ..sources.events import TIME_ORIGIN, load_lines, load_reports, load_table, staged_lines
+from ..sources.events import (TIME_ORIGIN, load_lines, load_reports, load_table, report_lines,
+                              reports_from_events, staged_lines)
 from ..sources.json_value import json_value_text
 from ..sources.text import read_lines, write_lines
 from ..streaming.sinks import to_kafka_frame
@@ -58,12 +59,13 @@ def _fixed_emit() -> Column:
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pass-through log built from the lines: the stamp is the event time
-    compressed like report time, every fifth line comes from another logger."""
-    events = load_table(spark, sf_dir, "events").select(F.col("event_id").alias(ORDER_COL), "ts")
+    compressed like report time, every fifth line comes from another logger.
+    One projection over ``events`` (line and stamp together, no join)."""
+    events = load_table(spark, sf_dir, "events", "event_id")
+    lines = report_lines(reports_from_events(events, keep=["ts"]), keep=["ts"])
     stamp = F.expr(f"timestampadd(MICROSECOND, timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{TIME_ORIGIN}', ts) "
                    f"div 1440, TIMESTAMP_NTZ'{TIME_ORIGIN}')")
     logger = F.when(F.col(ORDER_COL) % 5 == 0, F.lit("parse")).otherwise(F.lit("consume"))
-    lines = load_lines(spark, sf_dir).join(events, ORDER_COL)
     return log_lines(lines, stamp, logger, keep=[ORDER_COL])
 
 
@@ -102,7 +104,9 @@ def q_event_time(spark, sf_dir):
 
 
 def q_passthrough_stamped(spark, sf_dir):
-    lines = load_lines(spark, sf_dir).join(load_reports(spark, sf_dir).select(ORDER_COL, "time"), ORDER_COL)
+    # The fixed clock needs `time`: field 1 of the line itself.
+    lines = load_lines(spark, sf_dir)
+    lines = lines.withColumn("time", F.get(F.split("value", ","), 1).cast("smallint"))
     return passthrough_stamped(lines, clock=_fixed_clock()).select(ORDER_COL, "stamp", "value", "text")
 
 

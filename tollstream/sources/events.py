@@ -80,8 +80,9 @@ def _lane(event_type: Column) -> Column:
     return expr
 
 
-def reports_from_events(events: DataFrame, with_pos: bool = True) -> DataFrame:
-    """Typed reports ``offset, type, time, vid, speed, xway, lane, dir, seg[, pos]``."""
+def reports_from_events(events: DataFrame, with_pos: bool = True, keep: list[str] | None = None) -> DataFrame:
+    """Typed reports ``offset, type, time, vid, speed, xway, lane, dir, seg[, pos]``
+    (plus the ``events`` columns named in ``keep``)."""
     seg = _seg_flag(F.col("props"))
     fl = F.floor(F.col("value")).cast("bigint")
     # NTZ arithmetic: independent of the session time zone.
@@ -100,14 +101,14 @@ def reports_from_events(events: DataFrame, with_pos: bool = True) -> DataFrame:
     ]
     if with_pos:
         cols.append((seg * 5280 + fl % 5280).cast("int").alias("pos"))
-    return events.select(*cols)
+    return events.select(*cols, *(keep or []))
 
 
 def load_reports(spark: SparkSession, sf_dir: str, with_pos: bool = True) -> DataFrame:
     return reports_from_events(load_table(spark, sf_dir, "events", "event_id"), with_pos=with_pos)
 
 
-def report_lines(reports: DataFrame, broken: bool = False) -> DataFrame:
+def report_lines(reports: DataFrame, broken: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Raw CSV lines ``offset, value`` as a producer would send them.
 
     With ``broken=True`` some lines are damaged by the fixed rule above, to
@@ -125,7 +126,7 @@ def report_lines(reports: DataFrame, broken: bool = False) -> DataFrame:
                  .when(off % 89 == 0, bad_speed)
                  .when(off % 83 == 0, double_comma)
                  .otherwise(clean))
-    return reports.select(F.col(ORDER_COL), value.alias("value"))
+    return reports.select(F.col(ORDER_COL), value.alias("value"), *(keep or []))
 
 
 def load_lines(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
