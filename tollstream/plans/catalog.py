@@ -24,8 +24,7 @@ from ..operators.segments import segment_history, segment_minute_stats
 from ..operators.vehicle import flag_new_segment, keep_first_segment
 from ..schema import ORDER_COL
 from ..session import scratch_path
-from ..sources.events import (TIME_ORIGIN, load_lines, load_reports, load_table, report_lines,
-                              reports_from_events, staged_lines)
+from ..sources.events import TIME_ORIGIN, load_lines, load_reports, load_table, staged_lines
 from ..sources.json_value import json_value_text
 from ..sources.text import read_lines, write_lines
 from ..streaming.sinks import to_kafka_frame
@@ -60,12 +59,16 @@ def _fixed_emit() -> Column:
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pass-through log built from the lines: the stamp is the event time
     compressed like report time, every fifth line comes from another logger.
-    One projection over ``events`` (line and stamp together, no join)."""
-    events = load_table(spark, sf_dir, "events", "event_id")
-    lines = report_lines(reports_from_events(events, keep=["ts"]), keep=["ts"])
+
+    The lines are joined to their events' ``ts`` rather than built in the
+    same projection: a filter on the log line (marker) would otherwise be
+    pushed below that projection with the whole line expression substituted
+    and build every line twice (measured: 1.34 s against 0.55 s at sf0.1)."""
+    events = load_table(spark, sf_dir, "events").select(F.col("event_id").alias(ORDER_COL), "ts")
     stamp = F.expr(f"timestampadd(MICROSECOND, timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{TIME_ORIGIN}', ts) "
                    f"div 1440, TIMESTAMP_NTZ'{TIME_ORIGIN}')")
     logger = F.when(F.col(ORDER_COL) % 5 == 0, F.lit("parse")).otherwise(F.lit("consume"))
+    lines = load_lines(spark, sf_dir).join(events, ORDER_COL)
     return log_lines(lines, stamp, logger, keep=[ORDER_COL])
 
 
