@@ -40,7 +40,7 @@ LOG_MARKER = "consume"
 LOG_RANGE = ("2024-01-01 00:10:00", "2024-01-01 00:10:10")
 
 
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parsed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports as the applications see them: CSV lines from the source,
     strictly parsed."""
     return parse_reports(staged_lines(spark, sf_dir))
@@ -73,11 +73,11 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_position_reports(spark, sf_dir):
-    return position_reports(_parsed(spark, sf_dir)).select(*REPORT_COLS)
+    return position_reports(parsed_reports(spark, sf_dir)).select(*REPORT_COLS)
 
 
 def q_parse_position_reports(spark, sf_dir):
-    return _parsed(spark, sf_dir).select(*REPORT_COLS)
+    return parsed_reports(spark, sf_dir).select(*REPORT_COLS)
 
 
 def q_parse_permissive_reports(spark, sf_dir):
@@ -175,26 +175,26 @@ def q_global_lav(spark, sf_dir):
 
 
 def q_toll_notifications_keyed(spark, sf_dir):
-    return toll_notifications_keyed(_parsed(spark, sf_dir))
+    return toll_notifications_keyed(parsed_reports(spark, sf_dir))
 
 
 def q_toll_notifications_keyed_all(spark, sf_dir):
-    return toll_notifications_keyed(_parsed(spark, sf_dir), emit_zero=True)
+    return toll_notifications_keyed(parsed_reports(spark, sf_dir), emit_zero=True)
 
 
 def q_toll_notifications_global(spark, sf_dir):
-    return toll_notifications_global(_parsed(spark, sf_dir))
+    return toll_notifications_global(parsed_reports(spark, sf_dir))
 
 
 def q_format_toll_keyed(spark, sf_dir):
-    t = toll_notifications_keyed(_parsed(spark, sf_dir))
+    t = toll_notifications_keyed(parsed_reports(spark, sf_dir))
     text = toll_text_keyed(F.col("vid"), F.col("time"), _fixed_emit(), F.col("lav"), F.col("toll"),
                            clock=_fixed_clock())
     return t.select(ORDER_COL, text.alias("text"))
 
 
 def q_format_toll_global(spark, sf_dir):
-    t = toll_notifications_global(_parsed(spark, sf_dir))
+    t = toll_notifications_global(parsed_reports(spark, sf_dir))
     text = toll_text_global(F.col("vid"), F.col("time"), _fixed_emit(), F.col("lav"), F.col("toll"))
     return t.select(ORDER_COL, text.alias("text"))
 
