@@ -1,0 +1,39 @@
+"""Session helpers: shared folder, staging, state store, input spreading."""
+
+from tollstream.session import (ROCKSDB_PROVIDER, checkpoint_root, ensure_state_store, scratch_path,
+                                stage_table, task_slots)
+from tollstream.sources.events import spread
+
+
+def test_checkpoint_root_is_the_sessions_folder(spark):
+    root = checkpoint_root(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert root == configured
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root.rstrip("/"))          # a fresh folder every time
+
+
+def test_stage_table_round_trip(spark):
+    df = spark.range(100).selectExpr("id", "id * 2 AS twice")
+    staged = stage_table(df, "stage-test")
+    assert staged.schema.names == ["id", "twice"]
+    assert sorted(tuple(r) for r in staged.collect()) == [(i, 2 * i) for i in range(100)]
+
+
+def test_spread_only_small_inputs(spark):
+    small = spark.range(0, 1000, numPartitions=1)
+    assert spread(small, "id").rdd.getNumPartitions() == task_slots(spark)
+    large = spark.range(0, 1000, numPartitions=task_slots(spark) * 2)
+    assert spread(large, "id") is large                         # no shuffle added
+
+
+def test_ensure_state_store(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    previous = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+        ensure_state_store(spark)
+        assert spark.conf.get(key) == ROCKSDB_PROVIDER
+        assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled") == "true"
+    finally:
+        spark.conf.set(key, previous)
