@@ -49,3 +49,17 @@ def test_historical_tolls_reader(spark):
     spark.createDataFrame([("1,1,0,12",), ("2,69,3,0",)], "value string").coalesce(1).write.text(path)
     rows = [tuple(r) for r in read_historical_tolls(spark, path).orderBy("vid").collect()]
     assert rows == [(1, 1, 0, 12), (2, 69, 3, 0)]
+
+
+def test_kafka_frame_keys_and_text_sink(spark):
+    from pyspark.sql import functions as F
+
+    from tollstream.streaming.sinks import text_sink, to_kafka_frame
+    df = spark.createDataFrame([(7, "0,1,2"), (8, "0,1,3")], "offset long, value string")
+    keyed = sorted(tuple(r) for r in to_kafka_frame(df).collect())
+    assert keyed == [("7", "0,1,2"), ("8", "0,1,3")]
+    unkeyed = to_kafka_frame(df, key_col=None).collect()
+    assert all(r["key"] is None for r in unkeyed)               # null key, as the producer sends
+    path = scratch_path(spark, "k1")
+    assert text_sink(df.select(F.col("value").alias("text")), path) is None
+    assert sorted(r.value for r in spark.read.text(path).collect()) == ["0,1,2", "0,1,3"]
