@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sharding, simhash
+from . import fingerprints, packing, quality, sharding, simhash, tokenfiles, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_fingerprints": fingerprints.query,
     "op3_best_fit_packing": packing.query,
+    "op4_toxicity": toxicity.query,
+    "op6_quality_discriminant": quality.query,
     "op7_simhash_near_dedup": simhash.query,
     "op8_rendezvous_sharding": sharding.query,
+    "op9_repair_token_files": tokenfiles.query,
 }
 
 SQL: dict[str, str] = {
