@@ -58,7 +58,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # crc32 by the bytes of the text: table of 256, one step a byte. Slots are
-# the rank by (part, doc_id, crc, size); the part count is 1 up to 50 000 rows.
+# the rank by (part, doc_id, crc, size); the part count is 1 up to 10 000 rows.
 SQL = """
 WITH crc AS (
   SELECT list(c ORDER BY n) AS t FROM (

@@ -62,7 +62,7 @@ def training_fold(doc_id: Column) -> Column:
 
 
 def ranked(df: DataFrame, groups: list[str], order: list[str], salt: Column,
-           rank: str, rows_per_task: int = 50_000) -> DataFrame:
+           rank: str, rows_per_task: int = 10_000) -> DataFrame:
     """A gapless number from 0 within each group, without one task per group.
 
     Each group is dealt over ``salt`` parts; parts are counted first (a row

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 700_000
 CHUNK = 256
 BLOCK_CHARS = 4_000_000
 
@@ -29,11 +29,12 @@ _MARK = "\x02"
 _ODD = ("[\x02\t\x0b\x0c\r\x1c-\x1f\x85\u00a0\u1680\u2000-\u200f\u2028\u2029\u202f\u205f\u3000]"
         "|[ \n][ \n]|^[ \n]|[ \n]\\z")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-# Pieces that can be encoded side by side in one call, and words that are
-# such a piece with a point or comma behind it.
+# Pieces that can be encoded side by side in one call.
 _BYTE_PLAIN = re.compile(f" [{_LETTERS}]+")
 _WORD_PLAIN = re.compile(f"[{_LETTERS}]+")
-_ENDED = re.compile(f"( ?[{_LETTERS}]+)([.,])")
+# Signs behind a letter and before white space or the end are a piece: both
+# files' pre-tokenisation cuts between letters and signs.
+_SIGNS = r"(\p{L})([!-/:-@\[-`{-~]+)([ \n]|\z)"
 
 
 def tokenizer_path(name: str) -> str:
@@ -53,25 +54,34 @@ class Encoder:
         self.tok.encode_special_tokens = True  # their strings are ordinary text
         self.byte = kind == "byte"
         self.words: dict[str, bytes] = {}
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces that ``words`` lacks."""
+        # ids that begin a piece with a space, or end a word
+        self.edge = np.zeros(self.tok.get_vocab_size() + 1, dtype=bool)
+        for token, i in self.tok.get_vocab().items():
+            self.edge[i] = token.startswith("\u0120") if self.byte else token.endswith("</w>")
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces, by the library."""
         plain = (_BYTE_PLAIN if self.byte else _WORD_PLAIN).fullmatch
-        side, alone = [], []
-        for p in pieces:
-            (side if plain(p) else alone).append(p)
+        side: list[int] = []
+        alone: list[int] = []
+        for k, p in enumerate(pieces):
+            (side if plain(p) else alone).append(k)
+        out: list[bytes] = [b""] * len(pieces)
         join = "" if self.byte else " "
         for at in range(0, len(side), CHUNK):
             group = side[at:at + CHUNK]
-            e = self.tok.encode(join.join(group), add_special_tokens=False)
-            of = np.array(e.word_ids)
-            if of[-1] != len(group) - 1:  # a word that the library cuts itself
+            e = self.tok.encode(join.join([pieces[k] for k in group]), add_special_tokens=False)
+            ids = np.array(e.ids, dtype="<u4")
+            edge = np.flatnonzero(self.edge[ids])
+            if len(edge) != len(group):  # a word that the library cuts itself
                 alone += group
                 continue
-            raw = np.array(e.ids, dtype="<u4").tobytes()
-            cut = (4 * np.searchsorted(of, np.arange(len(group) + 1))).tolist()
-            self.words.update((p, raw[a:b]) for p, a, b in zip(group, cut, cut[1:]))
-        for p, e in zip(alone, self.tok.encode_batch(alone, add_special_tokens=False)):
-            self.words[p] = np.array(e.ids, dtype="<u4").tobytes()
+            cut = [*(4 * edge).tolist(), 4 * len(ids)] if self.byte else [0, *(4 * edge + 4).tolist()]
+            raw = ids.tobytes()
+            for k, a, b in zip(group, cut, cut[1:]):
+                out[k] = raw[a:b]
+        for k, e in zip(alone, self.tok.encode_batch([pieces[k] for k in alone], add_special_tokens=False)):
+            out[k] = np.array(e.ids, dtype="<u4").tobytes()
+        return out
 
     def _look_up(self, words: list[str]) -> list[bytes]:
         found = list(map(self.words.get, words))
@@ -79,26 +89,24 @@ class Encoder:
         if new:
             if len(self.words) > WORDS_KEPT:
                 self.words.clear()
-                new = range(len(words))
-            made = {}
-            for k in new:
-                w = words[k]
-                m = _ENDED.fullmatch(w)
-                made[k] = m.groups() if m else (w,)
-            self._learn(list({p for ps in made.values() for p in ps if p not in self.words}))
-            for k, ps in made.items():
-                found[k] = self.words[words[k]] = b"".join([self.words[p] for p in ps])
+            unknown = [words[k] for k in new]
+            learned = self._learn(unknown)
+            self.words.update(zip(unknown, learned))
+            for k, x in zip(new, learned):
+                found[k] = x
         return found
 
     def _block(self, texts: pa.Array) -> list[bytes]:
         if self.byte:
             odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
-            plain = pc.replace_substring(texts, " ", _MARK + " ")
+            plain = pc.replace_substring_regex(texts, _SIGNS, rf"\1{_MARK}\2\3")
+            plain = pc.replace_substring(plain, " ", _MARK + " ")
             plain = pc.replace_substring(plain, "\n", f"{_MARK}\n{_MARK}")
             lists = pc.split_pattern(plain, _MARK)
         else:
             odd = np.zeros(len(texts), dtype=bool)
-            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            plain = pc.replace_substring_regex(texts, _SIGNS, r"\1 \2\3")
+            lists = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
         if odd.any():
             lists = pc.if_else(pa.array(odd), pa.scalar([], lists.type), lists)
         coded = pc.dictionary_encode(lists.flatten())
