@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollstream.llm import decontaminate, packing, pii, quality, simhash
-from tollstream.llm.shared import stage, table
+from tollstream.llm.shared import stage, table, text_col
 from tollstream.llm.tokens import tokenizer_path
 
 QUALITY_FROM = 0.3
@@ -23,8 +23,7 @@ SIMHASH_WORDS, SIMHASH_BITS = 3, 2
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least QUALITY_FROM."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, "__score")
-    return scored.where(F.col("__score") >= QUALITY_FROM).drop("__score")
+    return docs.where(quality.score_of(spark, model, text_col()) >= QUALITY_FROM)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced; n_chars is the new text's."""
-    out = pii.replace(docs, pii.KEY).drop("__replaced")
+    out = pii.replace(docs, pii.KEY, counted=None)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.coalesce(F.char_length("text").cast(kind), F.col("n_chars")))

@@ -1,0 +1,35 @@
+"""Rows with every odd case: nulls, empty and long texts, ties, repeats,
+columns with names the operators use themselves."""
+
+SCHEMA = ("doc_id long, text string, lang string, score double, row string, found string, code long, place int, "
+          "__fp long, length int, kind string")
+WORDS = "the of and river stone under light garden seven quiet window letter morning paper bridge".split()
+
+
+def prose(seed: int, n: int) -> str:
+    x, out = seed * 7919 + 13, []
+    for _ in range(n):
+        x = (x * 1103515245 + 12345) % (1 << 31)
+        out.append(WORDS[(x >> 8) % len(WORDS)] + WORDS[(x >> 16) % len(WORDS)])
+    return " ".join(out) + "."
+
+
+def edge_rows() -> list[tuple]:
+    texts = [(1, "one two three four five six seven"), (2, None), (3, ""), (4, "   \n\t "), (5, "single"),
+             (6, prose(1, 60)), (6, prose(1, 60)), (7, prose(1, 60)), (None, prose(2, 30)), (None, None),
+             (8, prose(3, 40000)), (9, "one two three four five six seven"), (10, "é ñ 日本 \U0001f600 x"),
+             (11, prose(1, 60).replace("river", "RIVER")), (5, "another text with the same id")]
+    return [(i, t, "en", 0.5, "r", "f", 7, 1, 9, 3, "k") for i, t in texts]
+
+
+def edge_docs(spark):
+    return spark.createDataFrame(edge_rows(), SCHEMA)
+
+
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def pairs(df) -> list[tuple]:
+    """Rows as sorted tuples, null first."""
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((x is not None, str(x)) for x in r))

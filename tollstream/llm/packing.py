@@ -6,12 +6,12 @@ ids of which the first may be shorter. Sequences are planned over piece
 histogram of bounded size, however many documents there are, and what it
 returns is a bounded list of patterns (lengths in a sequence, and how often).
 
-Reduction (Martello-Toth): for the longest open length, a set of pieces that
-dominates every other set with it is fixed for good: the exact complement; or
-the largest fitting piece, when only one more piece fits, or when no two or
-more fitting pieces are longer together than it. The instance shrinks by the
-fixed sets. What it can't decide goes to best fit, longest first, into the
-fullest sequence with room.
+Reduction (Martello-Toth): for each length, longest first, a set of pieces
+that dominates every other set with it is fixed for good: the exact
+complement; or the largest fitting piece, when only one more piece fits, or
+when no two fitting pieces are longer together than it and no three fit. The
+instance shrinks by the fixed sets, until none is found. What is left goes to
+best fit, longest first, into the fullest sequence with room.
 
 Pieces get their place by their rank within their length. Ranks are counted
 over salted parts (shared.ranked), so a length that a third of all pieces
@@ -127,27 +127,40 @@ def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[tuple[
         if j * 2 >= capacity and j in open_.count and capacity - j in open_.count:
             if j * 2 > capacity or open_.count[j] > 1:
                 fix((j, capacity - j))
-    left: dict[int, int] = {}
-    while open_.lengths:
-        j = open_.lengths[-1]
-        room = capacity - j
-        n = open_.count[j]
-        open_.take(j, 1)  # the other pieces, without this one
-        k = open_.largest(room)
-        few = open_.smallest(3)
-        pair = open_.best_pair(room) if k is not None and sum(few[:2]) <= room else 0
-        triple = len(few) == 3 and sum(few) <= room
-        open_.count[j] = open_.count.get(j, 0) + 1
-        if j not in open_.lengths:
-            open_.lengths.append(j)
-        if k is None:
-            fix((j,))
-        elif k == room or not pair or (pair <= k and not triple):
-            fix((j, k))
-        else:
-            left[j] = n
-            open_.take(j, n)
-    return fixed, left
+    changed = True
+    while changed:
+        changed = False
+        for j in list(open_.lengths[::-1]):
+            while j in open_.count:
+                pattern = _dominating(open_, j, capacity - j)
+                if not pattern:
+                    break
+                fix(pattern)
+                changed = True
+    return fixed, open_.count
+
+
+def _dominating(open_: _Open, j: int, room: int) -> tuple[int, ...] | None:
+    """A set with j that dominates every other set with j, if one of at most
+    two pieces does."""
+    if open_.count[j] == 1 and len(open_.lengths) == 1:
+        return (j,)
+    single = open_.count[j] == 1
+    open_.take(j, 1)  # the other pieces, without this one
+    k = open_.largest(room)
+    few = open_.smallest(3)
+    if k is None:
+        found = (j,)
+    elif k == room or len(few) < 2 or sum(few[:2]) > room:
+        found = (j, k)
+    elif (len(few) < 3 or sum(few) > room) and open_.best_pair(room) <= k:
+        found = (j, k)
+    else:
+        found = None
+    open_.count[j] = open_.count.get(j, 0) + 1
+    if single:
+        open_.lengths.insert(bisect_left(open_.lengths, j), j)
+    return found
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:

@@ -247,7 +247,7 @@ def surrogate(value: Column, key: str, again: Column) -> Column:
 def _drawn_values(found: DataFrame) -> DataFrame:
     """The corpus' distinct values of the drawn kinds: kind, normal, value
     (one spelling)."""
-    values = found.select(F.explode("__found").alias("value"))
+    values = found.select(F.explode("found").alias("value"))
     values = values.select(kind_of(F.col("value")).alias("kind"), "value")
     return (values.select("kind", normal_form(F.col("kind"), F.col("value")).alias("normal"), "value")
             .where(F.col("kind").isin(*DRAWN)).groupBy("kind", "normal").agg(F.min("value").alias("value")))
@@ -270,38 +270,39 @@ def redrawn(found: DataFrame, key: str) -> DataFrame:
                                     (F.col("again") + F.col("clash").cast("int")).alias("again")), "values")
 
 
-def replace(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
-    """The documents, all columns, with surrogates in ``column`` and the
-    number of replaced values in ``__replaced``."""
+def replace(docs: DataFrame, key: str, column: str = "text", counted: str | None = "n_replaced") -> DataFrame:
+    """The documents, all columns, with surrogates in ``column``; ``counted``
+    names a column for the number of replaced values."""
     text = F.col(column).cast("string")
     hits = F.when(text.rlike(MAY), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    found = docs.select(hits.alias("__found")).where(F.size("__found") > 0)
-    again = redrawn(found, key)
-    rows = docs.withColumn("__found", hits)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), text.alias("raw"), hits.alias("found"))
+    again = redrawn(rows.select("found").where(F.size("found") > 0), key)
     if again.isEmpty():
-        rows = rows.withColumn("__again", F.lit(None).cast("map<string,int>"))
+        rows = rows.withColumn("again", F.lit(None).cast("map<string,int>"))
     else:
         # per text that has such a value: normal form -> draw number
-        keyed = rows.where(F.size("__found") > 0).select(F.md5(text.cast("binary")).alias("__key"), "__found").distinct()
-        keyed = keyed.select("__key", F.explode(F.array_distinct("__found")).alias("value"))
-        keyed = keyed.select("__key", kind_of(F.col("value")).alias("kind"), "value").select(
-            "__key", "kind", normal_form(F.col("kind"), F.col("value")).alias("normal"))
+        rows = rows.withColumn("text_key", F.md5(F.col("raw").cast("binary")))
+        keyed = rows.where(F.size("found") > 0).select("text_key", "found").distinct()
+        keyed = keyed.select("text_key", F.explode(F.array_distinct("found")).alias("value"))
+        keyed = keyed.select("text_key", kind_of(F.col("value")).alias("kind"), "value").select(
+            "text_key", "kind", normal_form(F.col("kind"), F.col("value")).alias("normal"))
         draws = (keyed.distinct().join(again, ["kind", "normal"])
-                 .groupBy("__key").agg(F.map_from_entries(F.collect_list(F.struct(
-                     F.concat_ws("/", "kind", "normal"), "again"))).alias("__again")))
-        rows = (rows.withColumn("__key", F.md5(text.cast("binary"))).join(draws, "__key", "left").drop("__key"))
+                 .groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct(
+                     F.concat_ws("/", "kind", "normal"), "again"))).alias("again")))
+        rows = rows.join(draws, "text_key", "left")
 
     def number(v: Column) -> Column:
         return let(kind_of(v), lambda k: F.coalesce(
-            F.try_element_at(F.col("__again"), F.concat_ws("/", k, normal_form(k, v))), F.lit(0)))
+            F.try_element_at(F.col("again"), F.concat_ws("/", k, normal_form(k, v))), F.lit(0)))
 
-    gaps = F.split(text, ANY, -1)
+    gaps = F.split(F.col("raw"), ANY, -1)
     made = let(gaps, lambda g: F.concat(g[0], F.concat_ws("", F.transform(
-        F.col("__found"), lambda v, i: F.concat(let(number(v), lambda a: surrogate(v, key, a)), F.get(g, i + 1))))))
-    replaced = F.when(F.size("__found") > 0, made).otherwise(text)
-    return (rows.withColumn(column, replaced)
-            .withColumn("__replaced", F.coalesce(F.greatest(F.size("__found"), F.lit(0)), F.lit(0)))
-            .drop("__found", "__again"))
+        F.col("found"), lambda v, i: F.concat(let(number(v), lambda a: surrogate(v, key, a)), F.get(g, i + 1))))))
+    new = F.when(F.size("found") > 0, made).otherwise(F.col("raw"))
+    out = [new.alias(c) if c == column else F.col("row")[c].alias(c) for c in docs.columns if c != counted]
+    if counted:
+        out.append(F.coalesce(F.greatest(F.size("found"), F.lit(0)), F.lit(0)).cast("long").alias(counted))
+    return rows.select(*out)
 
 
 KEY = "surrogates/1"
@@ -310,4 +311,4 @@ KEY = "surrogates/1"
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates in its text."""
     out = replace(table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
-    return out.select("doc_id", "text", F.col("__replaced").cast("long").alias("n_replaced"))
+    return out.select("doc_id", "text", "n_replaced")

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import ship, table, text_col, training_fold
@@ -132,17 +132,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: i
     return fit_discriminant(x[order], rows["label"].to_numpy()[order])
 
 
-def score(docs: DataFrame, model: Discriminant, column: str = "score") -> DataFrame:
-    """The documents, all columns, and the score of their text."""
-    ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def score_of(spark: SparkSession, model: Discriminant, text: Column) -> Column:
+    """The score of a text column's values."""
+    ship(spark)
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def of(texts: pd.Series) -> pd.Series:
         x = np.array([statistics(t) for t in texts], dtype=float).reshape(len(texts), WIDTH)
         return pd.Series(shared.value.score(x))
 
-    return docs.withColumn(column, of(text_col()))
+    return of(text)
+
+
+def score(docs: DataFrame, model: Discriminant, column: str = "score") -> DataFrame:
+    """The documents, all columns, and the score of their text in ``column``."""
+    return docs.withColumn(column, score_of(docs.sparkSession, model, text_col()))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import ship, stage, table, text_col
@@ -274,18 +274,15 @@ def keep_first(docs: DataFrame, words: int = 3, max_bits: int = 2,
     """One row of each component, with all columns: the one with the
     component's id (null if no member has an id); of repeated rows with that
     id, the first by text."""
-    from pyspark.sql import Window
-
-    cols = docs.columns
-    marked = with_fingerprints(docs, words)
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    marked = with_fingerprints(docs.select(row, F.col("doc_id"), F.col("text")), words)
     prints = stage(marked.select("doc_id", "__fp"), "fingerprints")
-    named = _with_components(prints, max_bits, bucket_rows).select(
-        F.col("doc_id").alias("__id"), F.col("__fp").alias("__code"), "__root", "component_id")
-    heads = (named.where(F.col("__id").eqNullSafe(F.col("component_id")))
-             .select("__id", "__code", "__root").distinct())
-    kept = marked.join(heads, marked["doc_id"].eqNullSafe(heads["__id"]) & (marked["__fp"] == heads["__code"]))
+    named = _with_components(prints, max_bits, bucket_rows)
+    heads = (named.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .select(F.col("doc_id").alias("head_id"), F.col("__fp").alias("head_code"), "__root").distinct())
+    kept = marked.join(heads, F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("__fp") == F.col("head_code")))
     first = F.row_number().over(Window.partitionBy("__root").orderBy(text_col()))
-    return kept.withColumn("__n", first).where("__n = 1").select(*[marked[c] for c in cols])
+    return kept.withColumn("place", first).where("place = 1").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
