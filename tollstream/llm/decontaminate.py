@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import ship, stage, table, text_col
+from .shared import frame as as_frame, ship, stage, table, text_col
 
 WIDTH, LEAST_SHARE, LEAST_RUN, LEAST_WORDS = 5, 0.8, 13, 3
 BITMAP_BITS = 24  # 2 MB
@@ -129,7 +129,7 @@ def _benchmark_windows(frames: Iterator[pd.DataFrame], width: int, least_words:
             total = int(good.sum())
             rows += [(item, k, int(np.int64(h[k].astype(np.int64))), total, min(width, len(words)),
                       said[k:k + width]) for k in np.flatnonzero(good).tolist()]
-        yield pd.DataFrame(rows, columns=["item_id", "i_at", "hash", "i_windows", "width", "i_said"])
+        yield as_frame(rows, ["item_id", "i_at", "hash", "i_windows", "width", "i_said"])
 
 
 def _document_windows(frames: Iterator[pd.DataFrame], bitmap, widths: list[int], least_words: int) -> Iterator[pd.DataFrame]:
@@ -146,7 +146,7 @@ def _document_windows(frames: Iterator[pd.DataFrame], bitmap, widths: list[int],
                 slot = (h >> shift).astype(np.int64)
                 hit = np.flatnonzero(good & ((bits[slot >> 3] >> (slot & 7)) & 1).astype(bool))
                 rows += [(doc, key, k, int(h[k].astype(np.int64)), width, said[k:k + width]) for k in hit.tolist()]
-        out = pd.DataFrame(rows, columns=["doc_id", "text_key", "d_at", "hash", "width", "d_said"])
+        out = as_frame(rows, ["doc_id", "text_key", "d_at", "hash", "width", "d_said"])
         out["doc_id"] = out["doc_id"].astype("Int64")
         yield out
 
@@ -189,7 +189,7 @@ def _checked(frames: Iterator[pd.DataFrame], least_share: float, least_run: int)
             share = len(at) / max(1, r.i_windows)
             if len(at) and (share >= least_share or run >= least_run):
                 rows.append((r.doc_id, r.text_key, r.item_id, len(at), share, run, changed > 0))
-        out = pd.DataFrame(rows, columns=["doc_id", "text_key", "item_id", "n_windows", "share", "run", "changed"])
+        out = as_frame(rows, ["doc_id", "text_key", "item_id", "n_windows", "share", "run", "changed"])
         out["doc_id"] = out["doc_id"].astype("Int64")
         out["item_id"] = out["item_id"].astype("Int64")
         yield out

@@ -90,14 +90,16 @@ def nodes(html: str, paths: Paths) -> list[tuple[int, str, int]]:
     """(path, raw text, block) of the text nodes that may be content."""
     out: list[tuple[int, str, int]] = []
     stack: list[tuple[str, bool]] = []  # tag, beside the content
+    open_tags: dict[str, int] = {}  # how often each is on the stack
     trail = [0]  # the path at each depth of the stack
     at = block = 0
     beside = 0
 
     def leave(n: int) -> None:
         nonlocal beside
-        for _, b in stack[n:]:
+        for t, b in stack[n:]:
             beside -= b
+            open_tags[t] -= 1
         del stack[n:]
         del trail[n + 1:]
 
@@ -122,21 +124,22 @@ def nodes(html: str, paths: Paths) -> list[tuple[int, str, int]]:
         if tag not in INLINE:
             block += 1
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    leave(k)
-                    break
-                if tag in INLINE and stack[k][0] not in INLINE:
-                    break  # an inline end tag doesn't close blocks
+            if open_tags.get(tag):
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k][0] == tag:
+                        leave(k)
+                        break
+                    if tag in INLINE and stack[k][0] not in INLINE:
+                        break  # an inline end tag doesn't close blocks
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and open_tags.get("p"):
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == "p":
                     leave(k)
                     break
                 if stack[k][0] not in INLINE:
                     break
-        if tag in SAME_ENDS:
+        if tag in SAME_ENDS and any(open_tags.get(t) for t in SAME_ENDS[tag]):
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in SAME_ENDS[tag]:
                     leave(k)
@@ -155,6 +158,7 @@ def nodes(html: str, paths: Paths) -> list[tuple[int, str, int]]:
                 BESIDE.search(a or b or c) for _, a, b, c in _NAMED.findall(attributes))
             aside = aside and tag not in WITHIN
         stack.append((tag, aside))
+        open_tags[tag] = open_tags.get(tag, 0) + 1
         trail.append(paths.below(trail[-1], tag))
         beside += aside
     return out

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import ranked, ship, stage, table, text_col
+from .shared import frame as as_frame, ranked, ship, stage, table, text_col
 from .tokens import encoder, tokenizer_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -52,7 +52,7 @@ def _pieces(frames: Iterator[pd.DataFrame], path: str, kind: str, end_id: int, c
                 part = ids[4 * a:4 * b]
                 rows.append((doc, k, a, b - a, zlib.crc32(part), part) if keep_ids
                             else (doc, k, a, b - a, zlib.crc32(part)))
-        out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
+        out = as_frame(rows, ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
         out["doc_id"] = out["doc_id"].astype("Int64")
         yield out
 

@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +45,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
+    """Rows as pandas; without rows the columns keep no type of their own."""
+    return pd.DataFrame(rows, columns=columns) if rows else pd.DataFrame(columns=columns, dtype=object)
+
+
 def text_col(name: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

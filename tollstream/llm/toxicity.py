@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .quality import labelled_sample
-from .shared import ship, table, training_fold
+from .shared import frame as as_frame, ship, table, text_col, training_fold
 
 MOST_ROWS = 20_000
 MOST_ENTRIES = 5_000
@@ -73,8 +73,7 @@ def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text, label in zip(frame["__text"], frame["label"]):
             for e in _entries(set(_WORD.findall(fold(text)))):
                 seen[e][int(label > 0)] += 1
-        yield pd.DataFrame({"entry": list(seen), "clean": [v[0] for v in seen.values()],
-                            "toxic": [v[1] for v in seen.values()]})
+        yield as_frame([(e, *n) for e, n in seen.items()], ["entry", "clean", "toxic"])
 
 
 @dataclass
@@ -96,7 +95,7 @@ class Lexicon:
 
             found = ahocorasick.Automaton()
             for e, w in self.weights.items():
-                found.add_word(" " + e.replace("|", " "), (len(e) + (0 if e.endswith("|") else 1), w))
+                found.add_word(" " + e.replace("|", " "), (len(e), w))
             for e in self.exceptions:
                 found.add_word(f" {e} ", (len(e) + 1, None))
             found.make_automaton()
@@ -201,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", exceptions: tu
                        for x in w]
                 rows += [(" ".join(w[a:a + 2]), int(y > 0)) for a in
                          {k for i, h in enumerate(hit) if h for k in (i - 1, i) if 0 <= k < len(w) - 1}]
-            yield pd.DataFrame(rows, columns=["phrase", "toxic"])
+            yield as_frame(rows, ["phrase", "toxic"])
 
     excused = (sample.mapInPandas(context, "phrase string, toxic int").groupBy("phrase")
                .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"))
@@ -221,8 +220,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", exceptions: tu
 
 def score(docs: DataFrame, lexicon: Lexicon, column: str = "score") -> DataFrame:
     """The documents, all columns, and the score of their text."""
-    from .shared import text_col
-
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
