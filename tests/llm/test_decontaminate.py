@@ -38,10 +38,24 @@ def test_contradicting_slots_are_no_leak(spark):
     assert (1, 1) in got and (0, 1) not in got
 
 
+def shown(text):
+    t = decontaminate.Template(text)
+    marks = {decontaminate._NUM: "<n>", decontaminate._IS_UNIT: "<u>", decontaminate._TITLE: "<p>"}
+    said = t.said(0, len(t))
+    return [marks.get(k, w) for k, w in zip(t.kind.tolist(), said)], said
+
+
 def test_names_and_units():
-    words, said = decontaminate.templates("We paid John Peter Smith 12.50 euros. Then 3 men left; Paris slept.")
-    assert words == ["we", "paid", "\x01p", "\x01n", "\x01u", "then", "\x01n", "men", "left", "\x01p", "slept"]
+    words, said = shown("We paid John Peter Smith 12.50 euros. Then 3 men left; Paris slept.")
+    assert words == ["we", "paid", "<p>", "<n>", "<u>", "then", "<n>", "men", "left", "<p>", "slept"]
     assert said[2] == "john peter smith" and said[3] == "12.50"
+    assert shown("5 km a day, one Day. Day 3 M")[0] == ["<n>", "<u>", "a", "day", "one", "<p>", "day", "<n>", "<u>"]
+    assert shown("")[0] == [] and shown("...")[0] == [] and shown("A")[0] == ["a"]
+
+
+def test_same_hash_for_same_template():
+    a, b, c = (decontaminate.Template(t) for t in ("He met Anna on 4 May", "HE met Bob Dole on 77 MAY", "He met them on 4 May"))
+    assert a.hashes[:4].tolist() == b.hashes[:4].tolist() and a.hashes[2] != c.hashes[2]
 
 
 def test_partial_passage_by_run(spark):

@@ -48,87 +48,108 @@ minute minutes h hr hour hours day days week weeks month months year years usd e
 euros percent mph kmh kph hz khz mhz ghz b kb mb gb tb w kw v a c f k""".split())
 
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?]")
-_NUMBER, _UNIT, _NAME = "\x01n", "\x01u", "\x01p"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def templates(text: str) -> tuple[list[str], list[str]]:
-    """Template words and the words they stand for (lower case). Names in a
-    row are one."""
-    out, said = [], []
-    start, number = True, False
-    for t in _TOKEN.findall(text):
-        if t in ".!?":
-            start, number = True, False
-            continue
-        low = t.lower()
-        if t[0].isdigit():
-            out.append(_NUMBER)
-            number = True
-        elif number and low in UNITS:
-            out.append(_UNIT)
-            number = False
-        elif not start and len(t) > 1 and t[0].isupper() and t[1:].islower():
-            number = False
-            if out and out[-1] == _NAME:
-                said[-1] += " " + low
-                continue
-            out.append(_NAME)
-        else:
-            out.append(low)
-            number = False
-        said.append(low)
-        start = False
-    return out, said
-
-
-class _Hasher:
-    """64-bit hashes of template words, kept per process up to a bound."""
-
-    def __init__(self, most: int = 500_000):
-        self.known: dict[str, int] = {}
-        self.most = most
+# What a token can be: sentence end, number, title-case word, unit, another word.
+_END, _NUM, _TITLE, _IS_UNIT, _PLAIN = range(5)
 
-    def __call__(self, words: list[str]) -> np.ndarray:
-        from xxhash import xxh64_intdigest
 
-        if len(self.known) > self.most:
-            self.known.clear()
-        known = self.known
-        for w in set(words):
-            if w not in known:
-                known[w] = xxh64_intdigest(w, 7)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+class _Vocabulary:
+    """Kind and hash of each token, kept per process up to a bound."""
 
+    def __init__(self, most: int = 400_000):
+        self.most = most
+        self._start()
 
-_HASH = _Hasher()
+    def _start(self) -> None:
+        self.number: dict[str, int] = {}
+        self.kind = np.zeros(1 << 12, np.int8)
+        self.hash = np.zeros(1 << 12, np.uint64)
 
+    def _add(self, token: str) -> None:
+        from xxhash import xxh64_intdigest
 
-def windows(words: list[str], width: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each window and whether it identifies a text."""
-    n = min(width, len(words))
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    h = _HASH(words)
-    plain = np.cumsum(np.concatenate([[0], [not w.startswith("\x01") for w in words]]))
-    m = len(words) - n + 1
-    out = np.zeros(m, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(n):
-            out = out * _MULTIPLIER + h[k:k + m]
-        out ^= out >> np.uint64(29)
-    return out, plain[n:] - plain[:-n] >= min(least_words, n)
+        k, low = len(self.number), token.lower()
+        if k == len(self.kind):
+            self.kind = np.concatenate([self.kind, np.zeros_like(self.kind)])
+            self.hash = np.concatenate([self.hash, np.zeros_like(self.hash)])
+        self.number[token] = k
+        self.hash[k] = xxh64_intdigest(low, 7)
+        self.kind[k] = (_END if token in ".!?" else _NUM if token[0].isdigit() else _IS_UNIT if low in UNITS
+                        else _TITLE if len(token) > 1 and token[0].isupper() and token[1:].islower() else _PLAIN)
+
+    def __call__(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.number) > self.most:
+            self._start()
+        for t in set(tokens):
+            if t not in self.number:
+                self._add(t)
+        at = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
+        return self.kind[at], self.hash[at]
+
+
+_TOKENS = _Vocabulary()
+_PLACEHOLDER = {_NUM: np.uint64(0x6E756D), _IS_UNIT: np.uint64(0x756E6974), _TITLE: np.uint64(0x6E616D65)}
+
+
+class Template:
+    """The template words of a text: a hash each, whether it is a
+    placeholder, and the tokens it stands for."""
+
+    def __init__(self, text: str):
+        self.tokens = _TOKEN.findall(text)
+        kind, hashes = _TOKENS(self.tokens)
+        before = np.concatenate([[_END], kind[:-1]]) if len(kind) else kind
+        unit = (kind == _IS_UNIT) & (before == _NUM)
+        # a unit that follows no number may still be a name ("Day")
+        title = (kind == _TITLE) | (kind == _IS_UNIT) & ~unit
+        for k in np.flatnonzero((kind == _IS_UNIT) & title).tolist():
+            t = self.tokens[k]
+            title[k] = len(t) > 1 and t[0].isupper() and t[1:].islower()
+        name = title & (before != _END)
+        self.kind = np.full(len(kind), _PLAIN, np.int8)
+        for own, mark in ((kind == _NUM, _NUM), (unit, _IS_UNIT), (name, _TITLE)):
+            self.kind[own] = mark
+            hashes = np.where(own, _PLACEHOLDER[mark], hashes)
+        again = np.zeros(len(kind), bool)  # names in a row are one
+        again[1:] = name[1:] & name[:-1]
+        self.at = np.flatnonzero((kind != _END) & ~again)
+        self.kind, self.hashes = self.kind[self.at], hashes[self.at]
+        self._ends = np.append(self.at[1:], len(self.tokens))
+        self._source = kind
+
+    def __len__(self) -> int:
+        return len(self.at)
+
+    def said(self, k: int, n: int) -> list[str]:
+        """What template words k to k + n stand for, in lower case."""
+        return [" ".join(self.tokens[j].lower() for j in range(a, b) if self._source[j] != _END)
+                for a, b in zip(self.at[k:k + n].tolist(), self._ends[k:k + n].tolist())]
+
+    def windows(self, width: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of each window and whether it identifies a text."""
+        n = min(width, len(self))
+        if not n:
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
+        plain = np.concatenate([[0], np.cumsum(self.kind == _PLAIN)])
+        m = len(self) - n + 1
+        out = np.zeros(m, np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(n):
+                out = out * _MULTIPLIER + self.hashes[k:k + m]
+            out ^= out >> np.uint64(29)
+        return out, plain[n:] - plain[:-n] >= min(least_words, n)
 
 
 def _benchmark_windows(frames: Iterator[pd.DataFrame], width: int, least_words: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
         for item, text in zip(frame["item_id"], frame["__text"]):
-            words, said = templates(text)
-            h, good = windows(words, width, least_words)
-            total = int(good.sum())
-            rows += [(item, k, int(np.int64(h[k].astype(np.int64))), total, min(width, len(words)),
-                      said[k:k + width]) for k in np.flatnonzero(good).tolist()]
+            t = Template(text)
+            h, good = t.windows(width, least_words)
+            total, n = int(good.sum()), min(width, len(t))
+            rows += [(item, k, int(h[k].astype(np.int64)), total, n, t.said(k, n)) for k in np.flatnonzero(good).tolist()]
         yield as_frame(rows, ["item_id", "i_at", "hash", "i_windows", "width", "i_said"])
 
 
@@ -138,14 +159,14 @@ def _document_windows(frames: Iterator[pd.DataFrame], bitmap, widths: list[int],
     for frame in frames:
         rows = []
         for doc, key, text in zip(frame["doc_id"], frame["text_key"], frame["__text"]):
-            words, said = templates(text)
+            t = Template(text)
             for width in widths:
-                if len(words) < width:
+                if len(t) < width:
                     continue
-                h, good = windows(words, width, least_words)
+                h, good = t.windows(width, least_words)
                 slot = (h >> shift).astype(np.int64)
                 hit = np.flatnonzero(good & ((bits[slot >> 3] >> (slot & 7)) & 1).astype(bool))
-                rows += [(doc, key, k, int(h[k].astype(np.int64)), width, said[k:k + width]) for k in hit.tolist()]
+                rows += [(doc, key, k, int(h[k].astype(np.int64)), width, t.said(k, width)) for k in hit.tolist()]
         out = as_frame(rows, ["doc_id", "text_key", "d_at", "hash", "width", "d_said"])
         out["doc_id"] = out["doc_id"].astype("Int64")
         yield out
