@@ -43,10 +43,10 @@ HASH_BITS = 20
 
 
 def _frequent_pairs(x: np.ndarray, inside: np.ndarray, min_count: int, most: int):
-    """(left, right) of the frequent pairs, most frequent first, and for every
-    position the number of its pair or -1. ``inside``: the pair at a position
-    lies in one document."""
-    slot = ((x[:-1] * np.uint32(0x9E3779B1) + x[1:]) * np.uint32(0x85EBCA77) >> np.uint32(32 - HASH_BITS)).astype(np.int64)
+    """(left, right) of the frequent pairs, most frequent first, and where
+    they occur: ascending positions and the number of the pair there.
+    ``inside``: the pair at a position lies in one document."""
+    slot = ((x[:-1] * np.uint32(0x9E3779B1) + x[1:]) * np.uint32(0x85EBCA77) >> np.uint32(32 - HASH_BITS)).view(np.int32)
     heavy = np.bincount(slot, minlength=1 << HASH_BITS) >= min_count  # a slot counts at least its pairs
     at = np.flatnonzero(heavy[slot])
     at = at[inside[at]]
@@ -59,10 +59,11 @@ def _frequent_pairs(x: np.ndarray, inside: np.ndarray, min_count: int, most: int
     good = good[np.lexsort((sorted_keys[first[good]], -count[good]))][:most]
     number = np.full(len(first), -1, np.int64)
     number[good] = np.arange(len(good))
-    pair = np.full(len(x) - 1, -1, np.int64)
-    pair[at[order]] = np.repeat(number, count)
+    pair = np.empty(len(at), np.int64)
+    pair[order] = np.repeat(number, count)
     chosen = sorted_keys[first[good]]
-    return chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF), pair
+    real = pair >= 0
+    return chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF), at[real], pair[real]
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, min_count: int, most: int = 8192, least_gain: float = 0.02,
@@ -74,21 +75,19 @@ def compress(ids: np.ndarray, ends: np.ndarray, min_count: int, most: int = 8192
     rules: list[np.ndarray] = []
     n_rules = 0
     while len(x) > 1:
-        a, b, pair = _frequent_pairs(x, ~last[:-1], min_count, most)
-        if not len(a):
-            break
-        none = np.iinfo(np.int64).max
-        rank = np.where(pair >= 0, pair, none)
-        before = np.concatenate([[none], rank[:-1]])
-        after = np.concatenate([rank[1:], [none]])
-        take = np.flatnonzero((pair >= 0) & (rank < before) & (rank <= after))
+        a, b, at, pair = _frequent_pairs(x, ~last[:-1], min_count, most)
+        # an occurrence yields to an overlapping one of a more frequent pair,
+        # of the same pair to the one before
+        touch = np.flatnonzero(np.diff(at) == 1)
+        free = np.ones(len(at), bool)
+        free[touch[pair[touch] > pair[touch + 1]]] = False
+        free[touch[pair[touch] <= pair[touch + 1]] + 1] = False
+        take, pair = at[free], pair[free]
         if len(take) < max(1, least_gain * len(x)):
             break
-        x[take] = (base + n_rules + pair[take]).astype(np.uint32)
+        x[take] = (base + n_rules + pair).astype(np.uint32)
         last[take] = last[take + 1]
-        keep = np.ones(len(x), bool)
-        keep[take + 1] = False
-        x, last = x[keep], last[keep]
+        x, last = np.delete(x, take + 1), np.delete(last, take + 1)
         rules.append(np.stack([a, b], axis=1).astype(np.uint32))
         n_rules += len(a)
     return x, last, base, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
@@ -153,27 +152,50 @@ class Shard:
         raw = np.zeros((n_symbols, 4), np.uint8)
         raw[:, :width] = array("u1", width * n_symbols).reshape(-1, width)
         self.symbols = raw.view("<u4").ravel()
+        self._flat = None
 
     def _sizes(self, symbols: np.ndarray) -> np.ndarray:
         rule = symbols.astype(np.int64) - self.base
         return np.where(rule < 0, 1, self.lengths[np.maximum(rule, 0)] if len(self.lengths) else 1)
 
+    def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids below every rule, one after the other, and where each
+        rule's begin. Built a level at a time, once a shard."""
+        if self._flat is None:
+            x, rule_of = self.rules.ravel(), np.repeat(np.arange(len(self.rules)), 2)
+            while True:
+                rule = x.astype(np.int64) - self.base
+                inner = np.flatnonzero(rule >= 0)
+                if not len(inner):
+                    break
+                n = np.ones(len(x), np.int64)
+                n[inner] = 2
+                at = np.cumsum(n) - n
+                out = np.empty(len(x) + len(inner), np.uint32)
+                out[at] = x
+                out[at[inner]] = self.rules[rule[inner], 0]
+                out[at[inner] + 1] = self.rules[rule[inner], 1]
+                x, rule_of = out, np.repeat(rule_of, n)
+            self._flat = x, np.searchsorted(rule_of, np.arange(len(self.rules)))
+        return self._flat
+
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """The ids below the symbols: all nonterminals a level at a time."""
-        x = symbols
-        while True:
-            rule = x.astype(np.int64) - self.base
-            inner = np.flatnonzero(rule >= 0)
-            if not len(inner):
-                return x
-            n = np.ones(len(x), np.int64)
-            n[inner] = 2
-            at = np.cumsum(n) - n
-            out = np.empty(len(x) + len(inner), np.uint32)
-            out[at] = x
-            out[at[inner]] = self.rules[rule[inner], 0]
-            out[at[inner] + 1] = self.rules[rule[inner], 1]
-            x = out
+        """The ids below the symbols."""
+        inner = np.flatnonzero(symbols >= self.base)
+        if not len(inner):
+            return symbols
+        flat, begins = self._expansions()
+        rule = symbols[inner].astype(np.int64) - self.base
+        n = self.lengths[rule]
+        more = np.zeros(len(symbols), np.int64)
+        more[inner] = n - 1
+        at = np.arange(len(symbols)) + np.cumsum(more) - more
+        out = np.empty(len(symbols) + int(more.sum()), np.uint32)
+        out[at] = symbols
+        end = np.cumsum(n)
+        inside = np.arange(end[-1]) - np.repeat(end - n, n)
+        out[np.repeat(at[inner], n) + inside] = flat[np.repeat(begins[rule], n) + inside]
+        return out
 
     def document(self, k: int) -> np.ndarray:
         return self.expand(self.symbols[self.begins[k]:self.begins[k + 1]])
