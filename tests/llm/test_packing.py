@@ -90,11 +90,8 @@ def test_encoder_gives_the_library_ids():
             assert [np.frombuffer(b, "<u4").tolist() for b in e.ids(texts)] == want
 
 
-def test_encoder_table_is_bounded(monkeypatch):
-    from tollstream.llm import tokens
-
-    monkeypatch.setattr(tokens, "WORDS_KEPT", 20)
-    e = Encoder(BYTE, "byte")
+def test_encoder_table_is_bounded():
+    e = Encoder(BYTE, "byte", words_kept=20)
     texts = [f"word{k} other{k} third" for k in range(60)]
     for t in texts:
         assert np.frombuffer(e.ids([t])[0], "<u4").tolist() == e.tok.encode(t, add_special_tokens=False).ids

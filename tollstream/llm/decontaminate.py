@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import frame as as_frame, ship, stage, table, text_col
+from .shared import frame as as_frame, release_memory, ship, stage, table, text_col
 
 WIDTH, LEAST_SHARE, LEAST_RUN, LEAST_WORDS = 5, 0.8, 13, 3
 BITMAP_BITS = 24  # 2 MB
@@ -58,7 +58,7 @@ _END, _NUM, _TITLE, _IS_UNIT, _PLAIN = range(5)
 class _Vocabulary:
     """Kind and hash of each token, kept per process up to a bound."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         self.most = most
         self._start()
 
@@ -170,6 +170,7 @@ def _document_windows(frames: Iterator[pd.DataFrame], bitmap, widths: list[int],
         out = as_frame(rows, ["doc_id", "text_key", "d_at", "hash", "width", "d_said"])
         out["doc_id"] = out["doc_id"].astype("Int64")
         yield out
+        release_memory()
 
 
 def _bitmap(item_windows: DataFrame) -> bytes:

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import frame as as_frame, ranked, ship, stage, table, text_col
+from .shared import frame as as_frame, ranked, release_memory, ship, stage, table, text_col
 from .tokens import encoder, tokenizer_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -55,6 +55,7 @@ def _pieces(frames: Iterator[pd.DataFrame], path: str, kind: str, end_id: int, c
         out = as_frame(rows, ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
         out["doc_id"] = out["doc_id"].astype("Int64")
         yield out
+        release_memory()
 
 
 def pieces(docs: DataFrame, path: str, kind: str, end_id: int, capacity: int,

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import ship, table, text_col, training_fold
+from .shared import release_memory, ship, table, text_col, training_fold
 
 MOST_ROWS = 20_000
 
@@ -140,6 +140,7 @@ def score_of(spark: SparkSession, model: Discriminant, text: Column) -> Column:
     @F.pandas_udf("double")
     def of(texts: pd.Series) -> pd.Series:
         x = np.array([statistics(t) for t in texts], dtype=float).reshape(len(texts), WIDTH)
+        release_memory()
         return pd.Series(shared.value.score(x))
 
     return of(text)

@@ -45,6 +45,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker lives on for other
+    stages, and allocators keep what they once held."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
+
+
 def frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
     """Rows as pandas; without rows the columns keep no type of their own."""
     return pd.DataFrame(rows, columns=columns) if rows else pd.DataFrame(columns=columns, dtype=object)

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import ship, stage, table, text_col
+from .shared import release_memory, ship, stage, table, text_col
 
 BLOCK = 1 << 15  # shingles whose bits are counted at once
 
@@ -63,7 +63,9 @@ def with_fingerprints(docs: DataFrame, words: int = 3, column: str = "__fp") ->
 
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series([_signed(fingerprint(t, words)) for t in texts], dtype="int64")
+        out = pd.Series([_signed(fingerprint(t, words)) for t in texts], dtype="int64")
+        release_memory()
+        return out
 
     return docs.withColumn(column, simhash(text_col()))
 

@@ -222,7 +222,7 @@ def _shards(frames: Iterator[pd.DataFrame], path: str, kind: str, end_id: int, s
     from pyspark import TaskContext
 
     part = TaskContext.get().partitionId()
-    enc, end = encoder(path, kind), end_id.to_bytes(4, "little")
+    enc, end = encoder(path, kind, 700_000), end_id.to_bytes(4, "little")
     docs: list = []
     ids: list[bytes] = []
     size = before = number = 0
@@ -268,7 +268,7 @@ def write_files(docs: DataFrame, folder: str, path: str, kind: str = "word", end
     (rows.repartitionByRange(ranges, "doc_id", "__tie").sortWithinPartitions("doc_id", "__tie")
      .select("doc_id", "__text")
      .mapInPandas(lambda it: _shards(it, path, kind, end_id, shard_ids), FILES)
-     .write.parquet(folder))
+     .write.option("compression", "zstd").parquet(folder))
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:

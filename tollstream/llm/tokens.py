@@ -19,9 +19,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WORDS_KEPT = 700_000
+WORDS_KEPT = 250_000  # about 200 bytes each, in every worker process
 CHUNK = 256
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 
 _MARK = "\x02"
 # Texts that the byte-level cut leaves whole: the mark itself, white space
@@ -46,7 +46,8 @@ def tokenizer_path(name: str) -> str:
 class Encoder:
     """ids(texts) -> one bytes of little-endian unsigned 32-bit ids a text."""
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, words_kept: int = WORDS_KEPT):
+        self.words_kept = words_kept
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -87,7 +88,7 @@ class Encoder:
         found = list(map(self.words.get, words))
         new = [k for k, x in enumerate(found) if x is None]
         if new:
-            if len(self.words) > WORDS_KEPT:
+            if len(self.words) > self.words_kept:
                 self.words.clear()
             unknown = [words[k] for k in new]
             learned = self._learn(unknown)
@@ -141,11 +142,12 @@ class Encoder:
         return out + (self._block(pa.array(block, pa.string())) if block else [])
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple[str, str, int], Encoder] = {}
 
 
-def encoder(path: str, kind: str) -> Encoder:
-    """One encoder per worker process and file."""
-    if (path, kind) not in _ENCODERS:
-        _ENCODERS[path, kind] = Encoder(path, kind)
-    return _ENCODERS[path, kind]
+def encoder(path: str, kind: str, words_kept: int = WORDS_KEPT) -> Encoder:
+    """One encoder per worker process, file and table size."""
+    key = (path, kind, words_kept)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
