@@ -7,10 +7,10 @@ import pytest
 from tollstream.__main__ import _args, run
 from tollstream.session import scratch_path
 from tollstream.sources.events import staged_lines
-from tollstream.sources.text import write_lines
+from tollstream.sources.text import read_lines, write_lines
 
 SF = "/root/testdata/sf0.01"
-KEYED_TEXT = re.compile(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3},0,\d+,\d+,0,\d+,\d+$")
+KEYED_TEXT = re.compile(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3},0,\d+,\d+,(\d+),\d+,\d+$")
 
 
 @pytest.fixture(scope="module")
@@ -34,16 +34,61 @@ def test_batch_keyed_and_passthrough(spark, line_files):
     assert len(plain) == 10000 and all(t.startswith("input = [") for t in plain)
 
 
-def test_stream_once(spark, line_files):
-    keyed = _run(spark, "keyed", "--input", line_files, "--stream", "--once", "--max-files", "1")
-    assert keyed and all(KEYED_TEXT.match(t) for t in keyed)
-    glob = _run(spark, "global", "--input", line_files, "--stream", "--once")
-    assert glob and all(re.match(r"^0, \d+, \d+, 0, \d+, \d+$", t) for t in glob)
+def content(texts):
+    """Notifications without clock and latency."""
+    return sorted(tuple(x.strip() for k, x in enumerate(t.split(",")) if k not in ((0, 4) if len(t.split(",")) == 7 else (3,)))
+                  for t in texts)
+
+
+def test_stream_equals_batch_on_numbered_lines(spark, line_files):
+    """Files of numbered lines, read in any order, one file per trigger."""
+    path = scratch_path(spark, "cli-numbered")
+    run(_args(["produce", "--numbered", "--input", line_files, "--output", path]), spark)
+    stream = ("--stream", "--once", "--numbered")
+    keyed = _run(spark, "keyed", "--input", path, *stream)
+    batch = _run(spark, "keyed", "--input", path, "--numbered")
+    assert len(keyed) == 1207 and content(keyed) == content(batch)
+    assert all(int(KEYED_TEXT.match(t)[1]) > 0 for t in keyed + batch)  # the latency since the files landed
+    glob = _run(spark, "global", "--input", path, *stream, "--delay", "40 minutes", "--on-late", "error")
+    want = content(_run(spark, "global", "--input", path, "--numbered"))
+    assert len(want) == 4336 and set(content(glob)) <= set(want)
+
+
+def test_ambiguous_order_is_refused(spark):
+    """Lines without numbers: two first reports of a vehicle in one second,
+    in two segments."""
+    path = scratch_path(spark, "cli-tied")
+    rows = ["0,10,7,50,0,1,0,3,0", "0,10,7,50,0,1,0,4,0", "0,10,8,50,0,1,0,4,0"]
+    spark.createDataFrame([(x + ",-1" * 6,) for x in rows], "value string").coalesce(1).write.text(path)
+    with pytest.raises(Exception, match="no order among the first reports"):
+        _run(spark, "keyed", "--input", path, "--stream", "--once")
+
+
+def test_checkpoint_settings_are_kept(spark, line_files):
+    from tollstream.streaming.layout import LayoutChanged
+
+    ck = scratch_path(spark, "cli-ck")
+    args = ("passthrough", "--input", line_files, "--stream", "--once", "--checkpoint", ck)
+    assert len(_run(spark, *args)) == 10000
+    with pytest.raises(LayoutChanged):
+        _run(spark, *args, "--delay", "5 minutes")
 
 
 def test_produce_and_logstats(spark, line_files):
     canonical = _run(spark, "produce", "--input", line_files)
     assert len(canonical) == 10000 and all(len(t.split(",")) == 15 for t in canonical)
+    # arrival order is kept without broadcast joins too
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        out = scratch_path(spark, "cli-order")
+        run(_args(["produce", "--input", line_files, "--output", out]), spark)
+        both = [read_lines(spark, p).orderBy("offset") for p in (line_files, out)]
+        first9 = [[r["value"].split(",")[:9] for r in df.collect()] for df in both]
+        assert first9[0] == first9[1]
+    finally:
+        spark.conf.set(key, before)
     prefix = _run(spark, "produce", "--input", line_files, "--second", "600")
     assert len(prefix) == 3323                      # as the replay_prefix oracle at second 600
     log = scratch_path(spark, "cli-log")

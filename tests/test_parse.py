@@ -20,9 +20,9 @@ def lines(spark, values):
 
 
 def test_strict_good_line(spark):
-    r = parse_reports(lines(spark, [GOOD, "+2,32,126,-1,-1,-1,-1,-1,-1,4,-1,-1,-1,-1,-1"])).collect()
+    r = parse_reports(lines(spark, [GOOD, "+3,45,208,17,-1,-1,-1,-1,-1,6"])).collect()
     assert tuple(r[0])[1:] == (0, 40, 7, 55, 1, 2, 0, 13, 70000)
-    assert tuple(r[1])[1:4] == (2, 32, 126)
+    assert tuple(r[1])[1:5] == (3, 45, 208, 17)
     assert parse_reports(lines(spark, [GOOD])).schema["time"].dataType.typeName() == "short"
 
 
@@ -70,3 +70,12 @@ def test_validity_boundaries(spark, line, ok):
     df = lines(spark, [line])
     assert (parse_reports(df, mode="permissive").count() == 1) == ok
     assert (rejected_lines(df).count() == 0) == ok
+
+
+def test_line_ends_and_breaks(spark):
+    """A line break behind field 8 is not part of an int; one in a later,
+    ignored field is any character."""
+    bad = lines(spark, ["0,1,2,3,4,5,6,7,8\n"])
+    assert parse_reports(bad, mode="permissive").count() == 0
+    good = lines(spark, ["0,1,2,3,4,5,6,7,8,x\ny"])
+    assert parse_reports(good).count() == 1

@@ -1,8 +1,10 @@
-"""Session helpers: shared folder, staging, state store, input spreading."""
+"""Session helpers: shared folder, staging, state store, distribution."""
+
+from pyspark.sql import functions as F
 
 from tollstream.session import (ROCKSDB_PROVIDER, checkpoint_root, ensure_state_store, scratch_path,
-                                stage_table, task_slots)
-from tollstream.sources.events import spread
+                                stage_table)
+from tollstream.sources.events import distribute
 
 
 def test_checkpoint_root_is_the_sessions_folder(spark):
@@ -20,11 +22,24 @@ def test_stage_table_round_trip(spark):
     assert sorted(tuple(r) for r in staged.collect()) == [(i, 2 * i) for i in range(100)]
 
 
-def test_spread_only_small_inputs(spark):
-    small = spark.range(0, 1000, numPartitions=1)
-    assert spread(small, "id").rdd.getNumPartitions() == task_slots(spark)
-    large = spark.range(0, 1000, numPartitions=task_slots(spark) * 2)
-    assert spread(large, "id") is large                         # no shuffle added
+def test_distribute(spark):
+    df = spark.range(0, 1000, numPartitions=2)
+    assert distribute(df, 5).rdd.getNumPartitions() == 5
+    by_key = distribute(df.selectExpr("id % 3 AS k"), 7, "k")
+    assert by_key.rdd.getNumPartitions() == 7
+    assert by_key.select("k", F.spark_partition_id().alias("p")).distinct().count() == 3
+
+
+def test_drop_scratch(spark):
+    from tollstream import session
+
+    kept = session._SCRATCH.pop(session.app_id(spark), [])
+    path = session.scratch_path(spark, "drop-me")
+    spark.range(3).write.parquet(path)
+    fs, p = session.hadoop_path(spark, path)
+    assert fs.exists(p) and session.drop_scratch(spark) == 1 and not fs.exists(p)
+    session._SCRATCH[session.app_id(spark)] = kept
+
 
 
 def test_ensure_state_store(spark):

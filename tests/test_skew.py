@@ -2,7 +2,6 @@
 
 import random
 
-import pytest
 from helpers import reports_df
 from pyspark.sql import functions as F
 from test_reference_loop import replay_global, replay_keyed
@@ -13,16 +12,6 @@ from tollstream.plans.global_ import toll_notifications_global
 from tollstream.plans.keyed import toll_notifications_keyed
 
 
-@pytest.fixture(autouse=True)
-def tiny_partitions(spark):
-    """Make these small inputs count as large, so the hot-key split runs."""
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "1k")
-    yield
-    spark.conf.set(key, previous)
-
-
 def skewed_rows(seed=11, n=6000):
     rnd = random.Random(seed)
     times = sorted(rnd.randrange(0, 600) for _ in range(n))
@@ -38,7 +27,7 @@ def test_hot_split_equals_plain_join(spark):
     df = reports_df(spark, skewed_rows())
     small = first_reports(df)
     count_col = [c for c in small.columns if c.endswith("rows")][0]
-    threshold = spark.range(1).select(hot_threshold(small, count_col, 8)).first()[0]
+    threshold = spark.range(1).select(hot_threshold(df, 8)).first()[0]
     hot = [r["vid"] for r in small.where(F.col(count_col) > threshold).collect()]
     assert hot == [0]
     plain = df.join(small, "vid")

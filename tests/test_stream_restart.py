@@ -1,0 +1,147 @@
+"""Streams stopped and resumed: in the middle of a minute, with pauses, under
+another shuffle setting; late rows; state lifetime; state layout."""
+
+import pytest
+from helpers import rep
+from pyspark.sql import functions as F
+
+from tollstream.functions.parse import parse_reports
+from tollstream.plans.global_ import toll_notifications_global
+from tollstream.plans.keyed import toll_notifications_keyed
+from tollstream.session import scratch_path
+from tollstream.sources.events import report_lines, staged_lines
+from tollstream.streaming.applications import kept_reports_stream, toll_stream_global, toll_stream_keyed
+from tollstream.streaming.layout import LayoutChanged, keep_layout
+from tollstream.streaming.runner import (LateRowsDropped, late_rows, progress_figures, read_stream_like,
+                                         run_to_completion, write_ordered_chunks)
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "offset long, type int, time smallint, vid int, speed int, xway int, lane int, dir int, seg int, pos int"
+SHUFFLE = "spark.sql.shuffle.partitions"
+
+
+def same(a, b):
+    return a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.fixture(scope="module")
+def lines(spark):
+    return staged_lines(spark, SF)
+
+
+@pytest.fixture(autouse=True)
+def shuffle(spark):
+    before = spark.conf.get(SHUFFLE)
+    spark.conf.set(SHUFFLE, "3")
+    yield lambda n: spark.conf.set(SHUFFLE, str(n))
+    spark.conf.set(SHUFFLE, before)
+
+
+def parts_of(lines, *cuts):
+    edges = [0, *cuts, 1 << 40]
+    return [lines.where((F.col("offset") >= a) & (F.col("offset") < b)) for a, b in zip(edges, edges[1:])]
+
+
+@pytest.mark.parametrize("mode", ["exact", "window"])
+def test_keyed_restarts(spark, lines, shuffle, mode):
+    """Stopped in the middle of minutes, with runs that find nothing new,
+    under 4, then 3 shuffle partitions."""
+    src, ck, out = (scratch_path(spark, n) for n in ("rs-src", "rs-ck", "rs-out"))
+
+    def run():
+        s = read_stream_like(spark, src, lines.schema)
+        return run_to_completion(toll_stream_keyed(parse_reports(s), mode=mode, emit_zero=True), out, ck)
+
+    for k, part in enumerate(parts_of(lines, 507)):
+        shuffle(3 if k else 4)
+        write_ordered_chunks(part, src, 1)
+        assert late_rows(run()) == 0
+        if not k:
+            run()
+    got = spark.read.parquet(out)
+    want = toll_notifications_keyed(parse_reports(lines), emit_zero=True)
+    if mode == "window":  # answered once the watermark has passed
+        done = lines.agg(F.max(F.split("value", ",")[1].cast("int"))).first()[0] - 61
+        got, want = got.where(F.col("time") < done), want.where(F.col("time") < done)
+    assert want.count() > 250 and same(got, want)
+
+
+def test_global_restarts(spark, lines, shuffle):
+    src, ck1, ck2, kept_path, out = (scratch_path(spark, n) for n in ("g-src", "g-ck1", "g-ck2", "g-kept", "g-out"))
+    for k, part in enumerate(parts_of(lines, 507)):
+        shuffle(3 if k else 4)
+        write_ordered_chunks(part, src, 1)
+        for _ in range(2 - k):
+            kept = kept_reports_stream(parse_reports(read_stream_like(spark, src, lines.schema)))
+            run_to_completion(kept, kept_path, ck1)
+            stage2 = toll_stream_global(read_stream_like(spark, kept_path, kept.schema))
+            assert late_rows(run_to_completion(stage2, out, ck2)) == 0
+    done = lines.agg(F.max(F.split("value", ",")[1].cast("int"))).first()[0] - 61
+    got, want = spark.read.parquet(out), toll_notifications_global(parse_reports(lines))
+    got, want = got.where(F.col("time") < done), want.where(F.col("time") < done)
+    assert want.count() > 250 and same(got, want)
+
+
+def run_parts(spark, parts, **kw):
+    src, out = scratch_path(spark, "late-src"), scratch_path(spark, "late-out")
+    for part in parts:
+        write_ordered_chunks(report_lines(spark.createDataFrame(part, SCHEMA)), src, 1, files_per_chunk=1)
+    s = read_stream_like(spark, src, "offset long, value string", max_files=1)
+    on_late = kw.pop("on_late", "report")
+    q = run_to_completion(toll_stream_keyed(parse_reports(s), mode="window", emit_zero=True, **kw), out, on_late=on_late)
+    return q, {r["offset"]: r["num_vehicles"] for r in spark.read.parquet(out).collect()}
+
+
+def test_late_rows_are_counted_or_an_error(spark):
+    parts = [[rep(i, 10, 100 + i) for i in range(5)] + [rep(10, 400, 1)], [rep(11, 410, 2)], [rep(12, 20, 3)]]
+    q, got = run_parts(spark, parts)
+    assert late_rows(q) > 0 and progress_figures(q)["late_rows_dropped"] == late_rows(q)
+    with pytest.raises(LateRowsDropped):
+        run_parts(spark, parts, on_late="error")
+    q, wide = run_parts(spark, parts, delay="10 minutes", on_late="error")
+    assert late_rows(q) == 0
+
+
+def test_state_lifetime(spark):
+    """With a TTL the state is forgotten by the clock; without, kept."""
+    early = [rep(i, 10, 1000 + i, speed=30) for i in range(5)] + [rep(9, 20, 7, seg=3)]
+    later = [rep(100, 70, 50, speed=30), rep(101, 75, 7, seg=3)]
+    for ttl, cars, again in ((None, 5, False), (1, 0, True)):
+        src, out, ck = (scratch_path(spark, n) for n in ("ttl-src", "ttl-out", "ttl-ck"))
+        for part in (early, later):
+            write_ordered_chunks(report_lines(spark.createDataFrame(part, SCHEMA)), src, 1, files_per_chunk=1)
+            s = read_stream_like(spark, src, "offset long, value string")
+            run_to_completion(toll_stream_keyed(parse_reports(s), emit_zero=True, ttl_ms=ttl), out, ck,
+                              ttl=ttl is not None)
+        got = {r["offset"]: r["num_vehicles"] for r in spark.read.parquet(out).collect()}
+        assert got[100] == cars
+        assert (101 in got) == again  # a forgotten vehicle is new again
+    with pytest.raises(ValueError):
+        toll_stream_keyed(parse_reports(read_stream_like(spark, src, "offset long, value string")), mode="window", ttl_ms=5)
+
+
+def test_layout_is_kept(spark):
+    ck = scratch_path(spark, "layout-ck")
+    keep_layout(spark, ck, buckets=64, salts=8)
+    keep_layout(spark, ck, salts=8, buckets=64)
+    with pytest.raises(LayoutChanged):
+        keep_layout(spark, ck, buckets=32, salts=8)
+
+
+def test_exact_mode_over_shuffled_batches(spark):
+    """Against a loop over the reports in arrival order, times in any order."""
+    import random
+
+    from test_reference_loop import replay_keyed
+
+    rng = random.Random(8)
+    rows = [(k, 0, rng.randrange(0, 900), rng.randrange(1, 60), rng.randrange(0, 100), 0, rng.randrange(5), rng.randrange(2),
+             rng.randrange(2), 0) for k in range(1500)]
+    src, out = scratch_path(spark, "ex-src"), scratch_path(spark, "ex-out")
+    lines = report_lines(spark.createDataFrame(rows, SCHEMA))
+    files = write_ordered_chunks(lines, src, 5, files_per_chunk=2)
+    s = read_stream_like(spark, src, "offset long, value string", max_files=files)
+    q = run_to_completion(toll_stream_keyed(parse_reports(s), emit_zero=True), out)
+    assert progress_figures(q)["batches"] == 5
+    got = {r["offset"]: (r["lav"], r["num_vehicles"], r["toll"]) for r in spark.read.parquet(out).collect()}
+    assert got == replay_keyed(rows)

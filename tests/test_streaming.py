@@ -43,14 +43,14 @@ def test_global_stream_equals_batch(spark, lines):
 def test_restart_from_checkpoint(spark, lines):
     src, ck, out = (scratch_path(spark, n) for n in ("src", "ck", "out"))
     first = lines.where(F.col("offset") < 5000)
-    write_ordered_chunks(first, src, 2)
+    write_ordered_chunks(first, src, 2, files_per_chunk=1)
 
     def run():
         s = read_stream_like(spark, src, lines.schema, max_files=1)
         run_to_completion(toll_stream_keyed(parse_reports(s), emit_zero=True), out, ck)
 
     run()
-    write_ordered_chunks(lines.where(F.col("offset") >= 5000), src, 2)
+    write_ordered_chunks(lines.where(F.col("offset") >= 5000), src, 2, files_per_chunk=1)
     run()                                                      # resumes offsets and state
     want = toll_notifications_keyed(parse_reports(lines), emit_zero=True)
     assert same(spark.read.parquet(out), want)
@@ -65,7 +65,7 @@ def test_late_report_exact_mode(spark):
     schema = "offset long, type int, time smallint, vid int, speed int, xway int, lane int, dir int, seg int, pos int"
     src = scratch_path(spark, "late-src")
     for part in (minute1 + early, late):
-        write_ordered_chunks(report_lines(spark.createDataFrame(part, schema)), src, 1)
+        write_ordered_chunks(report_lines(spark.createDataFrame(part, schema)), src, 1, files_per_chunk=1)
     s = read_stream_like(spark, src, "offset long, value string", max_files=1)
     out = scratch_path(spark, "late-out")
     run_to_completion(toll_stream_keyed(parse_reports(s), emit_zero=True), out)
@@ -108,16 +108,16 @@ def test_window_mode_waits_for_watermark(spark):
         return {r["offset"] for r in spark.read.parquet(out).collect()}
 
     for part in chunks[:2]:
-        write_ordered_chunks(report_lines(spark.createDataFrame(part, schema)), src, 1)
+        write_ordered_chunks(report_lines(spark.createDataFrame(part, schema)), src, 1, files_per_chunk=1)
     assert 21 not in run()                    # minute 13 still open at watermark 719 s
-    write_ordered_chunks(report_lines(spark.createDataFrame(chunks[2], schema)), src, 1)
+    write_ordered_chunks(report_lines(spark.createDataFrame(chunks[2], schema)), src, 1, files_per_chunk=1)
     got = run()
     assert {0, 1, 2, 3, 4, 10, 21} <= got
 
 
 def test_window_state_stays_bounded(spark, lines):
     src, out = scratch_path(spark, "b-src"), scratch_path(spark, "b-out")
-    write_ordered_chunks(lines, src, 6)
+    write_ordered_chunks(lines, src, 6, files_per_chunk=1)
     s = read_stream_like(spark, src, lines.schema, max_files=1)
     q = run_to_completion(toll_stream_keyed(parse_reports(s), mode="window"), out)
     agg = [sorted(so["numRowsTotal"] for so in p["stateOperators"] if so["operatorName"] == "stateStoreSave")
@@ -135,7 +135,7 @@ def test_notification_text_sink(spark, lines):
     from tollstream.streaming.applications import notification_text
     from tollstream.streaming.sinks import text_sink
     src, out = scratch_path(spark, "n-src"), scratch_path(spark, "n-out")
-    write_ordered_chunks(lines, src, 2)
+    write_ordered_chunks(lines, src, 2, files_per_chunk=1)
     s = read_stream_like(spark, src, lines.schema, max_files=1)
     q = text_sink(notification_text(toll_stream_keyed(parse_reports(s))), out, trigger="availableNow")
     q.awaitTermination()

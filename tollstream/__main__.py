@@ -19,16 +19,28 @@ roll), ``--mode exact|window`` for keyed tolls, ``--kafka HOST:PORT
 [--topic lrb]`` to read a topic instead of files. Output is text, one
 notification or pass-through line per row.
 
-Batch file input is numbered in file order (line number = arrival order).
-A file stream has no line position, so vehicle order uses ``time`` (a Linear
-Road vehicle reports once per 30 s); Kafka input uses the record offset.
+Batch file input is ordered by its place in the files. A file stream has no
+line position: with ``--numbered`` each line begins with its number and a tab
+(``produce --numbered`` writes such lines) and batch and stream use that;
+otherwise a stream's vehicle order is ``time`` (a Linear Road vehicle reports
+once per 30 s), and a vehicle whose first reports share a second but not the
+segment ends the query, since its first segment can't be told. Kafka input
+uses the record offset; topics of several partitions must be keyed by vehicle
+(``--keyed-topic``, ``produce --by-vehicle``).
+
+``emit`` in the notifications is the latency from the ingest stamp (the
+record's timestamp, or when the line's file landed) to the clock of the
+(micro-)batch. ``--delay`` is how late a report may come in window mode;
+dropped ones are printed at the end of a ``--once`` run, ``--on-late error``
+makes them an error. A checkpoint remembers the settings its state depends
+on and refuses others.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.format import full_csv
@@ -37,14 +49,17 @@ from .operators.logs import marker_filter, throughput_per_second, time_range
 from .operators.replay import replay_prefix
 from .plans.global_ import toll_notifications_global
 from .plans.keyed import toll_notifications_keyed
-from .schema import ORDER_COL
-from .session import build_session, scratch_path
-from .sources.kafka import kafka_lines, kafka_options, read_kafka
-from .sources.text import read_lines, read_lines_stream
-from .streaming.applications import (kept_reports_stream, notification_text, passthrough_stream,
-                                  toll_stream_global, toll_stream_keyed)
-from .streaming.runner import read_stream_like
-from .streaming.sinks import text_sink, write_kafka
+from .schema import HISTORY_MINUTES, ORDER_COL
+from .session import build_session, drop_scratch, scratch_path
+from .sources.kafka import MAX_RECORDS_PER_TRIGGER, kafka_lines, kafka_options, read_kafka
+from .sources.text import MAX_FILES_PER_TRIGGER, read_lines, read_lines_stream, write_lines
+from .streaming.applications import (DEFAULT_DELAY, kept_reports_stream, notification_text, passthrough_stream,
+                                     toll_stream_global, toll_stream_keyed)
+from .streaming.layout import JOIN_SALTS, VEHICLE_BUCKETS, keep_layout
+from .streaming.runner import LateRowsDropped, late_rows, no_data_batches, read_stream_like
+from .streaming.sinks import text_sink, vehicle_key, write_kafka
+
+INGEST = "ingest_ts"
 
 
 def _args(argv: list[str] | None) -> argparse.Namespace:
@@ -57,10 +72,17 @@ def _args(argv: list[str] | None) -> argparse.Namespace:
     p.add_argument("--stream", action="store_true")
     p.add_argument("--once", action="store_true", help="stream: process what is there, then stop")
     p.add_argument("--mode", choices=["exact", "window"], default="exact")
+    p.add_argument("--delay", default=DEFAULT_DELAY, help="window statistics: how late a report may come")
+    p.add_argument("--on-late", choices=["report", "error"], default="report")
+    p.add_argument("--ttl-ms", type=int, default=None, help="exact mode: forget state after this time")
+    p.add_argument("--keyed-topic", action="store_true", help="Kafka: records are keyed by vehicle")
+    p.add_argument("--numbered", action="store_true", help="lines begin with their number and a tab")
+    p.add_argument("--by-vehicle", action="store_true", help="produce: key records by vehicle")
+    p.add_argument("--max-offsets", type=int, default=MAX_RECORDS_PER_TRIGGER, help="Kafka: records per trigger")
     p.add_argument("--emit-zero", action="store_true", help="keyed: keep zero tolls")
     p.add_argument("--stamped", action="store_true", help="passthrough: (stamp,line) instead of input = [line]")
     p.add_argument("--checkpoint", help="stream checkpoint folder (default: under spark.checkpoint.dir)")
-    p.add_argument("--max-files", type=int, default=None, help="file stream: files per trigger")
+    p.add_argument("--max-files", type=int, default=MAX_FILES_PER_TRIGGER, help="file stream: files per trigger")
     p.add_argument("--master", default=None, help="for local runs, e.g. local[8]")
     p.add_argument("--second", type=int, default=None, help="produce: replay prefix at this elapsed second")
     p.add_argument("--marker", default=None, help="logstats: keep lines containing this text")
@@ -74,21 +96,41 @@ def _args(argv: list[str] | None) -> argparse.Namespace:
     return a
 
 
-def _stream_lines(spark: SparkSession, a: argparse.Namespace) -> tuple[DataFrame, str]:
+def _stream_lines(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """``offset, ingest_ts, value`` of the stream's lines."""
     if a.kafka:
-        return kafka_lines(read_kafka(spark, kafka_options(a.kafka, a.topic))), ORDER_COL
-    return read_lines_stream(spark, a.input, a.max_files), "time"
+        records = read_kafka(spark, kafka_options(a.kafka, a.topic, max_offsets_per_trigger=a.max_offsets))
+        return kafka_lines(records, a.keyed_topic).select(ORDER_COL, INGEST, "value")
+    lines = read_lines_stream(spark, a.input, a.max_files)
+    return numbered(lines) if a.numbered else lines.select(time_order(F.col("value")).alias(ORDER_COL), INGEST, "value")
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """``offset, ingest_ts, value`` of lines that carry their number."""
+    parts = F.split("value", "\t", 2)
+    return lines.select(parts[0].cast("bigint").alias(ORDER_COL), INGEST, parts[1].alias("value"))
+
+
+def time_order(value: Column) -> Column:
+    """Order value of a line without a position: its time."""
+    return F.get(F.split(value, ","), 1).try_cast("bigint")
 
 
 def _produce(a: argparse.Namespace, spark: SparkSession) -> None:
-    tuples = parse_full_lenient(read_lines(spark, a.input))
+    tuples = parse_full_lenient(read_lines(spark, a.input, order="number" if a.numbered else "value"))
     if a.second is not None:
         tuples = replay_prefix(tuples, a.second)
     out = tuples.select(ORDER_COL, full_csv(tuples).alias("value"))
     if a.kafka:
-        write_kafka(out, a.kafka, a.topic)
+        # one vehicle's records must reach its partition in order
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        keyed = out.withColumn("_v", vehicle_key(F.col("value")))
+        ordered = keyed.repartition(n, "_v").sortWithinPartitions(ORDER_COL) if a.by_vehicle \
+            else out.repartitionByRange(1, ORDER_COL).sortWithinPartitions(ORDER_COL)
+        write_kafka(ordered.select("value"), a.kafka, a.topic, key_col=None, by_vehicle=a.by_vehicle)
     else:
-        out.select("value").write.text(a.output)
+        text = F.concat_ws("\t", F.col(ORDER_COL).cast("string"), "value") if a.numbered else F.col("value")
+        write_lines(out.withColumn("value", text), a.output)
 
 
 def _logstats(a: argparse.Namespace, spark: SparkSession) -> None:
@@ -107,27 +149,30 @@ def run(a: argparse.Namespace, spark: SparkSession) -> None:
     if a.app == "logstats":
         return _logstats(a, spark)
     if not a.stream:
-        lines = read_lines(spark, a.input)
-        if a.app == "keyed":
-            out = notification_text(toll_notifications_keyed(parse_reports(lines), emit_zero=a.emit_zero))
-        elif a.app == "global":
-            out = notification_text(toll_notifications_global(parse_reports(lines)), "global")
-        else:
+        if a.app == "passthrough":
+            lines = read_lines(spark, a.input, line_number=False)
             out = passthrough_stream(lines, "stamped" if a.stamped else "text")
+        else:
+            lines = read_lines(spark, a.input, not a.numbered, order="value", ingest_ts=INGEST)
+            parsed = parse_reports(numbered(lines) if a.numbered else lines)
+            tolls = toll_notifications_keyed(parsed, emit_zero=a.emit_zero, ingest_ts=INGEST) if a.app == "keyed" \
+                else toll_notifications_global(parsed, ingest_ts=INGEST)
+            out = notification_text(tolls, a.app, latency="emit")
         out.select("text").write.text(a.output)
         return
 
     trigger = "availableNow" if a.once else "1 second"
     ck = a.checkpoint or scratch_path(spark, f"cli-{a.app}")
-    lines, order = _stream_lines(spark, a)
+    keep_layout(spark, ck, app=a.app, mode=a.mode, delay=a.delay, ttl_ms=a.ttl_ms, buckets=VEHICLE_BUCKETS,
+                salts=JOIN_SALTS, history=HISTORY_MINUTES)
+    lines = _stream_lines(spark, a)
     queries = []
     if a.app == "keyed":
-        parsed = parse_reports(lines, keep=[order] if order != "time" else [])
-        out = notification_text(toll_stream_keyed(parsed, mode=a.mode, emit_zero=a.emit_zero, order_col=order))
+        out = notification_text(toll_stream_keyed(parse_reports(lines), mode=a.mode, emit_zero=a.emit_zero, delay=a.delay,
+                                                  ttl_ms=a.ttl_ms, ingest_ts=INGEST, refuse_ties=True), "keyed", INGEST)
     elif a.app == "global":
-        parsed = parse_reports(lines, keep=[order] if order != "time" else [])
         kept_path = f"{ck}/kept"
-        kept_stream = kept_reports_stream(parsed, order)
+        kept_stream = kept_reports_stream(parse_reports(lines), refuse_ties=True)
         stage1 = (kept_stream.writeStream.format("parquet")
                   .option("path", kept_path).option("checkpointLocation", f"{ck}/kept-checkpoint"))
         stage1 = stage1.trigger(availableNow=True) if a.once else stage1.trigger(processingTime=trigger)
@@ -138,21 +183,30 @@ def run(a: argparse.Namespace, spark: SparkSession) -> None:
             queries.append(q1)
             q1.processAllAvailable()
         kept = read_stream_like(spark, kept_path, kept_stream.schema)
-        out = notification_text(toll_stream_global(kept, order_col=order), "global")
+        out = notification_text(toll_stream_global(kept, delay=a.delay, ingest_ts=INGEST), "global", INGEST)
     else:
         out = passthrough_stream(lines.select("value"), "stamped" if a.stamped else "text")
-    q = text_sink(out, a.output, checkpoint=f"{ck}/sink-checkpoint", trigger=trigger)
+    with no_data_batches(spark, a.ttl_ms is None):
+        q = text_sink(out, a.output, checkpoint=f"{ck}/sink-checkpoint", trigger=trigger)
     queries.append(q)
-    if a.once:
-        q.awaitTermination()
-    else:
+    if not a.once:
         spark.streams.awaitAnyTermination()
+        return
+    q.awaitTermination()
+    late = late_rows(q)
+    if late and a.on_late == "error":
+        raise LateRowsDropped(f"{late} rows came behind the watermark")
+    if late:
+        print(f"{late} rows came behind the watermark and were dropped (--delay)")
 
 
 def main(argv: list[str] | None = None) -> None:
     a = _args(argv)
     spark = build_session(master=a.master) if a.master else SparkSession.builder.getOrCreate()
-    run(a, spark)
+    try:
+        run(a, spark)
+    finally:
+        drop_scratch(spark)
 
 
 if __name__ == "__main__":

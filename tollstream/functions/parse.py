@@ -18,7 +18,8 @@ from ..schema import (EVENT_TIME_BASE_SECONDS, LRB_FIELDS, REPORT_FIELDS,
 # A line is well formed when fields 0..8 are such integers; more fields may
 # follow and are ignored.
 STRICT_INT = r"[+-]?[0-9]+"
-STRICT_LINE = rf"^{STRICT_INT}(,{STRICT_INT}){{{len(REPORT_FIELDS) - 1}}}(,.*)?$"
+# Anchored at the true ends, line breaks inside count as any character.
+STRICT_LINE = rf"(?s)\A{STRICT_INT}(,{STRICT_INT}){{{len(REPORT_FIELDS) - 1}}}(,.*)?\z"
 # C atoi: leading blanks, optional sign, digits; stops at the first other char.
 ATOI_PREFIX = r"^\s*([+-]?[0-9]+)"
 
@@ -30,7 +31,7 @@ _TOKENS = "_tokens"
 # checked exactly: syntax by STRICT_LINE, range by casting each field.
 _INT9 = r"[+-]?[0-9]{1,9}"
 _SHORT = r"[+-]?(?:[0-9]{1,4}|[0-2][0-9]{4}|3[01][0-9]{3}|32[0-6][0-9]{2}|327[0-5][0-9]|3276[0-7])"
-FAST_LINE = rf"^{_INT9},{_SHORT}(?:,{_INT9}){{{len(REPORT_FIELDS) - 2}}}(?:,.*)?$"
+FAST_LINE = rf"(?s)\A{_INT9},{_SHORT}(?:,{_INT9}){{{len(REPORT_FIELDS) - 2}}}(?:,.*)?\z"
 
 
 def line_is_valid(value: Column) -> Column:

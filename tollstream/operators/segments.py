@@ -87,33 +87,31 @@ def segment_history(stats: DataFrame, keys: list[str] | None = None, minute_col:
 
 
 def minute_history(stats: DataFrame, keys: list[str] | None = None, minute_col: str = "minute",
-                   history: int = HISTORY_MINUTES) -> DataFrame:
+                   history: int = HISTORY_MINUTES, present_only: bool = False) -> DataFrame:
     """A5: the same quantities without a window: each minute row is sent to
-    the ``history`` minutes after it and re-aggregated. Rows exist for every
-    minute that has history (including minutes without reports)."""
+    itself and the ``history`` minutes after it and re-aggregated. Rows exist
+    for every minute that has history or reports; with ``present_only`` for
+    the minutes of ``stats`` alone."""
     keys = [] if keys is None else keys
     shifted = stats.select(
         *keys,
-        F.explode(F.sequence(F.lit(1), F.lit(history))).alias("_d"),
+        F.explode(F.sequence(F.lit(0), F.lit(history))).alias("_d"),
         F.col(minute_col).alias("_src"), "reports", "speed_sum", "cars",
     ).select(*keys, (F.col("_src") + F.col("_d")).alias(minute_col), "_d", "reports", "speed_sum", "cars")
+    before = F.col("_d") > 0
     agg = shifted.groupBy(*keys, minute_col).agg(
-        F.sum("reports").alias("_hc"),
-        F.sum("speed_sum").alias("_hs"),
+        F.sum(F.when(before, F.col("reports"))).alias("_hc"),
+        F.sum(F.when(before, F.col("speed_sum"))).alias("_hs"),
         F.max(F.when(F.col("_d") == 1, F.col("cars"))).alias("_pc"),
+        F.min("_d").alias("_nearest"),
     )
-    return _finish(agg, minute_col, "_hc", "_hs", "_pc")
+    agg = agg.where("_nearest = 0") if present_only else agg
+    return _finish(agg.drop("_nearest"), minute_col, "_hc", "_hs", "_pc")
 
 
 def minute_lav(stats: DataFrame, minute_col: str = "minute", history: int = HISTORY_MINUTES) -> DataFrame:
     """A5 restricted to the minutes present in ``stats`` (global dialect)."""
-    hist = minute_history(stats, [], minute_col, history)
-    return (stats.select(minute_col)
-            .join(hist, minute_col, "left")
-            .select(minute_col,
-                    F.when(F.col(minute_col) <= 1, 0).otherwise(F.coalesce("lav", F.lit(0))).alias("lav"),
-                    F.when(F.col(minute_col) <= 1, 0).otherwise(F.coalesce("num_vehicles", F.lit(0)))
-                    .alias("num_vehicles")))
+    return minute_history(stats, [], minute_col, history, present_only=True)
 
 
 def time_is_short(df: DataFrame, time_col: str = "time") -> bool:

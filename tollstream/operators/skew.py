@@ -6,7 +6,7 @@ is already partitioned by the key, so no new exchange is planned), and a key
 holding a third of all rows would land in one task.
 
 Here the per-key table carries each key's row count; keys above
-``total / (2 * partitions)`` rows are *hot*. There are fewer than
+``count / (2 * partitions)`` rows are *hot*. There are fewer than
 ``2 * partitions`` of them (pigeonhole), so the hot part of the table has a
 proven size bound and is broadcast. One scan of the large side:
 
@@ -23,10 +23,8 @@ proven size bound and is broadcast. One scan of the large side:
 
 No row is dropped or capped; the result equals the inner join.
 
-When the optimizer's size estimate of the large side is at most one
-advisory partition (``spark.sql.adaptive.advisoryPartitionSizeInBytes``),
-no key can hold more than a task is sized for, and a plain join is planned
-instead (no threshold job, no extra joins).
+The split is planned at every size; where no key is hot its side is empty
+and AQE prunes it.
 """
 
 from __future__ import annotations
@@ -38,21 +36,10 @@ _SALT = "_salt"
 _JOIN_KEY = "_key_salt"
 
 
-def _fits_one_partition(df: DataFrame) -> bool:
-    """Plan statistics only (no job); False when they are not available."""
-    try:
-        jvm = df.sparkSession._jvm
-        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = int(raw.toString()) if hasattr(raw, "toString") else int(raw)
-        limit = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
-        return size <= jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
-    except Exception:
-        return False
-
-
-def hot_threshold(small: DataFrame, count_col: str, partitions: int):
-    """Scalar column: ``sum(count) / (2 * partitions)``, evaluated once."""
-    return small.select((F.sum(count_col) / F.lit(2 * max(partitions, 1))).alias("t")).scalar()
+def hot_threshold(big: DataFrame, partitions: int):
+    """Scalar column: ``count(big) / (2 * partitions)``, evaluated once. A row
+    count reads no column of the large side."""
+    return big.select((F.count(F.lit(1)) / F.lit(2 * max(partitions, 1))).alias("t")).scalar()
 
 
 def join_with_hot_split(big: DataFrame, small: DataFrame, key: str, count_col: str,
@@ -62,10 +49,8 @@ def join_with_hot_split(big: DataFrame, small: DataFrame, key: str, count_col: s
     ``salt_cols`` (default: all columns of ``big``; a unique column is
     enough and keeps the scan pruned)."""
     values = [c for c in small.columns if c != key]
-    if _fits_one_partition(big):
-        return big.join(small, key, "inner").select(*big.columns, *values)
     p = partitions or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(count_col) > hot_threshold(small, count_col, p)
+    is_hot = F.col(count_col) > hot_threshold(big, p)
     hot = F.broadcast(small.where(is_hot).select(key, *[F.col(c).alias(f"_h{c}") for c in values]))
     cold = small.where(~is_hot).select(F.struct(F.col(key), F.lit(0).alias(_SALT)).alias(_JOIN_KEY),
                                        *[F.col(c).alias(f"_c{c}") for c in values])

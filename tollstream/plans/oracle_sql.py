@@ -187,6 +187,8 @@ SQL: dict[str, str] = {
     "toll_notifications_keyed": _with(PR, REPORTS, SEGSTATS, SEGHIST, FLAGGED, KEYED)
     + "SELECT * FROM keyed WHERE toll <> 0",
     "toll_notifications_keyed_all": _with(PR, REPORTS, SEGSTATS, SEGHIST, FLAGGED, KEYED) + "SELECT * FROM keyed",
+    "toll_latency_keyed": _with(PR, REPORTS, SEGSTATS, SEGHIST, FLAGGED, KEYED)
+    + """SELECT *, CAST("offset" % 997 AS BIGINT) AS emit FROM keyed""",
     "toll_notifications_global": _with(PR, REPORTS, KEPT, MINSTATS, MINHIST, GLOBAL) + "SELECT * FROM globtoll",
     "format_toll_keyed": _with(PR, REPORTS, SEGSTATS, SEGHIST, FLAGGED, KEYED) + f"""
         SELECT "offset", concat_ws(',', {_FIXED_CLOCK}, '0', CAST(vid AS VARCHAR), CAST("time" AS VARCHAR),

@@ -94,11 +94,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SCRATCH: dict[str, list[str]] = {}  # by application
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the checkpoint root."""
     root = checkpoint_root(spark)
     sep = "" if root.endswith("/") else "/"
-    return f"{root}{sep}tollstream/{name}-{uuid.uuid4().hex}"
+    path = f"{root}{sep}tollstream/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(app_id(spark), []).append(path)
+    return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's API: works on any store Spark reads."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the folders :func:`scratch_path` gave out in this application,
+    on whatever store they are; returns how many were there. For the end of a
+    run, when nothing staged is read any more."""
+    dropped = 0
+    for path in _SCRATCH.pop(app_id(spark), []):
+        fs, p = hadoop_path(spark, path)
+        dropped += bool(fs.delete(p, True))
+    return dropped
 
 
 def local_path(path: str) -> str:
@@ -116,10 +139,8 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``tollstream`` importable in Python workers (stateful processors
-    are pickled by reference). Zips the package into the checkpoint folder
-    and adds it with ``addPyFile``, once per application. When the folder is
-    not a local path the package is expected to be installed on the cluster
-    (``--py-files`` or an environment), and nothing is shipped."""
+    are pickled by reference): a zip of the package goes to the executors with
+    ``addPyFile``, once per application."""
     sc = spark_context(spark)
     if app_id(spark) in _SHIPPED:
         return
@@ -131,16 +152,15 @@ def ship_package(spark: SparkSession) -> None:
     from .streaming import exact, vehicle
     for mod in (vehicle, exact):
         cloudpickle.register_pickle_by_value(mod)
-    root = checkpoint_root(spark)
-    if sc is None or ("://" in root and not root.startswith("file:")):
+    if sc is None:
         _SHIPPED.add(app_id(spark))
         return
     import zipfile
 
     import tollstream
     pkg_dir = os.path.dirname(os.path.abspath(tollstream.__file__))
-    target = ensure_dir(local_path(scratch_path(spark, "pyfiles")))
-    zpath = os.path.join(target, "tollstream.zip")
+    # addPyFile sends the driver's file to the executors; no shared folder needed
+    zpath = os.path.join(tempfile.mkdtemp(prefix="tollstream-ship-"), "tollstream.zip")
     with zipfile.ZipFile(zpath, "w") as z:
         for base, _, files in os.walk(pkg_dir):
             for f in files:

@@ -30,22 +30,11 @@ MICROS_PER_REPORT_SECOND = 1440 * 1_000_000
 LANE_BY_EVENT_TYPE = {"click": 0, "view": 1, "purchase": 2, "signup": 3}
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-spread an input that has fewer splits than task slots.
-
-    A large input already has one task per split and is left alone (no
-    shuffle). A small file (one row group is one split) would otherwise run
-    every projection of the plan in a single task. Hash partitioning on
-    ``key`` is deterministic, so a retried task gets the same rows.
-    """
-    slots = task_slots(df.sparkSession)
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): leave the input as it is
-        return df
-    if splits >= slots:
-        return df
-    return df.repartition(slots, key) if key else df.repartition(slots)
+def distribute(df: DataFrame, n: int, key: str | None = None) -> DataFrame:
+    """Deal the rows out over ``n`` tasks, round robin or by the hash of
+    ``key``. A choice of the caller, for inputs whose splits are too few for
+    the work behind them; no plan here makes it by itself."""
+    return df.repartition(n, key) if key else df.repartition(n)
 
 
 # Source DataFrames per session: a DataFrame is an immutable plan, so one
@@ -53,7 +42,8 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
 _SOURCES: dict[tuple, DataFrame] = {}
 
 
-def _memo(spark: SparkSession, key: tuple, make) -> DataFrame:
+def once_per_session(spark: SparkSession, key: tuple, make) -> DataFrame:
+    """``make()``, or what it returned under ``key`` earlier in this session."""
     full = (app_id(spark), *key)
     df = _SOURCES.get(full)
     if df is None:
@@ -61,11 +51,9 @@ def _memo(spark: SparkSession, key: tuple, make) -> DataFrame:
     return df
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
-    def make() -> DataFrame:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        return spread(df, spread_key) if spread_key else df
-    return _memo(spark, ("table", sf_dir, name, spread_key), make)
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return once_per_session(spark, ("table", sf_dir, name),
+                 lambda: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _seg_flag(props: Column) -> Column:
@@ -105,7 +93,7 @@ def reports_from_events(events: DataFrame, with_pos: bool = True, keep: list[str
 
 
 def load_reports(spark: SparkSession, sf_dir: str, with_pos: bool = True) -> DataFrame:
-    return reports_from_events(load_table(spark, sf_dir, "events", "event_id"), with_pos=with_pos)
+    return reports_from_events(load_table(spark, sf_dir, "events"), with_pos=with_pos)
 
 
 def report_lines(reports: DataFrame, broken: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -150,4 +138,4 @@ def staged_lines(spark: SparkSession, sf_dir: str, broken: bool = False) -> Data
         n = task_slots(spark)
         lines.repartitionByRange(n, ORDER_COL).write.parquet(path)
         return spark.read.parquet(path)
-    return _memo(spark, ("lines", sf_dir, broken), make)
+    return once_per_session(spark, ("lines", sf_dir, broken), make)

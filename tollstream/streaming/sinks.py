@@ -7,7 +7,7 @@ sink's commit log makes the output exactly-once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,16 +17,28 @@ from ..session import scratch_path
 ROLL_INTERVAL = "1 second"
 
 
-def to_kafka_frame(df: DataFrame, value_col: str = "value", key_col: str | None = ORDER_COL) -> DataFrame:
+def vehicle_key(value: Column) -> Column:
+    """The vehicle of a report line (field 2): the record key under which a
+    vehicle's records stay in one partition, in order."""
+    return F.get(F.split(value, ","), 2)
+
+
+def to_kafka_frame(df: DataFrame, value_col: str = "value", key_col: str | None = ORDER_COL,
+                   by_vehicle: bool = False) -> DataFrame:
     """K3: ``key, value`` text columns as the Kafka sink expects; the key is
-    the source sequence number as text, or null."""
-    key = F.col(key_col).cast("string") if key_col else F.lit(None).cast("string")
+    the source sequence number as text, null, or with ``by_vehicle`` the
+    line's vehicle, which topics of several partitions need."""
+    if by_vehicle:
+        key = vehicle_key(F.col(value_col))
+    else:
+        key = F.col(key_col).cast("string") if key_col else F.lit(None).cast("string")
     return df.select(key.alias("key"), F.col(value_col).cast("string").alias("value"))
 
 
 def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str | None = None,
-                value_col: str = "value", key_col: str | None = ORDER_COL) -> StreamingQuery | None:
-    frame = to_kafka_frame(df, value_col, key_col)
+                value_col: str = "value", key_col: str | None = ORDER_COL,
+                by_vehicle: bool = False) -> StreamingQuery | None:
+    frame = to_kafka_frame(df, value_col, key_col, by_vehicle)
     if df.isStreaming:
         return (frame.writeStream.format("kafka")
                 .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
