@@ -137,38 +137,47 @@ def ensure_dir(path: str) -> str:
 _SHIPPED: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make ``tollstream`` importable in Python workers (stateful processors
-    are pickled by reference): a zip of the package goes to the executors with
-    ``addPyFile``, once per application."""
+def ship_code(spark: SparkSession) -> None:
+    """Make ``tollstream`` importable in Python workers: a zip of the package
+    is written to the shared folder, on whatever store that is, and
+    ``addPyFile`` hands it to the executors, once per application."""
     sc = spark_context(spark)
-    if app_id(spark) in _SHIPPED:
-        return
-    # Processor classes travel by value, so even a runner started without
-    # the package on its path (the driver-side state schema runner) can
-    # rebuild them.
-    from pyspark import cloudpickle
-
-    from .streaming import exact, vehicle
-    for mod in (vehicle, exact):
-        cloudpickle.register_pickle_by_value(mod)
-    if sc is None:
-        _SHIPPED.add(app_id(spark))
+    app = app_id(spark)
+    if sc is None or app in _SHIPPED:
         return
+    import io
     import zipfile
 
-    import tollstream
-    pkg_dir = os.path.dirname(os.path.abspath(tollstream.__file__))
-    # addPyFile sends the driver's file to the executors; no shared folder needed
-    zpath = os.path.join(tempfile.mkdtemp(prefix="tollstream-ship-"), "tollstream.zip")
-    with zipfile.ZipFile(zpath, "w") as z:
-        for base, _, files in os.walk(pkg_dir):
+    package = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for base, _, files in os.walk(package):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(zpath)
-    _SHIPPED.add(app_id(spark))
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    target = scratch_path(spark, "code") + "/tollstream.zip"
+    _SCRATCH[app].pop()  # needed as long as the application runs
+    fs, path = hadoop_path(spark, target)
+    out = fs.create(path)
+    try:
+        out.write(packed.getvalue())
+    finally:
+        out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """:func:`ship_code`, and stateful processor classes travel by value, so
+    that even a runner started without the package on its path (the
+    driver-side state schema runner) can rebuild them."""
+    from pyspark import cloudpickle
+
+    from .streaming import exact, vehicle
+    for mod in (vehicle, exact):
+        cloudpickle.register_pickle_by_value(mod)
+    ship_code(spark)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
