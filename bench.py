@@ -41,7 +41,7 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from tollstream.plans.catalog import QUERIES
-    from tollstream.session import build_session
+    from tollstream.session import build_session, drop_scratch
     from tollstream.sources.events import load_table
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -93,6 +93,7 @@ def main() -> None:
         **extra,
     }
     print(json.dumps(out))
+    drop_scratch(spark)
     spark.stop()
 
 

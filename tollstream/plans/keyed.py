@@ -24,14 +24,11 @@ from ..operators.vehicle import first_reports, flag_new_segment
 from ..schema import ORDER_COL, SEGMENT_KEYS
 from ..session import stage_table
 
-OUTPUT = [ORDER_COL, "vid", "time", "lav", "num_vehicles", "toll"]
-
-
 def keyed_reports(parsed: DataFrame) -> DataFrame:
     return with_minute(position_reports(parsed))
 
 
-def keyed_enriched(parsed: DataFrame, order_col: str = ORDER_COL) -> DataFrame:
+def keyed_enriched(parsed: DataFrame) -> DataFrame:
     """A6 (keyed): every position report with ``minute``, ``lav``, ``num_vehicles``."""
     reports = keyed_reports(parsed)
     history = segment_history(segment_minute_stats(reports))

@@ -1,5 +1,5 @@
 """Pass-through applications (batch form; streaming form in
-``tollstream.streaming.passthrough``). Narrow projections: no shuffle."""
+``tollstream.streaming.applications``). Narrow projections: no shuffle."""
 
 from __future__ import annotations
 
