@@ -2,35 +2,26 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import app_id, scratch_path
+from ..session import scratch_path, ship_code
 
-_SHIPPED: set[str] = set()
+# Spark's settings for the batches that go to Python, their defaults, and
+# what suits rows that hold whole texts: the buffers of a batch are direct
+# memory, which the JVM gives back late.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+           "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers: Spark sends a zip of
-    it to every executor, once per application."""
-    app = app_id(spark)
-    if app in _SHIPPED:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(prefix="ship-"), "tollstream.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for base, _, files in os.walk(package):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(base, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
-    spark.sparkContext.addPyFile(target)
-    _SHIPPED.add(app)
+    """Make this package importable in Python workers. Arrow batches get a
+    size for rows with texts, unless the session has one of its own."""
+    for key, (default, suited) in BATCHES.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, suited)
+    ship_code(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
