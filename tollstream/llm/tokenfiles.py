@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .shared import ship, table, text_col
-from .tokens import encoder, tokenizer_path
+from .tokens import BLOCK_CHARS, encoder, tokenizer_path
 
 HEAD = struct.Struct("<4sIIIIB")
 MAGIC = b"RPR1"
@@ -218,6 +218,23 @@ FILES = "part int, shard int, before long, n_ids long, data binary"
 ROWS = "part int, doc_id long, inner long, n_tokens long, ids_crc32 long"
 
 
+def _gathered(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of several batches at a time: a larger block of texts
+    has fewer distinct words to look up."""
+    docs: list = []
+    texts: list[str] = []
+    chars = 0
+    for frame in frames:
+        docs += list(frame["doc_id"])
+        texts += list(frame["__text"])
+        chars += int(frame["__text"].str.len().sum())
+        if chars >= BLOCK_CHARS:
+            yield docs, texts
+            docs, texts, chars = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def _shards(frames: Iterator[pd.DataFrame], path: str, kind: str, end_id: int, shard_ids: int) -> Iterator[pd.DataFrame]:
     from pyspark import TaskContext
 
@@ -234,8 +251,8 @@ def _shards(frames: Iterator[pd.DataFrame], path: str, kind: str, end_id: int, s
         docs, ids, before, number, size = [], [], before + size, number + 1, 0
         return row
 
-    for frame in frames:
-        for doc, own in zip(frame["doc_id"], enc.ids(list(frame["__text"]))):
+    for known, texts in _gathered(frames):
+        for doc, own in zip(known, enc.ids(texts)):
             docs.append(None if pd.isna(doc) else int(doc))
             ids.append(own + end)
             size += len(own) // 4 + 1
@@ -268,7 +285,7 @@ def write_files(docs: DataFrame, folder: str, path: str, kind: str = "word", end
     (rows.repartitionByRange(ranges, "doc_id", "__tie").sortWithinPartitions("doc_id", "__tie")
      .select("doc_id", "__text")
      .mapInPandas(lambda it: _shards(it, path, kind, end_id, shard_ids), FILES)
-     .write.option("compression", "zstd").parquet(folder))
+     .write.parquet(folder))
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
