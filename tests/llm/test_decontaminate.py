@@ -91,3 +91,19 @@ def test_odd_rows(spark):
                                                                       "8", "10", "11"])
     assert decontaminate.drop_leaks(no_docs(spark), bench).count() == 0
     assert decontaminate.leaks(docs, items(spark, [])).count() == 0
+
+
+def test_names_that_open_sentences(spark):
+    item = ("Tom has 5 apples in a basket. Tom gives 2 of them to Mary. Mary eats 1 of them at once. How many are left?")
+    other = item.replace("Tom", "Boris").replace("Mary", "Helga").replace("5", "9").replace("2", "4").replace("1", "3")
+    mixed = other.replace("Boris gives", "Karl gives")  # Tom is two people
+    got = found(spark, [f"{prose(1, 20)} {other} {prose(2, 20)}", f"{prose(1, 20)} {item}"], items(spark, [(1, item)]))
+    assert (0, 1) in got and got[0, 1]["changed"] and got[0, 1]["share"] == 1
+    assert (1, 1) in got and not got[1, 1]["changed"]
+    got = found(spark, [mixed], items(spark, [(1, item)]))
+    assert (0, 1) not in got or got[0, 1]["share"] < 1
+
+
+def test_copies_in_any_case(spark):
+    got = found(spark, [ITEM.lower(), ITEM.upper(), f"{prose(3, 20)} {ITEM.upper()} {prose(4, 20)}"])
+    assert all((k, 1) in got and got[k, 1]["share"] == 1 and not got[k, 1]["changed"] for k in range(3))

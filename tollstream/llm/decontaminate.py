@@ -1,9 +1,12 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become templates: numbers, units behind numbers and names (title-case
-words inside a sentence) are typed placeholders, everything else is lower
-case. Windows of ``width`` template words of the benchmark and of the
-documents are hash-joined. Matching windows of a document and an item that
+A text is read in three ways (layers). Two are templates: numbers, units
+behind numbers and names are typed placeholders, everything else is lower
+case. Names are the title-case words inside a sentence in the first, all
+title-case words in the second, as names open sentences too. The third is the
+plain words in lower case, so a copy in any case is found. Windows of
+``width`` words of the benchmark and of the documents are hash-joined, each
+layer with its like. Matching windows of a document and an item that
 lie on one diagonal (document position minus item position) are checked for
 consistent slots: each value in the item's slots must stand for one value in
 the document and the other way round, so a question with other numbers or
@@ -12,13 +15,13 @@ names is caught, and a chance likeness with contradicting slots is not.
 A document leaks an item if consistent windows on a diagonal cover
 ``least_share`` of the item's windows, or ``least_run`` words in a row.
 Windows with fewer than ``least_words`` words that are no placeholders
-identify no text and are not windows.
+identify no text and are not windows; plain words have no placeholders.
 
 Scale: the documents are read once. Their windows are hashed with numpy and
 tested against a bitmap of the benchmark's window hashes, of fixed size
 whatever the benchmark's; only windows that hit it leave the task, and the
-join settles them exactly. A group after the join is one document, item and
-diagonal: at most the item's length.
+join settles them exactly. A group after the join is one document, item,
+layer and diagonal: at most the item's length.
 
 Defined cases: null and empty texts have no windows; an item shorter than a
 window is one window; items without text match nothing; rows with equal ids
@@ -53,10 +56,12 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 # What a token can be: sentence end, number, title-case word, unit, another word.
 _END, _NUM, _TITLE, _IS_UNIT, _PLAIN = range(5)
+# The layers: names inside sentences, names anywhere, plain words.
+INSIDE, ANYWHERE, EXACT = LAYERS = range(3)
 
 
 class _Vocabulary:
-    """Kind and hash of each token, kept per process up to a bound."""
+    """Kind, hash and title case of each token, kept per process up to a bound."""
 
     def __init__(self, most: int = 150_000):
         self.most = most
@@ -66,6 +71,7 @@ class _Vocabulary:
         self.number: dict[str, int] = {}
         self.kind = np.zeros(1 << 12, np.int8)
         self.hash = np.zeros(1 << 12, np.uint64)
+        self.title = np.zeros(1 << 12, bool)
 
     def _add(self, token: str) -> None:
         from xxhash import xxh64_intdigest
@@ -74,19 +80,21 @@ class _Vocabulary:
         if k == len(self.kind):
             self.kind = np.concatenate([self.kind, np.zeros_like(self.kind)])
             self.hash = np.concatenate([self.hash, np.zeros_like(self.hash)])
+            self.title = np.concatenate([self.title, np.zeros_like(self.title)])
         self.number[token] = k
         self.hash[k] = xxh64_intdigest(low, 7)
+        self.title[k] = len(token) > 1 and token[0].isupper() and token[1:].islower()
         self.kind[k] = (_END if token in ".!?" else _NUM if token[0].isdigit() else _IS_UNIT if low in UNITS
-                        else _TITLE if len(token) > 1 and token[0].isupper() and token[1:].islower() else _PLAIN)
+                        else _TITLE if self.title[k] else _PLAIN)
 
-    def __call__(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(self.number) > self.most:
             self._start()
         for t in set(tokens):
             if t not in self.number:
                 self._add(t)
         at = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
-        return self.kind[at], self.hash[at]
+        return self.kind[at], self.hash[at], self.title[at]
 
 
 _TOKENS = _Vocabulary()
@@ -94,26 +102,25 @@ _PLACEHOLDER = {_NUM: np.uint64(0x6E756D), _IS_UNIT: np.uint64(0x756E6974), _TIT
 
 
 class Template:
-    """The template words of a text: a hash each, whether it is a
+    """The words of a text in a layer: a hash each, whether it is a
     placeholder, and the tokens it stands for."""
 
-    def __init__(self, text: str):
-        self.tokens = _TOKEN.findall(text)
-        kind, hashes = _TOKENS(self.tokens)
+    def __init__(self, text: str, layer: int = INSIDE, like: Template | None = None):
+        """``like``: another layer of the text, whose tokens are used."""
+        self.tokens = like.tokens if like else _TOKEN.findall(text)
+        self._read = kind, hashes, shaped = like._read if like else _TOKENS(self.tokens)
         before = np.concatenate([[_END], kind[:-1]]) if len(kind) else kind
-        unit = (kind == _IS_UNIT) & (before == _NUM)
-        # a unit that follows no number may still be a name ("Day")
-        title = (kind == _TITLE) | (kind == _IS_UNIT) & ~unit
-        for k in np.flatnonzero((kind == _IS_UNIT) & title).tolist():
-            t = self.tokens[k]
-            title[k] = len(t) > 1 and t[0].isupper() and t[1:].islower()
-        name = title & (before != _END)
+        again = np.zeros(len(kind), bool)
         self.kind = np.full(len(kind), _PLAIN, np.int8)
-        for own, mark in ((kind == _NUM, _NUM), (unit, _IS_UNIT), (name, _TITLE)):
-            self.kind[own] = mark
-            hashes = np.where(own, _PLACEHOLDER[mark], hashes)
-        again = np.zeros(len(kind), bool)  # names in a row are one
-        again[1:] = name[1:] & name[:-1]
+        if layer != EXACT:
+            unit = (kind == _IS_UNIT) & (before == _NUM)
+            name = shaped & ~unit  # a unit that follows no number may still be a name ("Day")
+            if layer == INSIDE:
+                name &= before != _END
+            for own, mark in ((kind == _NUM, _NUM), (unit, _IS_UNIT), (name, _TITLE)):
+                self.kind[own] = mark
+                hashes = np.where(own, _PLACEHOLDER[mark], hashes)
+            again[1:] = name[1:] & name[:-1]  # names in a row are one
         self.at = np.flatnonzero((kind != _END) & ~again)
         self.kind, self.hashes = self.kind[self.at], hashes[self.at]
         self._ends = np.append(self.at[1:], len(self.tokens))
@@ -123,7 +130,7 @@ class Template:
         return len(self.at)
 
     def said(self, k: int, n: int) -> list[str]:
-        """What template words k to k + n stand for, in lower case."""
+        """What words k to k + n stand for, in lower case."""
         return [" ".join(self.tokens[j].lower() for j in range(a, b) if self._source[j] != _END)
                 for a, b in zip(self.at[k:k + n].tolist(), self._ends[k:k + n].tolist())]
 
@@ -142,32 +149,39 @@ class Template:
         return out, plain[n:] - plain[:-n] >= min(least_words, n)
 
 
+def _layers(text: str) -> list[Template]:
+    first = Template(text)
+    return [first, *(Template(text, layer, first) for layer in LAYERS[1:])]
+
+
 def _benchmark_windows(frames: Iterator[pd.DataFrame], width: int, least_words: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
         for item, text in zip(frame["item_id"], frame["__text"]):
-            t = Template(text)
-            h, good = t.windows(width, least_words)
-            total, n = int(good.sum()), min(width, len(t))
-            rows += [(item, k, int(h[k].astype(np.int64)), total, n, t.said(k, n)) for k in np.flatnonzero(good).tolist()]
-        yield as_frame(rows, ["item_id", "i_at", "hash", "i_windows", "width", "i_said"])
+            for layer, t in enumerate(_layers(text)):
+                h, good = t.windows(width, least_words)
+                total, n = int(good.sum()), min(width, len(t))
+                rows += [(item, layer, k, int(h[k].astype(np.int64)), total, n, t.said(k, n))
+                         for k in np.flatnonzero(good).tolist()]
+        yield as_frame(rows, ["item_id", "layer", "i_at", "hash", "i_windows", "width", "i_said"])
 
 
-def _document_windows(frames: Iterator[pd.DataFrame], bitmap, widths: list[int], least_words: int) -> Iterator[pd.DataFrame]:
+def _document_windows(frames: Iterator[pd.DataFrame], bitmap, widths: list[tuple[int, int]], least_words: int) -> Iterator[pd.DataFrame]:
     bits = np.frombuffer(bitmap.value, np.uint8)
     shift = np.uint64(64 - BITMAP_BITS)
     for frame in frames:
         rows = []
         for doc, key, text in zip(frame["doc_id"], frame["text_key"], frame["__text"]):
-            t = Template(text)
-            for width in widths:
+            layers = _layers(text)
+            for layer, width in widths:
+                t = layers[layer]
                 if len(t) < width:
                     continue
                 h, good = t.windows(width, least_words)
                 slot = (h >> shift).astype(np.int64)
                 hit = np.flatnonzero(good & ((bits[slot >> 3] >> (slot & 7)) & 1).astype(bool))
-                rows += [(doc, key, k, int(h[k].astype(np.int64)), width, t.said(k, width)) for k in hit.tolist()]
-        out = as_frame(rows, ["doc_id", "text_key", "d_at", "hash", "width", "d_said"])
+                rows += [(doc, key, layer, k, int(h[k].astype(np.int64)), width, t.said(k, width)) for k in hit.tolist()]
+        out = as_frame(rows, ["doc_id", "text_key", "layer", "d_at", "hash", "width", "d_said"])
         out["doc_id"] = out["doc_id"].astype("Int64")
         yield out
         release_memory()
@@ -187,7 +201,7 @@ def _bitmap(item_windows: DataFrame) -> bytes:
 
 
 def _checked(frames: Iterator[pd.DataFrame], least_share: float, least_run: int) -> Iterator[pd.DataFrame]:
-    """One row a document, item and diagonal that is a leak."""
+    """One row a document, item, layer and diagonal that is a leak."""
     for frame in frames:
         rows = []
         for r in frame.itertuples(index=False):
@@ -229,17 +243,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least_share
     ship(spark)
     items = stage(benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_col().alias("__text"))
                   .mapInPandas(lambda it: _benchmark_windows(it, width, least_words),
-                               "item_id long, i_at int, hash long, i_windows int, width int, i_said array<string>"),
+                               "item_id long, layer int, i_at int, hash long, i_windows int, width int, i_said array<string>"),
                   "benchmark")
-    widths = sorted(r[0] for r in items.select("width").distinct().collect())  # 1 to ``width``
+    # widths 1 to ``width`` of each layer
+    widths = sorted(tuple(r) for r in items.select("layer", "width").distinct().collect())
     bitmap = spark.sparkContext.broadcast(_bitmap(items))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col().alias("__text"))
     hits = (texts.withColumn("text_key", F.xxhash64("__text"))
             .mapInPandas(lambda it: _document_windows(it, bitmap, widths, least_words),
-                         "doc_id long, text_key long, d_at int, hash long, width int, d_said array<string>"))
-    met = hits.join(items, ["hash", "width"])
-    groups = (met.groupBy("doc_id", "text_key", "item_id", (F.col("d_at") - F.col("i_at")).alias("diagonal"),
-                          "width", "i_windows")
+                         "doc_id long, text_key long, layer int, d_at int, hash long, width int, d_said array<string>"))
+    met = hits.join(items, ["layer", "hash", "width"])
+    groups = (met.groupBy("doc_id", "text_key", "item_id", "layer",
+                          (F.col("d_at") - F.col("i_at")).alias("diagonal"), "width", "i_windows")
               .agg(F.collect_set(F.struct("i_at", "i_said", "d_said")).alias("found")))
     checked = groups.select("doc_id", "text_key", "item_id", "width", "i_windows", "found").mapInPandas(
         lambda it: _checked(it, least_share, least_run), LEAKS)
