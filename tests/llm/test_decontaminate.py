@@ -107,3 +107,19 @@ def test_names_that_open_sentences(spark):
 def test_copies_in_any_case(spark):
     got = found(spark, [ITEM.lower(), ITEM.upper(), f"{prose(3, 20)} {ITEM.upper()} {prose(4, 20)}"])
     assert all((k, 1) in got and got[k, 1]["share"] == 1 and not got[k, 1]["changed"] for k in range(3))
+
+
+def test_items_without_template_windows(spark):
+    bench = items(spark, [(1, "What is 48 + 37?"), (2, "12 + 5 - 3 * 2 = 11"), (3, "Anna Bolt: 3 kg, 4 kg, 5 kg")])
+    got = found(spark, [f"{prose(1, 20)} What is 48 + 37? {prose(2, 20)}", "Question: what is 48 + 37?", "What is 48 - 37?",
+                        "What is 48 + 38?", "so 12 + 5 - 3 * 2 = 11 then", "12 + 5 + 3 * 2 = 23",
+                        "ANNA BOLT 3 kg, 4 kg, 5 kg", "Anna Bolt: 3 kg, 4 kg, 6 kg"], bench)
+    assert set(got) == {(0, 1), (1, 1), (4, 2), (6, 3)}
+
+
+def test_short_items_behind_colons_and_line_ends(spark):
+    item = "What is the boiling point of water?"
+    got = found(spark, [f"Question: {item}", f"A heading\n{item}", f"A heading {item}", "What is the price of water?"],
+                items(spark, [(1, item)]))
+    assert set(got) == {(0, 1), (1, 1), (2, 1)} and all(r["share"] == 1 for r in got.values())
+    assert shown("Question: What is it\nThen Anna")[0] == ["question", "what", "is", "it", "then", "<p>"]

@@ -15,7 +15,9 @@ names is caught, and a chance likeness with contradicting slots is not.
 A document leaks an item if consistent windows on a diagonal cover
 ``least_share`` of the item's windows, or ``least_run`` words in a row.
 Windows with fewer than ``least_words`` words that are no placeholders
-identify no text and are not windows; plain words have no placeholders.
+identify no text and are not windows. Plain words have no placeholders:
+numbers and the signs before them stay, every window counts, and an item that
+is short or all numbers ("What is 48 + 37?") is found by its exact words.
 
 Scale: the documents are read once. Their windows are hashed with numpy and
 tested against a bitmap of the benchmark's window hashes, of fixed size
@@ -50,12 +52,13 @@ lbs oz ton tons gram grams kilogram kilograms pound pounds l ml liter liters lit
 minute minutes h hr hour hours day days week weeks month months year years usd eur dollar dollars cent cents euro
 euros percent mph kmh kph hz khz mhz ghz b kb mb gb tb w kw v a c f k""".split())
 
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?]")
+_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:\n]|[-+*/=<>×÷−^](?=\s*\d)")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-# What a token can be: sentence end, number, title-case word, unit, another word.
-_END, _NUM, _TITLE, _IS_UNIT, _PLAIN = range(5)
+# What a token can be: sentence end (also a colon or line end), sign before a
+# number, number, title-case word, unit, another word.
+_END, _SIGN, _NUM, _TITLE, _IS_UNIT, _PLAIN = range(6)
 # The layers: names inside sentences, names anywhere, plain words.
 INSIDE, ANYWHERE, EXACT = LAYERS = range(3)
 
@@ -84,7 +87,7 @@ class _Vocabulary:
         self.number[token] = k
         self.hash[k] = xxh64_intdigest(low, 7)
         self.title[k] = len(token) > 1 and token[0].isupper() and token[1:].islower()
-        self.kind[k] = (_END if token in ".!?" else _NUM if token[0].isdigit() else _IS_UNIT if low in UNITS
+        self.kind[k] = (_END if token in ".!?:\n" else _SIGN if not token[0].isalnum() else _NUM if token[0].isdigit() else _IS_UNIT if low in UNITS
                         else _TITLE if self.title[k] else _PLAIN)
 
     def __call__(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,17 +124,18 @@ class Template:
                 self.kind[own] = mark
                 hashes = np.where(own, _PLACEHOLDER[mark], hashes)
             again[1:] = name[1:] & name[:-1]  # names in a row are one
-        self.at = np.flatnonzero((kind != _END) & ~again)
+        # signs are words where numbers are
+        self._spoken = kind != _END if layer == EXACT else kind > _SIGN
+        self.at = np.flatnonzero(self._spoken & ~again)
         self.kind, self.hashes = self.kind[self.at], hashes[self.at]
         self._ends = np.append(self.at[1:], len(self.tokens))
-        self._source = kind
 
     def __len__(self) -> int:
         return len(self.at)
 
     def said(self, k: int, n: int) -> list[str]:
         """What words k to k + n stand for, in lower case."""
-        return [" ".join(self.tokens[j].lower() for j in range(a, b) if self._source[j] != _END)
+        return [" ".join(self.tokens[j].lower() for j in range(a, b) if self._spoken[j])
                 for a, b in zip(self.at[k:k + n].tolist(), self._ends[k:k + n].tolist())]
 
     def windows(self, width: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
