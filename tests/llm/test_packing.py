@@ -90,6 +90,20 @@ def test_encoder_gives_the_library_ids():
             assert [np.frombuffer(b, "<u4").tolist() for b in e.ids(texts)] == want
 
 
+def test_added_tokens_are_one_id():
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "x<|endoftext|><|startoftext|>y z", "<|endoftext|>", "plain words here", "<|EndOfText|> <|",
+             "it's a line\n<|startoftext|> Two words"]
+    for name, kind, end in (("byte_bpe_50k.json", "byte", 50256), ("word_bpe_49k.json", "word", 49407)):
+        tok = Tokenizer.from_file(tokenizer_path(name))
+        want = [x.ids for x in tok.encode_batch(texts, add_special_tokens=False)]
+        e = Encoder(tokenizer_path(name), kind)
+        for _ in range(2):
+            assert [np.frombuffer(b, "<u4").tolist() for b in e.ids(texts)] == want
+        assert want[2] == [end]
+
+
 def test_encoder_table_is_bounded():
     e = Encoder(BYTE, "byte", words_kept=20)
     texts = [f"word{k} other{k} third" for k in range(60)]

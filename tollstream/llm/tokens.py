@@ -6,8 +6,9 @@ kept, and numpy puts the ids of a text together. Texts are cut only where the
 tokenizer's own pre-tokenisation always cuts: at single spaces and line ends
 between characters that are no white space (byte-level file), or at spaces
 and line ends (word file, which drops white space). A text in which another
-kind or run of white space occurs goes through the library whole. Tests
-compare both ways. The tables are bounded and start anew when full.
+kind or run of white space occurs (byte-level file), or the string of one of
+the file's added tokens ("<|endoftext|>" is one id), goes through the library
+whole. Tests compare both ways. The tables are bounded and start anew when full.
 """
 
 from __future__ import annotations
@@ -52,7 +53,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings are ordinary text
+        # a text with the string of an added token is left whole: it is one id
+        added = "|".join(re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values())
+        self.odd = "|".join(x for x in (_ODD if kind == "byte" else "", added) if x)
         self.byte = kind == "byte"
         self.words: dict[str, bytes] = {}
         # ids that begin a piece with a space, or end a word
@@ -98,14 +101,15 @@ class Encoder:
         return found
 
     def _block(self, texts: pa.Array) -> list[bytes]:
+        odd = np.zeros(len(texts), dtype=bool)
+        if self.odd:
+            odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
         if self.byte:
-            odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
             plain = pc.replace_substring_regex(texts, _SIGNS, rf"\1{_MARK}\2\3")
             plain = pc.replace_substring(plain, " ", _MARK + " ")
             plain = pc.replace_substring(plain, "\n", f"{_MARK}\n{_MARK}")
             lists = pc.split_pattern(plain, _MARK)
         else:
-            odd = np.zeros(len(texts), dtype=bool)
             plain = pc.replace_substring_regex(texts, _SIGNS, r"\1 \2\3")
             lists = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
         if odd.any():
