@@ -33,6 +33,39 @@ def test_odd_pages():
     assert main_text("<!-- never closed") == "" and main_text('<a href="x') == '<a href="x'
 
 
+STORY = "".join(f"<p>This is paragraph {k}, and it has a fair length, as texts do.</p>" for k in range(6))
+WANT = " ".join(f"This is paragraph {k}, and it has a fair length, as texts do." for k in range(6))
+
+
+def test_wrappers_named_like_parts_beside_the_content():
+    side = "<div class='sidebar'><p>More stories, from the side of it all.</p></div>"
+    related = "<div class='related'><article><p>Another story, teased here, in brief.</p></article></div>"
+    for name in ("layout has-sidebar", "main no-sidebar", "post tag-news", "search-results"):
+        for inner in (f"<article>{STORY}</article>", f"<main>{STORY}</main>", f"<div>{STORY}</div>"):
+            page = f"<html><body><nav>Home, page</nav><div class='{name}'>{inner}{side}</div></body></html>"
+            assert main_text(page) == WANT, (name, inner)
+        page = f"<body><div class='{name}'><div id='page-with-menu'>{related}<article>{STORY}</article>{side}</div></div></body>"
+        assert main_text(page) == WANT
+        assert main_text(f"<body><article><div class='{name}'>{STORY}</div></article>{side}</body>") == WANT
+    assert main_text(f"<body><form id='f' action='/'><div><article>{STORY}</article>{side}</div></form></body>") == WANT
+    assert main_text(f"<body><form action='/'><div>{STORY}</div>{side}</form></body>") == WANT
+
+
+def test_parts_beside_the_content_stay_out():
+    comments = "<div id='comments'>" + "<article><p>A reader writes, at length, what they think.</p></article>" * 9 + "</div>"
+    assert main_text(f"<body><article>{STORY}</article>{comments}<form><p>Your name, please.</p></form></body>") == WANT
+    assert main_text(f"<body><div>{STORY}</div>{comments.replace('article', 'div')}</body>") == WANT
+    few = "<div id='comments'><article><p>A reader writes, at length.</p></article></div>"
+    assert main_text(f"<body><div>{STORY}</div>{few}</body>") == WANT
+    assert main_text(f"<body><div class='has-menu'><article>{STORY}</article>{comments}</div></body>") == WANT
+
+
+def test_nested_wrappers_are_linear():
+    start = time.time()
+    main_text("<div class='ad'>" * 30000 + "text, here." + "<div class='ad'>x</div>" * 30000)
+    assert time.time() - start < 30
+
+
 def test_long_pages_are_linear():
     start = time.time()
     for page in ("<div>a b c." * 50000, "<p>" + "abc, def. " * 500000, '<a href="' * 200000, "<!" * 200000,

@@ -8,7 +8,10 @@ fused into one value with what the path's tags say (article or link list),
 and paths whose value exceeds a share of the values' standard deviation are
 content. Parts that never are content (scripts, forms, navigation, asides,
 blocks whose class or id names an advert, a menu, comments and the like) take
-no part.
+no part. Words in a class and forms are weak signs, as wrappers around the
+content have them too ("has-sidebar", a form around the page): such a block
+takes part if the page's article is in it, no article text is outside such
+blocks and less other text than the article has, or if it holds most of the text and next to none is outside them.
 
 One page at a time, linear in its length: no shuffle, no state.
 
@@ -49,6 +52,9 @@ BESIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|s
                     r"overlay|newsletter|subscribe|signup|login|share|social|related|recommended|widget|copyright|"
                     r"legal|pager|pagination|toolbar|search|tags?|complementary|contentinfo|navigation)(?=$|[\s_\d-])", re.I)
 WITHIN = frozenset(("article", "main"))
+# A block with over half of the text is a wrapper if the text outside such
+# blocks is less than this share of its own.
+OUTSIDE = 0.1
 
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"""
                      r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
@@ -58,6 +64,10 @@ _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？«»„“”]")
 
 
+# How sure it is that a block is beside the content.
+_SURELY, _MAYBE = 1, 2
+
+
 class Paths:
     """The tag paths of a page as a tree: a path is its number."""
 
@@ -89,16 +99,20 @@ class Paths:
 def nodes(html: str, paths: Paths) -> list[tuple[int, str, int]]:
     """(path, raw text, block) of the text nodes that may be content."""
     out: list[tuple[int, str, int]] = []
-    stack: list[tuple[str, bool]] = []  # tag, beside the content
+    stack: list[tuple[str, int]] = []  # tag, 0 or how it is beside the content: _SURELY or _MAYBE
+    doubts = [0]  # the block around each _MAYBE block; 0 is the page
+    doubt_of: list[int] = []  # the innermost _MAYBE block of each text
+    in_article: list[bool] = []
     open_tags: dict[str, int] = {}  # how often each is on the stack
     trail = [0]  # the path at each depth of the stack
     at = block = 0
-    beside = 0
+    beside = doubt = 0
 
     def leave(n: int) -> None:
-        nonlocal beside
+        nonlocal beside, doubt
         for t, b in stack[n:]:
-            beside -= b
+            beside -= b == _SURELY
+            doubt = doubts[doubt] if b == _MAYBE else doubt
             open_tags[t] -= 1
         del stack[n:]
         del trail[n + 1:]
@@ -106,6 +120,8 @@ def nodes(html: str, paths: Paths) -> list[tuple[int, str, int]]:
     def text(part: str) -> None:
         if part and not beside:
             out.append((trail[-1], part, block))
+            doubt_of.append(doubt)
+            in_article.append(any(open_tags.get(t) for t in WITHIN))
 
     size, last = len(html), html.rfind(">")
     while at < size:
@@ -152,16 +168,51 @@ def nodes(html: str, paths: Paths) -> list[tuple[int, str, int]]:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = end.end() if end else size
             continue
-        aside = tag in NEVER
-        if not aside and attributes and tag not in ("html", "body"):
-            aside = bool(_HIDDEN.search(attributes)) or any(
-                BESIDE.search(a or b or c) for _, a, b, c in _NAMED.findall(attributes))
-            aside = aside and tag not in WITHIN
+        aside = _SURELY if tag in NEVER and tag != "form" else 0
+        if not aside and attributes and tag not in ("html", "body") and tag not in WITHIN:
+            if _HIDDEN.search(attributes):
+                aside = _SURELY
+            elif any(BESIDE.search(a or b or c) for _, a, b, c in _NAMED.findall(attributes)):
+                aside = _MAYBE
+        if tag == "form" and not aside:
+            aside = _MAYBE
         stack.append((tag, aside))
         open_tags[tag] = open_tags.get(tag, 0) + 1
         trail.append(paths.below(trail[-1], tag))
-        beside += aside
-    return out
+        beside += aside == _SURELY
+        if aside == _MAYBE:
+            doubts.append(doubt)
+            doubt = len(doubts) - 1
+    if len(doubts) == 1:
+        return out
+    wrappers = _wrappers(doubts, doubt_of, [len(t) - t.count(" ") if not t.isspace() else 0 for _, t, _ in out], in_article)
+    return [x for x, d in zip(out, doubt_of) if d in wrappers]
+
+
+def _wrappers(around: list[int], block_of: list[int], lengths: list[int], in_article: list[bool]) -> set[int]:
+    """The blocks that are no parts beside the content but hold it: from the
+    page (block 0) inwards, one in the other."""
+    inside: list[list[int]] = [[] for _ in around]
+    own = [[0, 0] for _ in around]  # text, and text in an article
+    for d, n, a in zip(block_of, lengths, in_article):
+        own[d][0] += n
+        own[d][1] += n * a
+    held = [list(x) for x in own]
+    for d in range(len(around) - 1, 0, -1):  # a block comes after the one around it
+        inside[around[d]].append(d)
+        for k in (0, 1):
+            held[around[d]][k] += held[d][k]
+    found = {0}
+    outside, article = own[0]
+    at = 0
+    while inside[at]:
+        at = max(inside[at], key=lambda d: (held[d][1] if not article else 0, held[d][0]))
+        has_article = not article and held[at][1] > outside
+        if not has_article and (2 * held[at][0] <= held[0][0] or outside >= OUTSIDE * held[at][0]):
+            break
+        found.add(at)
+        outside, article = outside + own[at][0], article + own[at][1]
+    return found
 
 
 def path_values(tree: Paths, paths: np.ndarray, lengths: np.ndarray, marks: np.ndarray, sigma: float = 1.0,
