@@ -52,6 +52,28 @@ def test_one_value_one_surrogate_in_any_format(spark):
     assert len(names) == 3 and len(set(names)) == 1
 
 
+def test_mentions_in_a_text_follow_the_full_name(spark):
+    got = replaced(spark, ["Mr Smith called. John Smith and Dr. Smith met Smith's friend Иван Волков; Волков and Smithson left.",
+                           "Mr Smith called Smith.", "Mr John Smith, a Smith, and Mary Jones."])
+    m = re.fullmatch(r"Mr (\w+) called\. (\w+) (\w+) and Dr\. (\w+) met (\w+)'s friend (\w+) (\w+); (\w+) and Smithson left\.",
+                     got[0]["text"])
+    assert m and got[0]["n_replaced"] == 6, got[0]["text"]
+    assert m[1] == m[3] == m[4] == m[5] != "Smith" and m[7] == m[8] != "Волков"
+    assert re.fullmatch(r"Mr (?!Smith)\w+ called Smith\.", got[1]["text"])
+    last = re.fullmatch(r"Mr (\w+) (\w+), a (\w+), and (\w+) (\w+)\.", got[2]["text"])
+    assert (last[1], last[2]) == (m[2], m[3]) and last[3] == last[2] != last[5]
+
+
+def test_more_phones_and_cards(spark):
+    values = ["1-800-555-1234", "555 123 4567", "1 555 123 4567", "3782 822463 10005", "3782-822463-10005", "378282246310005"]
+    got = replaced(spark, [f"Use {v} now." for v in values] + ["from 1 100 200 3000 to 20 555 123 4567 and 555 123 45678"])
+    for k, v in enumerate(values):
+        made = got[k]["text"][4:-5]
+        assert got[k]["n_replaced"] == 1 and made != v and re.sub(r"\d", "0", made) == re.sub(r"\d", "0", v)
+        assert k < 3 or luhn_ok(made)
+    assert got[len(values)]["n_replaced"] == 0
+
+
 def test_digit_permutation_is_one_to_one(spark):
     for width in (2, 3, 4):
         df = spark.range(10 ** width).select(F.lpad(F.col("id").cast("string"), width, "0").alias("d"))

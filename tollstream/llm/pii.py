@@ -19,6 +19,11 @@ written (its normal form decides); different values get different ones:
   first are drawn again until none do. The draws' numbers (0 for nearly all)
   are what a text's surrogates depend on besides its own values.
 
+Within a text, a title with a surname and a surname alone follow the first
+full name with that surname: they get the surname of its surrogate. The full
+name may come later in the text. A surname behind a title in a text without
+the full name is a value of its own; a surname alone is not found there.
+
 Everything is column expressions. Texts are read once to find the values and
 once to replace them; the check shuffles distinct values, not texts, and
 texts are joined with redrawn values only if there are any.
@@ -64,8 +69,9 @@ PATTERNS = {
     "id": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3}[ .-]\d{3,4}(?!\d)"
              r"|(?<![\d+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|(?<![\d+])\+\d{9,15}(?!\d)"
-             r"|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
-    "card": r"(?<![\d.])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\d|\.\d)",
+             r"|(?<![\d.-])(?:1[ .-])?\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
+             r"|(?<![\d.-])(?<!\d )(?:1[ .-])?[2-9]\d{2} \d{3}[ -]\d{4}(?![\d-]| \d)",
+    "card": r"(?<![\d.])(?:\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d|\.\d)",
     "name": rf"(?={_CAPITAL})(?<!\p{{L}})(?:(?:{_ALL_TITLES})\.? {_UP}(?:[ -]{_UP})?|(?:{_ALL_GIVEN}) {_UP})(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -93,10 +99,25 @@ def kind_of(value: Column) -> Column:
     return out
 
 
+def without_title(name: Column) -> Column:
+    return F.regexp_replace(name, rf"\A(?:{_ALL_TITLES})\.? ", "")
+
+
+def people(found: Column) -> Column:
+    """The full names, without titles, among a text's values."""
+    return F.array_distinct(F.filter(F.transform(found, without_title), lambda v: v.rlike(rf"\A{_UP} {_UP}\z")))
+
+
+def with_surnames(names: Column) -> Column:
+    """The pattern of all values and of the surnames of full names."""
+    last = F.array_distinct(F.transform(names, lambda n: F.regexp_extract(n, r"\p{L}+\z", 0)))
+    return F.concat(F.lit(ANY + r"|(?<!\p{L})(?:"), F.array_join(last, "|"), F.lit(r")(?!\p{L})"))
+
+
 def normal_form(kind: Column, value: Column) -> Column:
     """What makes two spellings one value."""
     digits = F.regexp_replace(value, r"\D", "")
-    bare = F.regexp_replace(value, rf"\A(?:{_ALL_TITLES})\.? ", "")
+    bare = without_title(value)
     return (F.when(kind.isin("card", "phone", "id"), digits)
             .when(kind == "name", F.lower(bare))
             .when(kind == "secret", F.when(value.rlike(r"\A[0-9A-Fa-f]+\z"), F.lower(value)).otherwise(value))
@@ -276,6 +297,11 @@ def replace(docs: DataFrame, key: str, column: str = "text", counted: str | None
     text = F.col(column).cast("string")
     hits = F.when(text.rlike(MAY), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), text.alias("raw"), hits.alias("found"))
+    rows = rows.withColumn("people", people(F.col("found")))
+    linked = F.size("people") > 0
+    rows = rows.withColumn("pattern", F.when(linked, with_surnames(F.col("people"))))
+    rows = rows.withColumn("found", F.when(linked, F.regexp_extract_all("raw", F.col("pattern"), F.lit(0))).otherwise(
+        F.col("found")))
     again = redrawn(rows.select("found").where(F.size("found") > 0), key)
     if again.isEmpty():
         rows = rows.withColumn("again", F.lit(None).cast("map<string,int>"))
@@ -295,9 +321,21 @@ def replace(docs: DataFrame, key: str, column: str = "text", counted: str | None
         return let(kind_of(v), lambda k: F.coalesce(
             F.try_element_at(F.col("again"), F.concat_ws("/", k, normal_form(k, v))), F.lit(0)))
 
-    gaps = F.split(F.col("raw"), ANY, -1)
+    def replacement(v: Column) -> Column:
+        bare = without_title(v)
+        full = F.when(F.size("people") > 0, F.get(F.filter("people", lambda n: n.endswith(F.concat(F.lit(" "), bare))), F.lit(0)))
+
+        def of(f: Column) -> Column:
+            made = let(F.coalesce(f, v), lambda t: let(number(t), lambda a: surrogate(t, key, a)))
+            return F.when(f.isNull(), made).otherwise(F.concat(
+                F.substring(v, F.lit(1), F.length(v) - F.length(bare)), F.regexp_extract(made, r"\p{L}+\z", 0)))
+
+        return let(full, of)
+
+    gaps = F.when(F.col("pattern").isNull(), F.split(F.col("raw"), ANY, -1)).otherwise(
+        F.split(F.col("raw"), F.col("pattern"), -1))
     made = let(gaps, lambda g: F.concat(g[0], F.concat_ws("", F.transform(
-        F.col("found"), lambda v, i: F.concat(let(number(v), lambda a: surrogate(v, key, a)), F.get(g, i + 1))))))
+        F.col("found"), lambda v, i: F.concat(replacement(v), F.get(g, i + 1))))))
     new = F.when(F.size("found") > 0, made).otherwise(F.col("raw"))
     out = [new.alias(c) if c == column else F.col("row")[c].alias(c) for c in docs.columns if c != counted]
     if counted:
