@@ -7,7 +7,7 @@ import numpy as np
 from helpers import edge_docs, no_docs, prose
 
 from tollstream.llm import quality, toxicity
-from tollstream.llm.shared import table
+from tollstream.llm.shared import table, training_fold
 
 SF = "/root/testdata/sf0.1"
 
@@ -117,3 +117,15 @@ def test_machine_matches_plain_search():
             total += max([v for e, v in weights.items() if (w == e[:-1] if e.endswith("|") else w.startswith(e))],
                          default=0.0)
         assert np.isclose(lexicon.features(text)[0], np.log1p(total))
+
+
+def test_repeated_rows_of_a_labelled_id_count_once(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, "one text")] * 50 + [(1, "another")] + [(k, f"text {k}") for k in range(2, 20)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 20)], "doc_id long, quality int")
+    rows = quality.labelled_sample(docs, labels, "quality", 5000).collect()
+    ids = {r["doc_id"] for r in labels.where(training_fold(F.col("doc_id"))).collect()}
+    assert 1 in ids and len(rows) == len(ids)
+    assert len(quality.labelled_sample(docs, labels, "quality", 5).collect()) == 5

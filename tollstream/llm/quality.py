@@ -115,12 +115,14 @@ def _vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most_rows: int) -> DataFrame:
     """(__text, label) of at most ``most_rows`` documents of the training
-    fold: those whose ids hash lowest. Bounded, so it may be broadcast."""
+    fold: those whose ids hash lowest, and of rows with equal ids the text that
+    hashes lowest. Bounded, so it may be broadcast."""
     chosen = (labels.where(training_fold(F.col("doc_id")) & F.col(label).isNotNull())
               .groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows))
-    return (docs.select("doc_id", text_col().alias("__text")).join(F.broadcast(chosen), "doc_id")
-            .select("__text", "label"))
+    rows = docs.select("doc_id", text_col().alias("__text")).join(F.broadcast(chosen), "doc_id")
+    first = F.min(F.struct(F.xxhash64("__text").alias("hash"), "__text")).alias("first")
+    return rows.groupBy("doc_id", "label").agg(first).select(F.col("first")["__text"].alias("__text"), "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: int = MOST_ROWS) -> Discriminant:
