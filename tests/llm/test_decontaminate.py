@@ -1,6 +1,6 @@
 import re
 
-from helpers import edge_docs, no_docs, prose
+from llm_helpers import edge_docs, no_docs, prose
 
 from tollstream.llm import decontaminate
 

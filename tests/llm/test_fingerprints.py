@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from helpers import SCHEMA, edge_docs, edge_rows, no_docs, prose
+from llm_helpers import SCHEMA, edge_docs, edge_rows, no_docs, prose
 from xxhash import xxh64
 
 from pyspark.sql import functions as F

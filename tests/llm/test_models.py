@@ -4,7 +4,7 @@ import random
 import zlib
 
 import numpy as np
-from helpers import edge_docs, no_docs, prose
+from llm_helpers import edge_docs, no_docs, prose
 
 from tollstream.llm import quality, toxicity
 from tollstream.llm.shared import table, training_fold

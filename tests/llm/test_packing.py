@@ -3,7 +3,7 @@ import random
 import zlib
 
 import numpy as np
-from helpers import edge_docs, edge_rows, no_docs
+from llm_helpers import edge_docs, edge_rows, no_docs
 
 from tollstream.llm import packing
 from tollstream.llm.tokens import Encoder, encoder, tokenizer_path

@@ -76,7 +76,7 @@ def test_registered_with_its_stages(spark):
 
 def test_odd_tables(spark):
     """Nulls, repeats, clashing names and no rows through every stage."""
-    from helpers import edge_docs, no_docs
+    from llm_helpers import edge_docs, no_docs
 
     for docs in (edge_docs(spark), no_docs(spark)):
         for name, step in corpus_pipeline.STAGES:

@@ -2,7 +2,7 @@ import hashlib
 import math
 import zlib
 
-from helpers import edge_docs, edge_rows, no_docs
+from llm_helpers import edge_docs, edge_rows, no_docs
 
 from tollstream.llm import sharding
 

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from helpers import edge_docs, edge_rows, no_docs
+from llm_helpers import edge_docs, edge_rows, no_docs
 from xxhash import xxh64_intdigest
 
 from tollstream.llm import simhash
