@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, extract, fingerprints, packing, pii, quality, sharding, simhash, tokenfiles,
+from . import (codes, decontaminate, extract, fingerprints, packing, pii, quality, sharding, simhash, tokenfiles,
                toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,8 +20,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rendezvous_sharding": sharding.query,
     "op9_repair_token_files": tokenfiles.query,
     "op10_template_decontamination": decontaminate.query,
+    "op11_vector_codes": codes.query,
 }
 
 SQL: dict[str, str] = {
     "op8_rendezvous_sharding": sharding.SQL,
+    "op11_vector_codes": codes.SQL,
 }
