@@ -1,0 +1,127 @@
+"""Vector codes: against plain numpy, bounds of the shortlist, odd rows."""
+
+import math
+
+import numpy as np
+import pytest
+
+from tollstream.llm import codes
+
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, rid long, part int"
+
+
+def plain(rows, parts=4, entries=256, rounds=4):
+    """The contract, one vector after the other: {row position: (code, error)}."""
+    kept = [(i, r) for i, r in enumerate(rows)
+            if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    kept.sort(key=lambda x: (x[1][0] is None, x[1][0], x[1][1]))
+    v = np.array([[math.floor(1024 * float(np.float32(x))) for x in r[1]] for _, r in kept], np.int64)
+    sub = v.reshape(len(v), parts, -1)
+    book = sub[:entries].transpose(1, 0, 2).copy()
+    for k in range(rounds + 1):
+        apart = [((sub[:, p, None] - book[p][None]) ** 2).sum(axis=2) for p in range(parts)]
+        code = np.array([d.argmin(axis=1) for d in apart])
+        if k < rounds:
+            for p in range(parts):
+                for e in np.unique(code[p]):
+                    own = sub[code[p] == e, p]
+                    book[p, e] = [int(s) // len(own) for s in own.sum(axis=0)]
+    error = sum(d.min(axis=1) for d in apart)
+    return {i: ("".join(f"{c:02x}" for c in code[:, k]), int(error[k])) for k, (i, _) in enumerate(kept)}, book
+
+
+def vectors(n, dims, seed, spread=0.1):
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=(5, dims))
+    return [tuple(float(np.float32(x)) for x in centre[i % 5] + spread * rng.normal(size=dims)) for i in range(n)]
+
+
+def run(spark, rows, **kw):
+    df = spark.createDataFrame([(i, None if v is None else list(v), label, "x", 1, 2) for i, v, label in rows], SCHEMA)
+    return codes.compress(df, **kw)
+
+
+@pytest.mark.parametrize("dims,entries", [(16, 32), (64, 20)])
+def test_equals_plain(spark, dims, entries):
+    rows = [(k * 3 % 1009, v, k % 3) for k, v in enumerate(vectors(700, dims, dims))]
+    got, book = run(spark, rows, entries=entries)
+    want, plain_book = plain(rows, entries=entries)
+    by_id = {rows[i][0]: w for i, w in want.items()}
+    assert {r["id"]: ("".join(f"{c:02x}" for c in r["codes"]), r["error"]) for r in got.collect()} == by_id
+    assert np.array_equal(book, plain_book)
+
+
+def test_odd_rows(spark):
+    good = vectors(6, 8, 3)
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, good[0], 1), (2, None, 1), (3, (nan, *good[0][1:]), 1), (4, (None, *good[0][1:]), 1),
+            (5, (-inf, *good[0][1:]), 2), (6, good[1], None), (7, good[0], None), (7, good[0], None),
+            (None, good[2], 2), (8, good[3][:3], 2), (9, (1e30, *good[0][1:]), 2)]
+    got, book = run(spark, rows)
+    out = got.collect()
+    assert sorted(str(r["id"]) for r in out) == sorted(["1", "6", "7", "7", "None", "9"])
+    assert book.shape == (4, 6, 2)
+    same = {tuple(r["codes"]) for r in out if r["id"] in (1, 7)}
+    assert len(same) == 1
+    assert book.max() <= codes.LIMIT
+
+
+def test_empty_and_all_dropped(spark):
+    for rows in ([], [(1, None, 1)]):
+        got, book = run(spark, rows)
+        assert got.collect() == [] and book.size == 0
+
+
+def test_length_that_parts_do_not_divide(spark):
+    rows = [(k, v, 1) for k, v in enumerate(vectors(40, 6, 9))]
+    padded = [(i, (*v, 0.0, 0.0), label) for i, v, label in rows]
+    a, book = run(spark, rows, entries=8)
+    b, padded_book = run(spark, padded, entries=8)
+    key = lambda r: (r["id"], tuple(r["codes"]), r["error"])
+    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+    assert np.array_equal(book, padded_book)
+
+
+def test_shortlist_never_loses_the_nearest():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        v = rng.integers(-50, 50, (rng.integers(1, 20), 3))
+        entries = rng.integers(-60, 60, (rng.integers(1, 30), 3))
+        few = codes.box_shortlist(v.min(axis=0), v.max(axis=0), entries)
+        code, apart = codes.nearest(v, entries, few)
+        full = ((v[:, None] - entries[None]) ** 2).sum(axis=2)
+        assert np.array_equal(code, full.argmin(axis=1)) and np.array_equal(apart, full.min(axis=1))
+
+
+@pytest.mark.parametrize("dims,bits", [(2, 4), (3, 3)])
+def test_hilbert_key_is_a_curve(dims, bits):
+    side = np.arange(1 << bits)
+    cells = np.stack(np.meshgrid(*[side] * dims, indexing="ij"), axis=-1).reshape(-1, dims)
+    key = codes.hilbert_key(cells, bits)
+    assert sorted(key.tolist()) == list(range(len(cells)))
+    walk = cells[np.argsort(key)]
+    assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_boxes_cut_the_work(spark):
+    """Tight groups: most blocks have a shortlist far below all entries."""
+    base = [(k, v, 0) for k, v in enumerate(vectors(2000, 16, 4, spread=0.01))]
+    rows = [np.floor(1024 * np.float32(v)).astype(np.int64)[:4] for _, v, _ in base]
+    v = np.array(sorted(rows, key=lambda x: int(codes.hilbert_key(((x - np.min(rows)) >> 5)[None], 16)[0])))
+    entries = np.array(rows[:50])
+    sizes = [len(codes.box_shortlist(v[at:at + 64].min(axis=0), v[at:at + 64].max(axis=0), entries))
+             for at in range(0, len(v), 64)]
+    assert np.median(sizes) <= 15
+
+
+def test_hot_vector_is_spread(spark):
+    """A third of all rows are one vector: its parts lie in several tasks."""
+    vs = vectors(600, 8, 6)
+    rows = [(k, vs[0] if k % 3 == 0 else v, 0) for k, v in enumerate(vs)]
+    df = spark.createDataFrame([(i, list(v), x, "x", 1, 2) for i, v, x in rows], SCHEMA)
+    base = (df.repartition(4).select(codes.integers("embedding", 8, 8).alias("v"))
+            .selectExpr("v", "monotonically_increasing_id() as rid"))
+    flat = codes.blocks(base, 4, 2, block_rows=16)
+    assert {r["part"]: r["n"] for r in flat.groupBy("part").agg({"n": "sum"}).toDF("part", "n").collect()} == \
+        {p: 600 for p in range(4)}
+    assert max(r["n"] for r in flat.select("n").collect()) <= 16
