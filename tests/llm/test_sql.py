@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_sql_gives_the_same_rows(spark):
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     for name, sql in SQL.items():
         got = QUERIES[name](spark, SF)

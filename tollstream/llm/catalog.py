@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (codes, decontaminate, extract, fingerprints, minhash, packing, pii, quality, sharding, simhash, tokenfiles,
+from . import (codes, decontaminate, extract, fingerprints, lexical, minhash, packing, pii, quality, sharding, simhash, tokenfiles,
                toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,10 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repair_token_files": tokenfiles.query,
     "op10_template_decontamination": decontaminate.query,
     "op11_vector_codes": codes.query,
+    "op12_ranked_search": lexical.query,
     "op13_minhash_near_dedup": minhash.query,
 }
 
 SQL: dict[str, str] = {
     "op8_rendezvous_sharding": sharding.SQL,
     "op11_vector_codes": codes.SQL,
+    "op12_ranked_search": lexical.SQL,
 }
