@@ -134,3 +134,10 @@ def test_pack_odd_rows(spark):
             at += length
         assert at <= 2048
     assert packing.pack(no_docs(spark), BYTE).count() == 0
+
+
+def test_large_ids_beside_a_null_stay_exact(spark):
+    big = 1 << 60
+    docs = spark.createDataFrame([(big + 1, "a b c"), (None, "d e"), (big + 3, "f g")], "doc_id long, text string").coalesce(1)
+    got = packing.pack(docs, tokenizer_path("byte_bpe_50k.json")).collect()
+    assert sorted((r["doc_id"] for r in got), key=str) == sorted([big + 1, None, big + 3], key=str)

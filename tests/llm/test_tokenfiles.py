@@ -93,3 +93,11 @@ def test_no_rows(spark):
     folder = scratch_path(spark, "test-files")
     tokenfiles.write_files(no_docs(spark), folder, WORD)
     assert tokenfiles.read_files(spark, folder).count() == 0
+
+
+def test_large_ids_beside_a_null_stay_exact(spark):
+    big, folder = 1 << 60, scratch_path(spark, "files")
+    docs = spark.createDataFrame([(big + 1, "a b c"), (None, "d e"), (big + 3, "f g")], "doc_id long, text string").coalesce(1)
+    tokenfiles.write_files(docs, folder, WORD)
+    got = tokenfiles.read_files(spark, folder).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None, big + 1, big + 3]

@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from .shared import frame as as_frame, ranked, release_memory, ship, stage, table, text_col
 from .tokens import encoder, tokenizer_path
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+# The id goes to Python and back as text: beside a null, numbers would turn into floats.
+PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 
 def _pieces(frames: Iterator[pd.DataFrame], path: str, kind: str, end_id: int, capacity: int,
@@ -52,9 +53,7 @@ def _pieces(frames: Iterator[pd.DataFrame], path: str, kind: str, end_id: int, c
                 part = ids[4 * a:4 * b]
                 rows.append((doc, k, a, b - a, zlib.crc32(part), part) if keep_ids
                             else (doc, k, a, b - a, zlib.crc32(part)))
-        out = as_frame(rows, ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        yield out
+        yield as_frame(rows, ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
         release_memory()
 
 
@@ -63,9 +62,9 @@ def pieces(docs: DataFrame, path: str, kind: str, end_id: int, capacity: int,
     """The pieces of each document; with ``keep_ids`` their ids too, as
     little-endian unsigned 32-bit."""
     ship(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col().alias("__text"))
+    texts = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), text_col().alias("__text"))
     return texts.mapInPandas(lambda it: _pieces(it, path, kind, end_id, capacity, keep_ids),
-                             PIECES + (", ids binary" if keep_ids else ""))
+                             PIECES + (", ids binary" if keep_ids else "")).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 # --- the plan: lengths only ----------------------------------------------------

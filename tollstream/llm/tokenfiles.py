@@ -215,7 +215,8 @@ class Shard:
 
 
 FILES = "part int, shard int, before long, n_ids long, data binary"
-ROWS = "part int, doc_id long, inner long, n_tokens long, ids_crc32 long"
+# Ids go to Python and back as text: beside a null, numbers would turn into floats.
+ROWS = "part int, doc_id string, inner long, n_tokens long, ids_crc32 long"
 
 
 def _gathered(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
@@ -253,7 +254,7 @@ def _shards(frames: Iterator[pd.DataFrame], path: str, kind: str, end_id: int, s
 
     for known, texts in _gathered(frames):
         for doc, own in zip(known, enc.ids(texts)):
-            docs.append(None if pd.isna(doc) else int(doc))
+            docs.append(None if doc is None else int(doc))
             ids.append(own + end)
             size += len(own) // 4 + 1
             if size >= shard_ids:
@@ -270,7 +271,7 @@ def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             stop = np.cumsum(s.counts)
             start = stop - s.counts
             yield pd.DataFrame({
-                "part": part, "doc_id": pd.array(s.doc_ids, dtype="Int64"), "inner": before + start,
+                "part": part, "doc_id": pd.Series([None if d is None else str(d) for d in s.doc_ids], dtype=object), "inner": before + start,
                 "n_tokens": s.counts,
                 "ids_crc32": [zlib.crc32(flat[4 * a:4 * b]) for a, b in zip(start.tolist(), stop.tolist())]})
 
@@ -283,7 +284,7 @@ def write_files(docs: DataFrame, folder: str, path: str, kind: str = "word", end
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col().alias("__text"))
     rows = rows.withColumn("__tie", F.xxhash64("__text"))
     (rows.repartitionByRange(ranges, "doc_id", "__tie").sortWithinPartitions("doc_id", "__tie")
-     .select("doc_id", "__text")
+     .select(F.col("doc_id").cast("string").alias("doc_id"), "__text")
      .mapInPandas(lambda it: _shards(it, path, kind, end_id, shard_ids), FILES)
      .write.parquet(folder))
 
@@ -298,7 +299,7 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
              .select("part", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead")))
     rows = files.select("part", "before", "data").mapInPandas(_read, ROWS)
     return rows.join(F.broadcast(parts), "part").select(
-        "doc_id", (F.col("inner") + F.col("__ahead")).alias("start"), "n_tokens", "ids_crc32")
+        F.col("doc_id").cast("long").alias("doc_id"), (F.col("inner") + F.col("__ahead")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
