@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +32,12 @@ def lav(speed_sum: Column, count: Column) -> Column:
     return F.when(count > 0, F.floor(q.cast("double") + F.lit(0.5)).cast("int")).otherwise(F.lit(0))
 
 
+def lav_values(speed_sum: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """P8 over arrays."""
+    quotient = speed_sum.astype(np.float32) / np.maximum(count, 1).astype(np.float32)
+    return np.where(count > 0, np.floor(quotient.astype(np.float64) + 0.5), 0).astype(np.int32)
+
+
 def latency_ms(emit_ts: Column, ingest_ts: Column) -> Column:
     """``emit - ingest`` in whole milliseconds (clock-millis difference)."""
     return F.unix_millis(emit_ts) - F.unix_millis(ingest_ts)

@@ -187,6 +187,24 @@ def q_toll_notifications_global(spark, sf_dir):
     return toll_notifications_global(parsed_reports(spark, sf_dir))
 
 
+def _shuffled_reports(spark, sf_dir):
+    """Reports that arrive up to 3 000 places late: ``arrival`` is their
+    order (unique: equal delayed places differ modulo 4096)."""
+    late = F.col(ORDER_COL) + (F.col(ORDER_COL) * 7919) % 3001
+    return parsed_reports(spark, sf_dir).withColumn("arrival", late * 4096 + F.col(ORDER_COL) % 4096)
+
+
+def q_toll_notifications_arrival(spark, sf_dir):
+    """T1 from statistics as they stood when each report arrived."""
+    return toll_notifications_keyed(_shuffled_reports(spark, sf_dir), emit_zero=True, order_col="arrival",
+                                    statistics="arrival")
+
+
+def q_toll_notifications_global_arrival(spark, sf_dir):
+    """T2 in arrival order."""
+    return toll_notifications_global(_shuffled_reports(spark, sf_dir), order_col="arrival", statistics="arrival")
+
+
 def q_toll_latency_keyed(spark, sf_dir):
     """P3 + P9 in T1: lines with fixed ingest and emit stamps."""
     ingest = F.timestamp_seconds(F.lit(86400) + F.col(ORDER_COL))
@@ -293,6 +311,8 @@ QUERIES: dict[str, Query] = {
     "toll_notifications_keyed": q_toll_notifications_keyed,
     "toll_notifications_keyed_all": q_toll_notifications_keyed_all,
     "toll_notifications_global": q_toll_notifications_global,
+    "toll_notifications_arrival": q_toll_notifications_arrival,
+    "toll_notifications_global_arrival": q_toll_notifications_global_arrival,
     "toll_latency_keyed": q_toll_latency_keyed,
     "format_toll_keyed": q_format_toll_keyed,
     "format_toll_global": q_format_toll_global,

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.format import toll_text_global
 from ..functions.parse import with_minute
 from ..functions.toll import latency_ms, toll
+from ..operators.arrival import arrival_history
 from ..operators.filters import non_exit, position_reports
 from ..operators.segments import enrich, minute_history, minute_lav, segment_minute_stats, time_is_short
 from ..operators.vehicle import keep_first_segment
-from ..schema import ORDER_COL
+from ..schema import EXIT_LANE, ORDER_COL
 from ..session import stage_table
 
 
@@ -38,14 +39,21 @@ def global_lav(parsed: DataFrame, order_col: str = ORDER_COL) -> DataFrame:
 
 def toll_notifications_global(parsed: DataFrame, order_col: str = ORDER_COL,
                               emit_ts: str | None = None, ingest_ts: str | None = None,
-                              with_text: bool = False, materialize: bool = True) -> DataFrame:
-    """Global toll assessments; ``materialize`` as in the keyed plan (the
-    input is read three times: reports, per-vehicle aggregate, threshold)."""
+                              with_text: bool = False, materialize: bool = True,
+                              statistics: str = "complete") -> DataFrame:
+    """Global toll assessments; ``materialize`` and ``statistics`` as in the
+    keyed plan (the input is read three times: reports, per-vehicle
+    aggregate, threshold)."""
+    if statistics not in ("complete", "arrival"):
+        raise ValueError(statistics)
     if materialize:
         parsed = stage_table(position_reports(parsed), "parsed-reports")
     kept = global_kept(parsed, order_col)
-    history = minute_history(segment_minute_stats(kept, keys=[]))
-    out = enrich(non_exit(kept), history, keys=[], bounded=time_is_short(kept))
+    if statistics == "arrival":
+        out = arrival_history(kept.withColumn("_asked", F.col("lane") != EXIT_LANE), [], order_col, asked="_asked")
+    else:
+        history = minute_history(segment_minute_stats(kept, keys=[]))
+        out = enrich(non_exit(kept), history, keys=[], bounded=time_is_short(kept))
     out = out.select("*", toll(F.col("num_vehicles"), F.col("lav")).alias("toll"))
     cols = [order_col, "vid", "time", "lav", "num_vehicles", "toll"]
     if ingest_ts is not None:

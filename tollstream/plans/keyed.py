@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from ..functions.format import toll_text_keyed
 from ..functions.parse import with_minute
 from ..functions.toll import latency_ms, toll
+from ..operators.arrival import arrival_history
 from ..operators.filters import new_segment_only, non_exit, nonzero_toll, position_reports
 from ..operators.segments import enrich, segment_history, segment_minute_stats
 from ..operators.vehicle import first_reports, flag_new_segment
-from ..schema import ORDER_COL, SEGMENT_KEYS
+from ..schema import EXIT_LANE, ORDER_COL, SEGMENT_KEYS
 from ..session import stage_table
 
 def keyed_reports(parsed: DataFrame) -> DataFrame:
@@ -37,7 +38,8 @@ def keyed_enriched(parsed: DataFrame) -> DataFrame:
 
 def toll_notifications_keyed(parsed: DataFrame, emit_zero: bool = False, order_col: str = ORDER_COL,
                              emit_ts: str | None = None, ingest_ts: str | None = None,
-                             with_text: bool = False, materialize: bool = True) -> DataFrame:
+                             with_text: bool = False, materialize: bool = True,
+                             statistics: str = "complete") -> DataFrame:
     """Keyed toll notifications from parsed reports.
 
     Rows: new-segment, non-exit position reports, with ``lav``,
@@ -51,14 +53,26 @@ def toll_notifications_keyed(parsed: DataFrame, emit_zero: bool = False, order_c
     folder: a line source is parsed once, each read scans only its columns,
     and the lineage is cut there. Pass ``materialize=False`` when the input
     already is a columnar table.
+
+    ``statistics``: ``complete`` minutes (what arrival order gives where event
+    time never decreases), or ``arrival``: as they stood when each report
+    arrived, for input in any order.
     """
+    if statistics not in ("complete", "arrival"):
+        raise ValueError(statistics)
     if materialize:
         parsed = stage_table(position_reports(parsed), "parsed-reports")
     reports = keyed_reports(parsed)
-    history = segment_history(segment_minute_stats(reports))
-    first = first_reports(reports, order_col)
-    candidates = new_segment_only(flag_new_segment(non_exit(reports), order_col, first=first))
-    out = enrich(candidates, history, SEGMENT_KEYS).select("*", toll(F.col("num_vehicles"), F.col("lav")).alias("toll"))
+    if statistics == "arrival":  # all reports count, the candidates are answered
+        asked = flag_new_segment(reports, order_col).withColumn(
+            "_asked", F.col("in_new_seg") & (F.col("lane") != EXIT_LANE))
+        enriched = arrival_history(asked, SEGMENT_KEYS, order_col, asked="_asked")
+    else:
+        history = segment_history(segment_minute_stats(reports))
+        first = first_reports(reports, order_col)
+        candidates = new_segment_only(flag_new_segment(non_exit(reports), order_col, first=first))
+        enriched = enrich(candidates, history, SEGMENT_KEYS)
+    out = enriched.select("*", toll(F.col("num_vehicles"), F.col("lav")).alias("toll"))
     if not emit_zero:
         out = nonzero_toll(out)
     cols = [order_col, "vid", "time", "lav", "num_vehicles", "toll"]

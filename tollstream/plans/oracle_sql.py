@@ -106,6 +106,36 @@ GLOBAL = f"""globtoll AS (
   FROM kept k LEFT JOIN minhist h USING (minute)
   WHERE k.lane <> 4)"""
 
+# Reports in another arrival order, and each asked report against all that
+# arrived before it: no prefix sums.
+ARRIVED = """arrived AS (
+  SELECT *, ("offset" + ("offset" * 7919) % 3001) * 4096 + "offset" % 4096 AS arrival FROM reports)"""
+
+
+def _arrival(rows: str, keys: list[str], asked: str) -> str:
+    """Tolls of the ``asked`` rows from the ``rows`` that arrived before."""
+    same = "".join(f" AND h.{k} = a.{k}" for k in keys)
+    cols = "".join(f"{k}, " for k in keys)
+    return f"""
+  firsts AS (SELECT {cols}minute, vid, min(arrival) AS arrival FROM {rows} GROUP BY {cols}minute, vid),
+  asked AS ({asked}),
+  history AS (
+    SELECT a.arrival, count(*) AS hc, sum(h.speed) AS hs FROM asked a JOIN {rows} h
+    ON h.minute BETWEEN a.minute - 5 AND a.minute - 1 AND h.arrival < a.arrival{same} GROUP BY a.arrival),
+  before AS (
+    SELECT a.arrival, count(*) AS pc FROM asked a JOIN firsts h
+    ON h.minute = a.minute - 1 AND h.arrival < a.arrival{same} GROUP BY a.arrival),
+  answered AS (
+    SELECT a.arrival, vid, "time",
+      CASE WHEN minute <= 1 THEN 0 ELSE {_lav('coalesce(hs, 0)', 'coalesce(hc, 0)')} END AS lav,
+      CASE WHEN minute <= 1 THEN 0 ELSE CAST(coalesce(pc, 0) AS INT) END AS num_vehicles
+    FROM asked a LEFT JOIN history USING (arrival) LEFT JOIN before USING (arrival))
+  SELECT arrival, vid, "time", lav, num_vehicles, {_toll()} AS toll FROM answered"""
+
+
+_BY_ARRIVAL = "WINDOW v AS (PARTITION BY vid ORDER BY arrival)"
+_FIRST_SEG = f"SELECT *, row_number() OVER v AS rn, first_value(seg) OVER v AS fs FROM arrived {_BY_ARRIVAL}"
+
 _STAMP = ("strftime(TIMESTAMP '2024-01-01 00:00:00' + to_microseconds((epoch_us(event_ts) - "
           "epoch_us(TIMESTAMP '2024-01-01 00:00:00')) // 1440), '%Y-%m-%d %H:%M:%S.%g')")
 LOG = f"""log AS (
@@ -190,6 +220,13 @@ SQL: dict[str, str] = {
     "toll_latency_keyed": _with(PR, REPORTS, SEGSTATS, SEGHIST, FLAGGED, KEYED)
     + """SELECT *, CAST("offset" % 997 AS BIGINT) AS emit FROM keyed""",
     "toll_notifications_global": _with(PR, REPORTS, KEPT, MINSTATS, MINHIST, GLOBAL) + "SELECT * FROM globtoll",
+    "toll_notifications_arrival": _with(
+        PR, REPORTS, ARRIVED, f"marked AS ({_FIRST_SEG})",
+        _arrival("marked", ["xway", "dir", "seg"],
+                 "SELECT * FROM marked WHERE (rn = 1 OR seg <> fs) AND lane <> 4").strip()),
+    "toll_notifications_global_arrival": _with(
+        PR, REPORTS, ARRIVED, f"kept AS (SELECT * FROM ({_FIRST_SEG}) WHERE rn = 1 OR seg = fs)",
+        _arrival("kept", [], "SELECT * FROM kept WHERE lane <> 4").strip()),
     "format_toll_keyed": _with(PR, REPORTS, SEGSTATS, SEGHIST, FLAGGED, KEYED) + f"""
         SELECT "offset", concat_ws(',', {_FIXED_CLOCK}, '0', CAST(vid AS VARCHAR), CAST("time" AS VARCHAR),
             CAST("offset" % 997 AS VARCHAR), CAST(lav AS VARCHAR), CAST(toll AS VARCHAR)) AS text
