@@ -42,6 +42,34 @@ def test_drop_scratch(spark):
 
 
 
+def test_sources_are_made_anew_after_drop_scratch(spark):
+    """A staged source whose folder was deleted is not handed out again."""
+    from tollstream import session
+    from tollstream.sources import events
+
+    kept, sources = session._SCRATCH.pop(session.app_id(spark), []), dict(events._SOURCES)
+    events.forget_sources(spark)
+    sf = "/root/testdata/sf0.001"
+    n = events.staged_lines(spark, sf).count()
+    assert session.drop_scratch(spark) == 1
+    assert events.staged_lines(spark, sf).count() == n
+    session.drop_scratch(spark)
+    session._SCRATCH[session.app_id(spark)] = kept
+    events._SOURCES.update(sources)
+
+
+def test_scratch_scope_deletes_its_own_folders_only(spark):
+    from tollstream import session
+
+    outer = session.scratch_path(spark, "outer")
+    spark.range(2).write.parquet(outer)
+    with session.scratch_scope(spark):
+        inner = stage_table(spark.range(3), "inner").inputFiles()[0]
+        assert spark.read.parquet(inner).count() >= 1
+    fs, p = session.hadoop_path(spark, inner)
+    assert not fs.exists(p) and spark.read.parquet(outer).count() == 2
+
+
 def test_ensure_state_store(spark):
     key = "spark.sql.streaming.stateStore.providerClass"
     previous = spark.conf.get(key)

@@ -43,14 +43,16 @@ def hot_threshold(big: DataFrame, partitions: int):
 
 
 def join_with_hot_split(big: DataFrame, small: DataFrame, key: str, count_col: str,
-                        partitions: int | None = None, salt_cols: list[str] | None = None) -> DataFrame:
+                        partitions: int | None = None, salt_cols: list[str] | None = None,
+                        counted: DataFrame | None = None) -> DataFrame:
     """Inner join of ``big`` to ``small`` (one row per ``key``, with the number
-    of ``big`` rows of that key in ``count_col``). The salt hashes
-    ``salt_cols`` (default: all columns of ``big``; a unique column is
-    enough and keeps the scan pruned)."""
+    of rows of that key in ``count_col``: rows of ``counted``, by default of
+    ``big``; the bound on the hot keys needs the threshold from the same rows
+    as the counts). The salt hashes ``salt_cols`` (default: all columns of
+    ``big``; a unique column is enough and keeps the scan pruned)."""
     values = [c for c in small.columns if c != key]
     p = partitions or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(count_col) > hot_threshold(big, p)
+    is_hot = F.col(count_col) > hot_threshold(big if counted is None else counted, p)
     hot = F.broadcast(small.where(is_hot).select(key, *[F.col(c).alias(f"_h{c}") for c in values]))
     cold = small.where(~is_hot).select(F.struct(F.col(key), F.lit(0).alias(_SALT)).alias(_JOIN_KEY),
                                        *[F.col(c).alias(f"_c{c}") for c in values])

@@ -25,6 +25,7 @@ from .skew import join_with_hot_split
 _FIRST_ORDER = "_first_order"
 _FIRST_SEG = "_first_seg"
 _COUNT = "_vid_rows"
+FIRST_COLUMNS = (_FIRST_ORDER, _FIRST_SEG)
 
 
 def first_reports(reports: DataFrame, order_col: str = ORDER_COL, vid_col: str = "vid",
@@ -39,24 +40,24 @@ def first_reports(reports: DataFrame, order_col: str = ORDER_COL, vid_col: str =
 
 
 def _with_first(reports: DataFrame, first: DataFrame | None, order_col: str, vid_col: str,
-                seg_col: str) -> DataFrame:
+                seg_col: str, counted: DataFrame | None = None) -> DataFrame:
     if first is None:
         first = first_reports(reports, order_col, vid_col, seg_col)
-    return join_with_hot_split(reports, first, vid_col, _COUNT, salt_cols=[order_col, vid_col])
+    return join_with_hot_split(reports, first, vid_col, _COUNT, salt_cols=[order_col, vid_col], counted=counted)
 
 
 def flag_new_segment(reports: DataFrame, order_col: str = ORDER_COL, out: str = "in_new_seg",
                      vid_col: str = "vid", seg_col: str = "seg",
-                     first: DataFrame | None = None) -> DataFrame:
+                     first: DataFrame | None = None, counted: DataFrame | None = None) -> DataFrame:
     """V1 (keyed): flag a report when it is the vehicle's first, or when its
     segment differs from the segment of the vehicle's *first* report.
 
     The remembered segment is never updated, so returning to the first
     segment is not new. State is per vid across expressways and directions.
     Pass ``first`` (from :func:`first_reports` over all reports) to flag a
-    filtered subset of them.
+    filtered subset of them, and all reports as ``counted``.
     """
-    j = _with_first(reports, first, order_col, vid_col, seg_col)
+    j = _with_first(reports, first, order_col, vid_col, seg_col, counted)
     flag = (F.col(order_col) == F.col(_FIRST_ORDER)) | (F.col(seg_col) != F.col(_FIRST_SEG))
     return j.select(*reports.columns, flag.alias(out))
 

@@ -70,7 +70,7 @@ def toll_notifications_keyed(parsed: DataFrame, emit_zero: bool = False, order_c
     else:
         history = segment_history(segment_minute_stats(reports))
         first = first_reports(reports, order_col)
-        candidates = new_segment_only(flag_new_segment(non_exit(reports), order_col, first=first))
+        candidates = new_segment_only(flag_new_segment(non_exit(reports), order_col, first=first, counted=reports))
         enriched = enrich(candidates, history, SEGMENT_KEYS)
     out = enriched.select("*", toll(F.col("num_vehicles"), F.col("lav")).alias("toll"))
     if not emit_zero:

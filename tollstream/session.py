@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,17 +97,37 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 _SCRATCH: dict[str, list[str]] = {}  # by application
+_SCOPE = threading.local()  # innermost scratch_scope of a thread
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under the checkpoint root."""
+def _fresh_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     sep = "" if root.endswith("/") else "/"
-    path = f"{root}{sep}tollstream/{name}-{uuid.uuid4().hex}"
-    _SCRATCH.setdefault(app_id(spark), []).append(path)
+    return f"{root}{sep}tollstream/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, never reused folder under the checkpoint root."""
+    path = _fresh_path(spark, name)
+    scope = getattr(_SCOPE, "paths", None)
+    (_SCRATCH.setdefault(app_id(spark), []) if scope is None else scope).append(path)
     return path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Folders given out inside, by this thread, are deleted at the end: for
+    steps of a long-running query that read nothing staged afterwards."""
+    before, _SCOPE.paths = getattr(_SCOPE, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _SCOPE.paths = _SCOPE.paths, before
+        for path in paths:
+            fs, p = hadoop_path(spark, path)
+            fs.delete(p, True)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """(file system, path) of Hadoop's API: works on any store Spark reads."""
     jvm = spark._jvm
@@ -116,7 +138,11 @@ def hadoop_path(spark: SparkSession, path: str):
 def drop_scratch(spark: SparkSession) -> int:
     """Delete the folders :func:`scratch_path` gave out in this application,
     on whatever store they are; returns how many were there. For the end of a
-    run, when nothing staged is read any more."""
+    run, when nothing staged is read any more. Sources that are kept for the
+    application are forgotten too: they may read such folders."""
+    from .sources.events import forget_sources
+
+    forget_sources(spark)
     dropped = 0
     for path in _SCRATCH.pop(app_id(spark), []):
         fs, p = hadoop_path(spark, path)
@@ -156,8 +182,7 @@ def ship_code(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(package)))
-    target = scratch_path(spark, "code") + "/tollstream.zip"
-    _SCRATCH[app].pop()  # needed as long as the application runs
+    target = _fresh_path(spark, "code") + "/tollstream.zip"  # needed as long as the application runs
     fs, path = hadoop_path(spark, target)
     out = fs.create(path)
     try:

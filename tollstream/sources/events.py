@@ -51,6 +51,13 @@ def once_per_session(spark: SparkSession, key: tuple, make) -> DataFrame:
     return df
 
 
+def forget_sources(spark: SparkSession) -> None:
+    """Make the sources of this application anew when they are next used."""
+    app = app_id(spark)
+    for key in [k for k in _SOURCES if k[0] == app]:
+        del _SOURCES[key]
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return once_per_session(spark, ("table", sf_dir, name),
                  lambda: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
