@@ -1,0 +1,119 @@
+"""The streaming line source: order, record cap, growing files, restarts."""
+
+import os
+
+import pytest
+
+from tollstream.functions.parse import parse_reports
+from tollstream.plans.keyed import toll_notifications_keyed
+from tollstream.session import scratch_path
+from tollstream.sources import linefiles
+from tollstream.sources.linefiles import LineFilesReader, Range, read_line_stream, read_range
+from tollstream.sources.events import staged_lines
+from tollstream.sources.text import read_lines, write_lines
+from tollstream.streaming.arrival import ArrivalTolls, start_arrival_tolls, read_batches
+
+SF = "/root/testdata/sf0.001"
+
+
+def drain(df, out, ck):
+    """Run until nothing new is there; the batches' row counts."""
+    q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .trigger(processingTime="0 seconds").start())
+    q.processAllAvailable()
+    q.stop()
+    assert q.exception() is None
+    return [p.numInputRows for p in q.recentProgress if p.numInputRows]
+
+
+def put(folder, name, text, mode="w"):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", mode, newline="") as f:
+        f.write(text)
+
+
+@pytest.fixture
+def folders(tmp_path):
+    return [str(tmp_path / n) for n in ("src", "progress", "ck", "out")]
+
+
+def test_lines_in_file_order_under_the_cap(spark, folders):
+    src, progress, ck, out = folders
+    want = []
+    for k in (1, 2, 10):  # natural order: part-10 is last
+        lines = [f"{k}-{i}" + "x" * (i % 7) for i in range(100)]
+        put(src, f"part-{k}.txt", "\n".join(lines) + "\n")
+        want += lines
+    put(src, "_SUCCESS", "")
+    sizes = drain(read_line_stream(spark, src, progress, max_records=70), out, ck)
+    assert max(sizes) <= 70 and sum(sizes) == 300
+    rows = spark.read.parquet(out).orderBy("offset").collect()
+    assert [r["value"] for r in rows] == want
+    assert len({r["offset"] for r in rows}) == 300
+
+
+def test_growing_files_and_restarts(spark, folders):
+    src, progress, ck, out = folders
+    put(src, "a-1", "one\ntwo\nthr")
+    run = lambda: drain(read_line_stream(spark, src, progress, max_records=2), out, ck)
+    values = lambda: [r["value"] for r in spark.read.parquet(out).orderBy("offset").collect()]
+    run()
+    assert values() == ["one", "two"]  # the unfinished line waits
+    put(src, "a-1", "ee\r\nfour\n\nsix", "a")
+    run()
+    assert values() == ["one", "two", "three", "four", ""]
+    put(src, "a-2", "seven\n")  # a file follows: the rest of the first is a line
+    run()
+    run()
+    assert values() == ["one", "two", "three", "four", "", "six", "seven"]
+
+
+def test_ranges_meet_at_line_ends(tmp_path, monkeypatch):
+    """However the bytes are cut, each line is read once."""
+    monkeypatch.setattr(linefiles, "PIECE", 16)
+    lines = ["a", "", "bb" * 20, "ccc", "d" * 33, "", "é日本", "last"]
+    put(str(tmp_path), "f", "\n".join(lines) + "\n")
+    path, size = str(tmp_path / "f"), os.path.getsize(tmp_path / "f")
+    for step in (1, 2, 3, 7, 50, size):
+        got = [v for a in range(0, size, step) for b in read_range(Range(0, path, a, min(a + step, size), a == 0))
+               for v in b.to_pydict()["value"]]
+        assert got == lines
+
+
+def test_a_file_that_comes_too_early_is_refused(tmp_path):
+    src, progress = str(tmp_path / "src"), str(tmp_path / "progress")
+    put(src, "p-2", "a\nb\n")
+    r = LineFilesReader(src, progress, 10, "wait", 1)
+    end = r.latestOffset()
+    assert end == {"file": "p-2", "number": 0, "byte": 4}
+    r.commit(end)
+    put(src, "p-1", "c\n")
+    with pytest.raises(ValueError):
+        LineFilesReader(src, progress, 10, "wait", 1).latestOffset()
+
+
+def test_empty_folder_and_last_line(tmp_path):
+    src = str(tmp_path / "src")
+    r = LineFilesReader(src, str(tmp_path / "p"), 10, "wait", 1)
+    assert r.latestOffset() == r.initialOffset() and r.partitions(r.initialOffset(), r.latestOffset()) == []
+    put(src, "x", "a\nb")
+    assert r.latestOffset()["byte"] == 2
+    read = LineFilesReader(src, str(tmp_path / "p"), 10, "read", 1)
+    assert read.latestOffset()["byte"] == 3
+
+
+def test_stream_equals_batch_without_numbers(spark, folders):
+    """T1 over plain line files: the stream knows the order of the lines."""
+    src, progress, ck, out = folders
+    write_lines(staged_lines(spark, SF), src, partitions=4)
+    cols = ["vid", "time", "lav", "num_vehicles", "toll"]
+    want = toll_notifications_keyed(parse_reports(read_lines(spark, src, order="value")), emit_zero=True).select(cols)
+    stream = read_line_stream(spark, src, progress, max_records=400)
+    step = ArrivalTolls(spark, "keyed", out, f"{ck}-state", emit_zero=True)
+    q = start_arrival_tolls(parse_reports(stream), step, ck, once=False, trigger="0 seconds")
+    q.processAllAvailable()
+    q.stop()
+    assert q.exception() is None
+    got = read_batches(spark, out, "vid int, time smallint, lav int, num_vehicles int, toll int")
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.collect()))
+    assert want.count() > 300
