@@ -12,7 +12,8 @@ from tollstream.session import scratch_path
 from tollstream.sources.events import report_lines, staged_lines
 from tollstream.streaming.applications import kept_reports_stream, toll_stream_global, toll_stream_keyed
 from tollstream.streaming.layout import LayoutChanged, keep_layout
-from tollstream.streaming.runner import (LateRowsDropped, late_rows, progress_figures, read_stream_like,
+from tollstream.sources.kafka import drop_redelivered
+from tollstream.streaming.runner import (LateRowsDropped, counted_late_rows, late_rows, progress_figures, read_stream_like,
                                          run_to_completion, write_ordered_chunks)
 
 SF = "/root/testdata/sf0.001"
@@ -145,3 +146,41 @@ def test_exact_mode_over_shuffled_batches(spark):
     assert progress_figures(q)["batches"] == 5
     got = {r["offset"]: (r["lav"], r["num_vehicles"], r["toll"]) for r in spark.read.parquet(out).collect()}
     assert got == replay_keyed(rows)
+
+
+def test_late_rows_are_counted_beyond_the_remembered_batches(spark):
+    """More late micro-batches than Spark's progress remembers; the running
+    total is told as they come."""
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    told = []
+    try:
+        parts = [[rep(0, 600, 1)], [rep(1, 610, 2)]] + [[rep(10 + k, 20, 3 + k)] for k in range(4)]
+        with counted_late_rows(spark, lambda q, rows, total: told.append(total)):
+            q, _ = run_parts(spark, parts)
+    finally:
+        spark.conf.set(key, before)
+    assert len(q.recentProgress) <= 2
+    assert late_rows(q) == told[-1] >= 4 and told == sorted(told)
+    assert progress_figures(q)["late_rows_dropped"] == late_rows(q)
+
+
+def test_redelivered_records_count_once(spark):
+    """At-least-once input from files: records again in the same, the next
+    and a later micro-batch give the tolls of the records once."""
+    rows = [rep(k, 60 * (k // 40) + k % 60, 1 + k % 37, speed=30, seg=k % 2) for k in range(200)]
+    stamp = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("offset"))
+    lines = report_lines(spark.createDataFrame(rows, SCHEMA)).withColumns({"partition": F.lit(0), "ingest_ts": stamp})
+    src, out = scratch_path(spark, "again-src"), scratch_path(spark, "again-out")
+    again = lines.where("offset % 5 = 1")
+    for part in (lines.where("offset < 100").unionByName(again.where("offset < 60")),
+                 lines.where("offset >= 80"), again.where("offset < 180")):
+        write_ordered_chunks(part, src, 1, files_per_chunk=1)
+    s = read_stream_like(spark, src, lines.schema, max_files=1)
+    run_to_completion(toll_stream_keyed(parse_reports(drop_redelivered(s)), emit_zero=True), out)
+    got = {r["offset"]: (r["lav"], r["num_vehicles"], r["toll"]) for r in spark.read.parquet(out).collect()}
+    from test_reference_loop import replay_keyed
+    assert got == replay_keyed(rows)
+    assert spark.read.parquet(out).count() == len(got)
+    assert drop_redelivered(lines.unionByName(again)).count() == 200

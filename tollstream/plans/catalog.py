@@ -27,6 +27,7 @@ from ..session import scratch_path, stage_table
 from ..sources.events import (TIME_ORIGIN, load_lines, load_reports, load_table, once_per_session, report_lines,
                               reports_from_events, staged_lines)
 from ..sources.json_value import json_value_text
+from ..sources.kafka import drop_redelivered
 from ..sources.text import read_lines, write_lines
 from ..streaming.sinks import to_kafka_frame
 from .global_ import global_lav, global_stats, toll_notifications_global
@@ -281,6 +282,32 @@ def q_stream_toll_notifications_global(spark, sf_dir):
     return _stream(spark, sf_dir, "global")
 
 
+def _late_lines(spark, sf_dir):
+    """The lines in the arrival order of :func:`_shuffled_reports`."""
+    late = F.col(ORDER_COL) + (F.col(ORDER_COL) * 7919) % 3001
+    return staged_lines(spark, sf_dir).select((late * 4096 + F.col(ORDER_COL) % 4096).alias(ORDER_COL), "value")
+
+
+def q_stream_toll_notifications_arrival(spark, sf_dir):
+    """T1 as a stream of late reports, state in tables."""
+    from ..streaming.jobs import run_app
+    out = run_app(spark, _late_lines(spark, sf_dir), "keyed", mode="arrival", emit_zero=True).result
+    return out.withColumnRenamed(ORDER_COL, "arrival")
+
+
+def q_stream_toll_notifications_global_arrival(spark, sf_dir):
+    """T2 as one exact stream of late reports, state in tables."""
+    from ..streaming.jobs import run_app
+    return run_app(spark, _late_lines(spark, sf_dir), "global", mode="arrival").result.withColumnRenamed(ORDER_COL, "arrival")
+
+
+def q_toll_notifications_redelivered(spark, sf_dir):
+    """T1 from at-least-once input: every seventh record comes twice."""
+    lines = staged_lines(spark, sf_dir).withColumn("partition", F.lit(0))
+    again = lines.where(F.col(ORDER_COL) % 7 == 3)
+    return toll_notifications_keyed(parse_reports(drop_redelivered(lines.unionByName(again))))
+
+
 def q_stream_passthrough_text(spark, sf_dir):
     """T4 as a stream into the text sink, read back."""
     return _stream(spark, sf_dir, "text")
@@ -326,5 +353,8 @@ QUERIES: dict[str, Query] = {
     "stream_toll_notifications_keyed": q_stream_toll_notifications_keyed,
     "stream_toll_notifications_keyed_window": q_stream_toll_notifications_keyed_window,
     "stream_toll_notifications_global": q_stream_toll_notifications_global,
+    "stream_toll_notifications_arrival": q_stream_toll_notifications_arrival,
+    "stream_toll_notifications_global_arrival": q_stream_toll_notifications_global_arrival,
+    "toll_notifications_redelivered": q_toll_notifications_redelivered,
     "stream_passthrough_text": q_stream_passthrough_text,
 }

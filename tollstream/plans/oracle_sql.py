@@ -261,3 +261,6 @@ SQL["stream_toll_notifications_keyed"] = SQL["toll_notifications_keyed"]
 SQL["stream_toll_notifications_keyed_window"] = SQL["toll_notifications_keyed"]
 SQL["stream_toll_notifications_global"] = SQL["toll_notifications_global"]
 SQL["stream_passthrough_text"] = _with(PR, LINES) + "SELECT 'input = [' || value || ']' AS text FROM lines"
+SQL["stream_toll_notifications_arrival"] = SQL["toll_notifications_arrival"]
+SQL["stream_toll_notifications_global_arrival"] = SQL["toll_notifications_global_arrival"]
+SQL["toll_notifications_redelivered"] = SQL["toll_notifications_keyed"]
