@@ -87,3 +87,62 @@ def test_table_and_odd_rows(spark):
                                 "page_id long, html string, value string")
     assert [r["text"] for r in with_main_text(odd).collect()] == ["", "", "a", ""]
     assert with_main_text(odd.limit(0)).count() == 0
+
+
+def test_link_lists_and_named_lines_inside_an_article():
+    links = "".join(f"<li><a href='/{k}'>Read more stories, part {k}</a></li>" for k in range(5))
+    points = "<ul><li>point one</li><li>point two</li></ul>"
+    for extra in (f"<ul>{links}</ul>", "<p class='x'><a href='/b'>Buy now</a></p>", "<div class='share'>Share this on X</div>",
+                  "<div class='social'>Share this on X</div>", "<div class='adbox'>Cheap shoes, today only.</div>",
+                  "<ul class='thread'><li>A reader writes, at length, what they think.</li></ul>"):
+        assert main_text(f"<body><article>{STORY}{extra}</article></body>") == WANT, extra
+        assert main_text(f"<body><article>{extra}{STORY}{points}</article></body>") == f"{WANT} point one point two", extra
+    linked = "<p>This one, <a href='/x'>with a link, a long one</a>, is a paragraph.</p>"
+    assert main_text(f"<body><article><h1><a href='/h'>The headline</a></h1>{STORY}{linked}</article></body>") == (
+        f"The headline {WANT} This one, with a link, a long one, is a paragraph.")
+
+
+def test_content_with_a_class_word_stays():
+    long = "This section, as the others, has a fair length, and commas, as texts do, so that it counts."
+    for name in ("legal", "social-impact", "search", "tag", "widget"):
+        assert main_text(f"<body><article>{STORY}<p class='{name}'>{long}</p>{STORY}</article></body>") == f"{WANT} {long} {WANT}", name
+        assert main_text(f"<body><article><section class='{name}'><p>{long}</p></section>{STORY}</article></body>") == f"{long} {WANT}"
+
+
+def test_several_wrappers_hold_the_text():
+    half = STORY[:len(STORY) // 2]
+    assert main_text(f"<body><div class='widget'>{STORY}</div><div class='widget'>{STORY}</div></body>") == f"{WANT} {WANT}"
+    assert main_text(f"<body><div class='sidebar'>{STORY}</div><div class='sidebar'>{STORY}</div></body>") == f"{WANT} {WANT}"
+    assert main_text(f"<body><nav>Home</nav><div class='menu'>{half}</div></body>").startswith("This is paragraph 0")
+
+
+def test_pages_without_article_rest_on_the_ratios():
+    """Link lists, short lines and comments, none of them named."""
+    links = "<ul>" + "".join(f"<li><a href='/{k}'>Link number {k}</a></li>" for k in range(9)) + "</ul>"
+    lines = "<div><span>Home</span></div><div><span>Log in</span></div>"
+    story = "".join(f"<p>This is paragraph {k}, and it has a fair length, as texts do, with commas, and clauses, and more of "
+                    f"them still, so that it reads as an article, not as a remark.</p>" for k in range(6))
+    want = main_text(f"<body><article>{story}</article></body>")
+    for page in (f"<body>{lines}{links}<div>{story}</div>{links}</body>",
+                 f"<body><div>{links}</div><section><div>{story}</div></section><div>{lines}</div></body>",
+                 f"<body><table><tr><td>{links}</td><td><div>{story}</div></td></tr></table></body>"):
+        assert main_text(page) == want
+    remarks = "<ol>" + "".join(f"<li><div>Anna {k}</div><span>I agree</span></li>" for k in range(5)) + "</ol>"
+    assert main_text(f"<body><div>{story}</div><section>{remarks}</section></body>") == want
+
+
+def test_path_values_by_hand():
+    """Two paths, no smoothing: length a node, times one and the marks a node."""
+    import numpy as np
+
+    from tollstream.llm.extract import IN_ARTICLE, Paths, link_share, path_values
+
+    tree = Paths()
+    p, li = tree.below(0, "p"), tree.below(tree.below(0, "ul"), "li")
+    inside = tree.below(tree.below(0, "article"), "p")
+    paths = np.array([p, li, p, inside])
+    value, spread = path_values(tree, paths, np.array([10.0, 4.0, 20.0, 5.0]), np.array([1.0, 0.0, 3.0, 0.0]), reach=0)
+    assert value.tolist() == [45.0, 4.0, 45.0, 5.0 * IN_ARTICLE]
+    assert spread == np.std([45.0, 4.0, 45.0, 5.0])
+    share = link_share(tree, paths, np.array([1, 2, 1, 3]), np.array([10.0, 4.0, 30.0, 5.0]), np.array([10.0, 4.0, 0.0, 0.0]))
+    assert share.tolist() == [0.25, 1.0, 0.25, 0.0]

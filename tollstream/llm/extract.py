@@ -1,17 +1,26 @@
 """Main text of HTML pages by tag-path ratios.
 
-A page becomes text nodes with the path of tags from the root. Per path the
-text length and the punctuation of its nodes are added up and divided by the
-number of nodes. The two ratios are smoothed over the nodes in page order (a
-Gaussian window that weighs a neighbour by how much of the path it shares),
-fused into one value with what the path's tags say (article or link list),
-and paths whose value exceeds a share of the values' standard deviation are
-content. Parts that never are content (scripts, forms, navigation, asides,
-blocks whose class or id names an advert, a menu, comments and the like) take
-no part. Words in a class and forms are weak signs, as wrappers around the
-content have them too ("has-sidebar", a form around the page): such a block
-takes part if the page's article is in it, no article text is outside such
-blocks and less other text than the article has, or if it holds most of the text and next to none is outside them.
+A page becomes text nodes with the path of block tags from the root; inline
+tags belong to the block around them. Per path the text length and the
+punctuation of its nodes are added up and divided by the number of nodes. The
+two ratios are smoothed over the nodes in page order (a Gaussian window that
+weighs a neighbour by how much of the path it shares) and fused into one
+value with what else is known: whether the path lies in an article, and how
+much of the text of the node's block is links (a line of a link list is all
+link, a paragraph is not; headings may be links). What has a value over a
+share of the values' standard deviation is content. A block with a class, id
+or role that is often beside the content ("legal", "social") must also have a
+ratio near that of the rest. So in an article short
+lines stay and link lists and such blocks go, unless they hold text as long
+and punctuated as the rest.
+
+Parts that never are content (scripts, navigation, asides, blocks whose class
+or id names an advert, a menu, comments and the like) take no part. Wrappers
+around the content may have such words too ("has-sidebar"), or be a form:
+such a block takes part if the page's article is in it, no article text is
+outside such blocks and less other text than the article has; if it holds
+most of the text and next to none is outside them; or if there is no text
+outside such blocks at all.
 
 One page at a time, linear in its length: no shuffle, no state.
 
@@ -46,12 +55,20 @@ SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
              "th": ("td", "th"), "option": ("option",)}
 SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
          "th": ("tr", "table"), "option": ("select",)}
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words in class, id or role that name parts beside the content.
-BESIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|menu|nav\w*|breadcrumbs?|"
-                    r"footer|header|masthead|comments?|replies|respond|disqus|cookies?|consent|notice|popup|modal|"
-                    r"overlay|newsletter|subscribe|signup|login|share|social|related|recommended|widget|copyright|"
-                    r"legal|pager|pagination|toolbar|search|tags?|complementary|contentinfo|navigation)(?=$|[\s_\d-])", re.I)
+BESIDE = re.compile(r"(?:^|[\s_-])(?:ads?|ad(?:box|slot|unit|block|sense)\w*|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|"
+                    r"menu|nav\w*|breadcrumbs?|footer|header|masthead|comments?|commentary|discussion|threads?|replies|"
+                    r"respond|disqus|cookies?|consent|notice|popup|modal|overlay|newsletter|subscribe|signup|login|share|"
+                    r"sharing|related|recommended|copyright|toolbar|pager|pagination|complementary|contentinfo|navigation)"
+                    r"(?=$|[\s_\d-])", re.I)
+# Words that parts of the content have as well: the text decides.
+OFTEN_BESIDE = re.compile(r"(?:^|[\s_-])(?:social|widget|legal|search|tags?)(?=$|[\s_\d-])", re.I)
 WITHIN = frozenset(("article", "main"))
+IN_ARTICLE = 20.0  # weight of a path
+# A block with a word of OFTEN_BESIDE is content if its ratio is this share
+# of that of the content without such words.
+NAMED_SHARE = 0.25
 # A block with over half of the text is a wrapper if the text outside such
 # blocks is less than this share of its own.
 OUTSIDE = 0.1
@@ -72,18 +89,24 @@ class Paths:
     """The tag paths of a page as a tree: a path is its number."""
 
     def __init__(self):
-        self.parent, self.depth, self.weight = [0], [0], [1.0]
-        self._known: dict[tuple[int, str], int] = {}
-
-    def below(self, path: int, tag: str) -> int:
-        """The path that goes on with ``tag``."""
-        if (path, tag) not in self._known:
-            self._known[path, tag] = len(self.parent)
+        self.parent, self.depth, self.weight, self.heading = [0], [0], [1.0], [False]
+        self.named = [0]  # the outermost path above, or itself, with a word of OFTEN_BESIDE; 0 if none
+        self._known: dict[tuple[int, str, bool], int] = {}
+
+    def below(self, path: int, tag: str, named: bool = False) -> int:
+        """The path that goes on with the block ``tag``, or itself for an
+        inline tag; ``named``: with a word of OFTEN_BESIDE."""
+        if tag in INLINE:
+            return path
+        key = path, tag, named
+        if key not in self._known:
+            self._known[key] = len(self.parent)
             self.parent.append(path)
             self.depth.append(self.depth[path] + 1)
-            w = self.weight[path]
-            self.weight.append(20.0 if tag in WITHIN or w > 1 else 0.2 if tag == "a" else w)
-        return self._known[path, tag]
+            self.weight.append(IN_ARTICLE if tag in WITHIN else self.weight[path])
+            self.named.append(self.named[path] or (self._known[key] if named else 0))
+            self.heading.append(tag in HEADING or self.heading[path])
+        return self._known[key]
 
     def likeness(self, a: int, b: int) -> float:
         """Share of the longer path that both have from the root."""
@@ -96,9 +119,9 @@ class Paths:
         return (1 + self.depth[a]) / (1 + longer)
 
 
-def nodes(html: str, paths: Paths) -> list[tuple[int, str, int]]:
-    """(path, raw text, block) of the text nodes that may be content."""
-    out: list[tuple[int, str, int]] = []
+def nodes(html: str, paths: Paths) -> list[tuple[int, str, int, bool]]:
+    """(path, raw text, block, in a link) of the text nodes that may be content."""
+    out: list[tuple[int, str, int, bool]] = []
     stack: list[tuple[str, int]] = []  # tag, 0 or how it is beside the content: _SURELY or _MAYBE
     doubts = [0]  # the block around each _MAYBE block; 0 is the page
     doubt_of: list[int] = []  # the innermost _MAYBE block of each text
@@ -119,7 +142,7 @@ def nodes(html: str, paths: Paths) -> list[tuple[int, str, int]]:
 
     def text(part: str) -> None:
         if part and not beside:
-            out.append((trail[-1], part, block))
+            out.append((trail[-1], part, block, bool(open_tags.get("a"))))
             doubt_of.append(doubt)
             in_article.append(any(open_tags.get(t) for t in WITHIN))
 
@@ -169,23 +192,27 @@ def nodes(html: str, paths: Paths) -> list[tuple[int, str, int]]:
             at = end.end() if end else size
             continue
         aside = _SURELY if tag in NEVER and tag != "form" else 0
+        named = False
         if not aside and attributes and tag not in ("html", "body") and tag not in WITHIN:
+            words = " ".join(a or b or c for _, a, b, c in _NAMED.findall(attributes))
             if _HIDDEN.search(attributes):
                 aside = _SURELY
-            elif any(BESIDE.search(a or b or c) for _, a, b, c in _NAMED.findall(attributes)):
+            elif BESIDE.search(words):
                 aside = _MAYBE
+            else:
+                named = bool(OFTEN_BESIDE.search(words))
         if tag == "form" and not aside:
             aside = _MAYBE
         stack.append((tag, aside))
         open_tags[tag] = open_tags.get(tag, 0) + 1
-        trail.append(paths.below(trail[-1], tag))
+        trail.append(paths.below(trail[-1], tag, named))
         beside += aside == _SURELY
         if aside == _MAYBE:
             doubts.append(doubt)
             doubt = len(doubts) - 1
     if len(doubts) == 1:
         return out
-    wrappers = _wrappers(doubts, doubt_of, [len(t) - t.count(" ") if not t.isspace() else 0 for _, t, _ in out], in_article)
+    wrappers = _wrappers(doubts, doubt_of, [len(t) - t.count(" ") if not t.isspace() else 0 for _, t, _, _ in out], in_article)
     return [x for x, d in zip(out, doubt_of) if d in wrappers]
 
 
@@ -204,21 +231,45 @@ def _wrappers(around: list[int], block_of: list[int], lengths: list[int], in_art
             held[around[d]][k] += held[d][k]
     found = {0}
     outside, article = own[0]
-    at = 0
+    at = last = 0
     while inside[at]:
         at = max(inside[at], key=lambda d: (held[d][1] if not article else 0, held[d][0]))
         has_article = not article and held[at][1] > outside
         if not has_article and (2 * held[at][0] <= held[0][0] or outside >= OUTSIDE * held[at][0]):
             break
         found.add(at)
-        outside, article = outside + own[at][0], article + own[at][1]
-    return found
+        outside, article, last = outside + own[at][0], article + own[at][1], at
+    return found if outside else found | set(inside[last])  # no text outside such blocks: they hold it
+
+
+def link_share(tree: Paths, paths: np.ndarray, blocks: np.ndarray, lengths: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """For every node the share of its block's text that is links; 0 in
+    headings. ``linked``: the length again where the node is a link, else 0."""
+    _, of = np.unique(blocks, return_inverse=True)
+    share = (np.bincount(of, weights=linked) / np.bincount(of, weights=lengths))[of]
+    return np.where([tree.heading[p] for p in paths.tolist()], 0.0, share)
+
+
+def named_like_the_rest(named: np.ndarray, lengths: np.ndarray, marks: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """The content without the blocks of ``named`` (0: none) whose text is
+    much shorter and less punctuated than the rest."""
+    ratio = lambda at: lengths[at].mean() * (1 + marks[at].mean())
+    rest = content & (named == 0)
+    if not rest.any():
+        return content
+    least = NAMED_SHARE * ratio(rest)
+    out = rest.copy()
+    for name in np.unique(named[named > 0]):
+        at = content & (named == name)
+        if at.any() and ratio(at) >= least:
+            out |= at
+    return out
 
 
 def path_values(tree: Paths, paths: np.ndarray, lengths: np.ndarray, marks: np.ndarray, sigma: float = 1.0,
                 reach: int = 3) -> tuple[np.ndarray, float]:
     """For every node the fused, smoothed ratio of its path; and the standard
-    deviation of the ratios before they are fused with the tags' weight."""
+    deviation of the ratios before they are fused with the path's weight."""
     names, of = np.unique(paths, return_inverse=True)
     count = np.bincount(of)
     ratios = np.stack([np.bincount(of, weights=lengths) / count, np.bincount(of, weights=marks) / count])[:, of]
@@ -246,19 +297,23 @@ def main_text(html: str | None, threshold: float = 0.2) -> str:
         return ""
     tree = Paths()
     found = nodes(html, tree)
-    plain = [unescape(t) for _, t, _ in found]
+    plain = [unescape(t) for _, t, _, _ in found]
     real = [k for k, t in enumerate(plain) if t and not t.isspace()]
     if not real:
         return ""
     lengths = np.array([len(_SPACE.sub(" ", plain[k]).strip()) for k in real], dtype=float)
     marks = np.array([len(_PUNCTUATION.findall(plain[k])) for k in real], dtype=float)
     paths = np.array([found[k][0] for k in real])
+    blocks, links = (np.array([found[k][i] for k in real]) for i in (2, 3))
     value, spread = path_values(tree, paths, lengths, marks)
-    content = set(paths[(value > 0) & (value >= threshold * spread)].tolist())
+    value = value * (1 - link_share(tree, paths, blocks, lengths, lengths * links)) ** 2
+    content = np.zeros(len(plain), bool)
+    content[real] = named_like_the_rest(np.array([tree.named[p] for p in paths.tolist()]), lengths, marks,
+                                        (value > 0) & (value >= threshold * spread))
     parts: list[str] = []
     last = None
-    for (path, _, block), t in zip(found, plain):
-        if path in content or t.isspace():
+    for (_, _, block, _), t, kept in zip(found, plain, content.tolist()):
+        if kept or t.isspace():
             if block != last:
                 parts.append(" ")
                 last = block
