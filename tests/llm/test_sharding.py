@@ -36,3 +36,30 @@ def test_growth_and_weights(spark):
     assert abs(len(moved) / len(got) - 0.2) < 0.02
     assert (got.groupby("shard").size() / len(got) - 0.125).abs().max() < 0.01
     assert (got.sort_values("slot").groupby("shard")["slot"].apply(list).map(lambda x: x == list(range(len(x))))).all()
+
+
+def test_slots_follow_the_key_in_many_ranges(spark, monkeypatch):
+    """More rows than a range, a third of them one repeated row: slots are
+    the rank by (key, checksum, size) in each shard."""
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 500)
+    docs = spark.range(12000).selectExpr("if(id % 3 = 0, 7, id * 7919 % 100003) AS doc_id", "'x' AS text")
+    got = sharding.assign(docs.repartition(4), [1.0] * 8).toPandas()
+    assert len(got) == 12000
+    for _, rows in got.groupby("shard"):
+        by_slot = rows.sort_values("slot")
+        assert by_slot["slot"].tolist() == list(range(len(rows)))
+        assert by_slot["doc_id"].is_monotonic_increasing
+
+
+def test_sql_keeps_repeated_rows_above_a_range(spark, tmp_path, monkeypatch):
+    import duckdb
+
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 300)
+    path = str(tmp_path / "t")
+    rows = spark.range(2000).selectExpr("nullif(if(id % 3 = 0, 7, id), 1) AS doc_id", "concat('t', id % 2) AS text")
+    rows.write.parquet(f"{path}/documents.parquet")
+    got = sharding.query(spark, path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet/*.parquet'")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({sharding.SQL})").fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
