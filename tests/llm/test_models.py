@@ -129,3 +129,16 @@ def test_repeated_rows_of_a_labelled_id_count_once(spark):
     ids = {r["doc_id"] for r in labels.where(training_fold(F.col("doc_id"))).collect()}
     assert 1 in ids and len(rows) == len(ids)
     assert len(quality.labelled_sample(docs, labels, "quality", 5).collect()) == 5
+
+
+def test_excused_hits_are_linear_in_the_text():
+    """Very long texts full of excused phrases."""
+    import time
+
+    lexicon = toxicity.Lexicon({"ab|": 1.0, "stone": 0.5}, ("ab stone", "stone ab stone"), (0.0, 1.0, 0.0, 0.0))
+    text = "ab stone other " * 43000  # 129 000 words
+    began = time.process_time()
+    assert lexicon.features(text)[0] == 0.0
+    assert time.process_time() - began < 2
+    assert lexicon.features("stone ab stone ab stone")[0] == 0.0
+    assert lexicon.features("ab stone ab")[0] == np.log1p(1.0)

@@ -23,9 +23,11 @@ equal scores.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -115,8 +117,11 @@ class Lexicon:
                 excused.append((at, end))
             elif w > best.get(at, 0.0):
                 best[at] = w  # of the entries that begin at a word, the strongest
-        for a, b in excused:
-            best = {at: w for at, w in best.items() if not a <= at < b}
+        if excused:  # hits inside any phrase: by the furthest end of the phrases that begin before
+            excused.sort()
+            begins, reach = [a for a, _ in excused], list(accumulate((b for _, b in excused), max))
+            best = {at: w for at, w in best.items()
+                    if not ((k := bisect_right(begins, at)) and at < reach[k - 1])}
         total = sum(best.values())
         return [float(np.log1p(total)), float(np.log1p(100 * total / len(words))),
                 float(np.log1p(100 * len(best) / len(words)))]
