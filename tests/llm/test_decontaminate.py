@@ -123,3 +123,69 @@ def test_short_items_behind_colons_and_line_ends(spark):
                 items(spark, [(1, item)]))
     assert set(got) == {(0, 1), (1, 1), (2, 1)} and all(r["share"] == 1 for r in got.values())
     assert shown("Question: What is it\nThen Anna")[0] == ["question", "what", "is", "it", "then", "<p>"]
+
+
+BIG = 1 << 60
+
+
+def test_large_ids_beside_a_null_stay_exact(spark):
+    bench = items(spark, [(BIG + 7, ITEM), (None, OTHER)])
+    docs = spark.createDataFrame([(BIG + 1, ITEM), (None, OTHER), (BIG + 3, prose(1, 40)), (BIG + 5, OTHER)],
+                                 "doc_id long, text string").coalesce(1)
+    rows = decontaminate.leaks(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == {(BIG + 1, BIG + 7), (None, None), (BIG + 5, None)}
+    assert [r["doc_id"] for r in decontaminate.drop_leaks(docs, bench).collect()] == [BIG + 3]
+
+
+def test_items_shorter_than_a_window_are_whole_sentences(spark):
+    bench = items(spark, [(1, "4"), (2, "Water boils"), (3, "Name three rivers.")])
+    got = found(spark, ["The answer is 4 apples.", "Cold water boils late.", "Well: name three rivers\nthen rest.",
+                        "4", "It said 4.\n4\nand left", "Water boils. Ice melts."], bench)
+    assert set(got) == {(2, 3), (3, 1), (4, 1), (5, 2)}
+
+
+def test_texts_read_together_do_not_mix(spark, monkeypatch):
+    """Windows, names in a row and sentence ends stop at the end of a text."""
+    parts = [OTHER[:40], OTHER[40:], "", "Anna", "Bolt", ITEM, "And then", "", ITEM]
+    together = decontaminate.Tokens(parts)
+    for layer in decontaminate.LAYERS:
+        whole = decontaminate.Template(together, layer)
+        alone = [decontaminate.Template(p, layer) for p in parts]
+        assert whole.hashes.tolist() == [h for t in alone for h in t.hashes.tolist()]
+        for n in (1, 3, 5):
+            for bounded in (False, True):
+                h, good = whole.windows(n, 3, bounded)
+                want = [x for t in alone for x in (lambda w: w[0][w[1]].tolist())(t.windows(n, 3, bounded))]
+                assert h[good].tolist() == want
+
+
+def test_bitmap_grows_with_the_windows():
+    assert decontaminate._bitmap_bits(0) == 16 and decontaminate._bitmap_bits(10**4) == 24
+    assert decontaminate._bitmap_bits(10**9) == decontaminate.MOST_BITS
+
+
+TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:\n]|[-+*/=<>×÷−^](?=\s*\d)")
+
+
+def test_tokens_are_those_of_the_pattern(monkeypatch):
+    import random
+
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 20)  # in many parts
+    rnd = random.Random(3)
+    parts = ["a", "Bo", "OK", "12", "3.5", ",", ".", "-", "+ ", "  ", "\n", "'", "km", "=", "- \n", "é", "É", "^", "\t", "9",
+             "_", "²", "٣", "日本", "\U0001d400", "\U0001f600", "\0", "ǅ", "x’y", " The ", " word"]
+    for _ in range(400):
+        texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(40))) for _ in range(rnd.randrange(1, 4))]
+        read = decontaminate.Tokens(texts)
+        want = [TOKEN.findall(t) for t in texts]
+        assert [read.text[a:b] for a, b in zip(read.start, read.stop)] == [t for w in want for t in w]
+        assert read.owner.tolist() == [k for k, w in enumerate(want) for _ in w]
+        flat = [t for w in want for t in w]
+        title = [len(t) > 1 and t[0].isupper() and t[1:].islower() for t in flat]
+        assert read.title.tolist() == title
+        unit = [t.lower() in decontaminate.UNITS for t in flat]
+        assert (read.kind == decontaminate._IS_UNIT).tolist() == unit
+        by_word = {}
+        for t, h in zip(flat, read.hashes.tolist()):
+            assert by_word.setdefault(t.lower(), h) == h
+        assert len(set(by_word.values())) == len(by_word)

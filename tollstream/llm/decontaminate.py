@@ -20,9 +20,9 @@ numbers and the signs before them stay, every window counts, and an item that
 is short or all numbers ("What is 48 + 37?") is found by its exact words.
 
 Scale: the documents are read once. Their windows are hashed with numpy and
-tested against a bitmap of the benchmark's window hashes, of fixed size
-whatever the benchmark's; only windows that hit it leave the task, and the
-join settles them exactly. A group after the join is one document, item,
+tested against a bitmap of the benchmark's window hashes, 1024 bits a window
+up to 16 MB; only windows that hit it leave the task, and the join settles them
+exactly. A group after the join is one document, item,
 layer and diagonal: at most the item's length.
 
 Defined cases: null and empty texts have no windows; an item shorter than a
@@ -44,7 +44,8 @@ from pyspark.sql import functions as F
 from .shared import frame as as_frame, release_memory, ship, stage, table, text_col
 
 WIDTH, LEAST_SHARE, LEAST_RUN, LEAST_WORDS = 5, 0.8, 13, 3
-BITMAP_BITS = 24  # 2 MB
+MOST_BITS = 27  # of the bitmap: 16 MB
+BLOCK_CHARS = 1 << 18  # of texts read together
 
 # Units that count as such behind a number.
 UNITS = frozenset("""mm cm m km in ft yd mi mile miles meter meters metre metres inch inches foot feet g kg mg lb
@@ -52,153 +53,255 @@ lbs oz ton tons gram grams kilogram kilograms pound pounds l ml liter liters lit
 minute minutes h hr hour hours day days week weeks month months year years usd eur dollar dollars cent cents euro
 euros percent mph kmh kph hz khz mhz ghz b kb mb gb tb w kw v a c f k""".split())
 
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?:\n]|[-+*/=<>×÷−^](?=\s*\d)")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
-
 # What a token can be: sentence end (also a colon or line end), sign before a
 # number, number, title-case word, unit, another word.
 _END, _SIGN, _NUM, _TITLE, _IS_UNIT, _PLAIN = range(6)
 # The layers: names inside sentences, names anywhere, plain words.
 INSIDE, ANYWHERE, EXACT = LAYERS = range(3)
 
+# What a character can be. Words are letters, with apostrophes between them;
+# numbers are digits, with points and commas between them.
+_OTHER, _LETTER, _DIGIT, _STOP, _POINT, _COMMA, _APOSTROPHE, _OPERATOR = range(8)
+_CHARS = {"!": _STOP, "?": _STOP, ":": _STOP, "\n": _STOP, ".": _POINT, ",": _COMMA, "'": _APOSTROPHE, "’": _APOSTROPHE,
+          **dict.fromkeys("-+*/=<>×÷−^", _OPERATOR)}
+_BMP = 1 << 16
+
+
+def _character(c: str) -> tuple[int, bool, int, int]:
+    """Class, white space, case (1 lower, 2 upper, 3 title), lower-case code."""
+    kind = _CHARS.get(c, _DIGIT if c.isdecimal() else _LETTER if c.isalnum() else _OTHER)
+    return kind, c.isspace(), 1 if c.islower() else 2 if c.isupper() else 3 if c.istitle() else 0, ord(c.lower()[:1] or c)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+class _Table:
+    """Properties of characters as arrays, and powers for word hashes: the
+    hash of a word is a difference of prefix sums, so words of any number and
+    kind cost the same."""
+
+    def __init__(self):
+        rows = [_character(chr(k)) for k in range(_BMP)]
+        self.kind = np.array([r[0] for r in rows], np.int8)
+        self.space = np.array([r[1] for r in rows])
+        self.case = np.array([r[2] for r in rows], np.int8)
+        self.value = _mixed(np.array([r[3] for r in rows], np.uint64) + _MULTIPLIER)
+        self.power = self.inverse = np.ones(1, np.uint64)
+        self.units = np.zeros(0, np.uint64)
+        self.units = np.unique(np.concatenate([_read_part(u, self)[1] for u in UNITS]))
+
+    def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of the multiplier and of its inverse, at least ``n``."""
+        if len(self.power) < n:
+            inverse = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
+            self.power, self.inverse = (np.multiply.accumulate(np.concatenate(
+                [np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)])) for x in (_MULTIPLIER, inverse))
+        return self.power, self.inverse
+
+    def __call__(self, codes: np.ndarray) -> list[np.ndarray]:
+        """kind, space, case and value of each code point."""
+        at = np.where(codes < _BMP, codes, 0)
+        out = [t[at] for t in (self.kind, self.space, self.case, self.value)]
+        far = np.flatnonzero(codes >= _BMP)
+        for code in np.unique(codes[far]).tolist():
+            kind, space, case, low = _character(chr(code))
+            here = far[codes[far] == code]
+            for x, v in zip(out, (kind, space, case, _mixed(np.array([low], np.uint64) + _MULTIPLIER)[0])):
+                x[here] = v
+        return out
+
+
+def _read_part(text: str, table: _Table) -> tuple[np.ndarray, ...]:
+    """kind, hash, title case, start and stop of each token of a text."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    n = len(codes)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return none.astype(np.int8), none.astype(np.uint64), none.astype(bool), none, none
+    char, space, case, value = table(codes)
+    group = char.copy()
+    inner = slice(1, n - 1)
+    before, after, mid = char[:-2], char[2:], char[1:-1]
+    group[inner][(mid == _APOSTROPHE) & (before == _LETTER) & (after == _LETTER)] = _LETTER
+    group[inner][((mid == _POINT) | (mid == _COMMA)) & (before == _DIGIT) & (after == _DIGIT)] = _DIGIT
+    # signs with a number behind them, after any white space
+    sign = np.flatnonzero(group == _OPERATOR)
+    if len(sign):
+        solid = np.flatnonzero(~space)
+        k = np.searchsorted(solid, sign, "right")
+        after = solid[np.minimum(k, len(solid) - 1)]
+        sign = sign[(k < len(solid)) & (char[after] == _DIGIT)]
+    word = (group == _LETTER) | (group == _DIGIT)
+    turn = np.flatnonzero(np.diff(group, prepend=_OTHER) != 0)
+    start = turn[word[turn]]
+    stop = np.append(turn[1:], n)[word[turn]]
+    ends = np.flatnonzero((group == _STOP) | (group == _POINT))
+    kind = np.concatenate([np.where(group[start] == _DIGIT, _NUM, _PLAIN), np.full(len(ends), _END), np.full(len(sign), _SIGN)])
+    start, stop = np.concatenate([start, ends, sign]), np.concatenate([stop, ends + 1, sign + 1])
+    order = np.argsort(start, kind="stable")
+    kind, start, stop = kind[order].astype(np.int8), start[order], stop[order]
+
+    power, inverse = table.powers(n)
+    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value * power[:n])])
+    hashes = _mixed((prefix[stop] - prefix[start]) * inverse[start])
+    lower, upper = (np.concatenate([[0], np.cumsum(x)]) for x in (case == 1, case > 1))
+    plain = kind == _PLAIN
+    title = plain & (case[start] == 2) & (upper[stop] == upper[start + 1]) & (lower[stop] > lower[start + 1])
+    short = np.flatnonzero(plain & (stop - start < 12))
+    unit = np.zeros(len(kind), bool)
+    unit[short] = np.isin(hashes[short], table.units)
+    kind[title] = _TITLE
+    kind[unit] = _IS_UNIT
+    return kind, hashes, title, start, stop
+
+
+_NEXT_WORD = re.compile(r"(?<=\s)[^\W\d_]")
+_tables: list[_Table] = []  # one a process
+
 
-class _Vocabulary:
-    """Kind, hash and title case of each token, kept per process up to a bound."""
-
-    def __init__(self, most: int = 150_000):
-        self.most = most
-        self._start()
-
-    def _start(self) -> None:
-        self.number: dict[str, int] = {}
-        self.kind = np.zeros(1 << 12, np.int8)
-        self.hash = np.zeros(1 << 12, np.uint64)
-        self.title = np.zeros(1 << 12, bool)
-
-    def _add(self, token: str) -> None:
-        from xxhash import xxh64_intdigest
-
-        k, low = len(self.number), token.lower()
-        if k == len(self.kind):
-            self.kind = np.concatenate([self.kind, np.zeros_like(self.kind)])
-            self.hash = np.concatenate([self.hash, np.zeros_like(self.hash)])
-            self.title = np.concatenate([self.title, np.zeros_like(self.title)])
-        self.number[token] = k
-        self.hash[k] = xxh64_intdigest(low, 7)
-        self.title[k] = len(token) > 1 and token[0].isupper() and token[1:].islower()
-        self.kind[k] = (_END if token in ".!?:\n" else _SIGN if not token[0].isalnum() else _NUM if token[0].isdigit() else _IS_UNIT if low in UNITS
-                        else _TITLE if self.title[k] else _PLAIN)
-
-    def __call__(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if len(self.number) > self.most:
-            self._start()
-        for t in set(tokens):
-            if t not in self.number:
-                self._add(t)
-        at = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
-        return self.kind[at], self.hash[at], self.title[at]
-
-
-_TOKENS = _Vocabulary()
 _PLACEHOLDER = {_NUM: np.uint64(0x6E756D), _IS_UNIT: np.uint64(0x756E6974), _TITLE: np.uint64(0x6E616D65)}
 
 
+class Tokens:
+    """The tokens of one text or of several in a row, with what they can be."""
+
+    def __init__(self, texts: list[str]):
+        if not _tables:
+            _tables.append(_Table())
+        self.text = "\0".join(texts)
+        parts, at = [], 0
+        while at < len(self.text) or not parts:  # long texts part by part, from one word to another
+            found = _NEXT_WORD.search(self.text, at + BLOCK_CHARS)
+            upto = found.start() if found else len(self.text)
+            kind, hashes, title, start, stop = _read_part(self.text[at:upto], _tables[0])
+            parts.append((kind, hashes, title, start + at, stop + at))
+            at = upto
+        self.kind, self.hashes, self.title, self.start, self.stop = map(np.concatenate, zip(*parts))
+        begin = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        self.owner = np.searchsorted(begin, self.start, "right") - 1
+        self.opens = np.ones(len(self.kind) + 1, bool)  # a text's first token, and the end
+        self.opens[1:-1] = np.diff(self.owner) != 0
+        self.before = np.concatenate([[_END], self.kind])  # kind of the token before; one more for the end
+        self.before[self.opens] = _END
+
+    def word(self, j: int) -> str:
+        return self.text[self.start[j]:self.stop[j]].lower()
+
+
 class Template:
-    """The words of a text in a layer: a hash each, whether it is a
+    """The words of texts in a layer: a hash each, whether it is a
     placeholder, and the tokens it stands for."""
 
-    def __init__(self, text: str, layer: int = INSIDE, like: Template | None = None):
-        """``like``: another layer of the text, whose tokens are used."""
-        self.tokens = like.tokens if like else _TOKEN.findall(text)
-        self._read = kind, hashes, shaped = like._read if like else _TOKENS(self.tokens)
-        before = np.concatenate([[_END], kind[:-1]]) if len(kind) else kind
+    def __init__(self, text: str | Tokens, layer: int = INSIDE):
+        self.read = read = Tokens([text]) if isinstance(text, str) else text
+        kind, hashes, before = read.kind, read.hashes, read.before[:-1]
         again = np.zeros(len(kind), bool)
-        self.kind = np.full(len(kind), _PLAIN, np.int8)
+        marked = np.full(len(kind), _PLAIN, np.int8)
         if layer != EXACT:
             unit = (kind == _IS_UNIT) & (before == _NUM)
-            name = shaped & ~unit  # a unit that follows no number may still be a name ("Day")
+            name = read.title & ~unit  # a unit that follows no number may still be a name ("Day")
             if layer == INSIDE:
                 name &= before != _END
             for own, mark in ((kind == _NUM, _NUM), (unit, _IS_UNIT), (name, _TITLE)):
-                self.kind[own] = mark
+                marked[own] = mark
                 hashes = np.where(own, _PLACEHOLDER[mark], hashes)
-            again[1:] = name[1:] & name[:-1]  # names in a row are one
+            again[1:] = name[1:] & name[:-1] & ~read.opens[1:-1]  # names in a row are one
         # signs are words where numbers are
         self._spoken = kind != _END if layer == EXACT else kind > _SIGN
         self.at = np.flatnonzero(self._spoken & ~again)
-        self.kind, self.hashes = self.kind[self.at], hashes[self.at]
-        self._ends = np.append(self.at[1:], len(self.tokens))
+        self.kind, self.hashes, self.owner = marked[self.at], hashes[self.at], read.owner[self.at]
+        self._ends = np.append(self.at[1:], len(kind))
 
     def __len__(self) -> int:
         return len(self.at)
 
     def said(self, k: int, n: int) -> list[str]:
         """What words k to k + n stand for, in lower case."""
-        return [" ".join(self.tokens[j].lower() for j in range(a, b) if self._spoken[j])
+        return [" ".join(self.read.word(j) for j in range(a, b) if self._spoken[j])
                 for a, b in zip(self.at[k:k + n].tolist(), self._ends[k:k + n].tolist())]
 
-    def windows(self, width: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of each window and whether it identifies a text."""
-        n = min(width, len(self))
-        if not n:
-            return np.zeros(0, np.uint64), np.zeros(0, bool)
-        plain = np.concatenate([[0], np.cumsum(self.kind == _PLAIN)])
+    def windows(self, n: int, least_words: int, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of each window of ``n`` words and whether it identifies a
+        text; with ``whole`` only from one sentence end to another."""
         m = len(self) - n + 1
+        if n < 1 or m < 1:
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
         out = np.zeros(m, np.uint64)
         with np.errstate(over="ignore"):
             for k in range(n):
-                out = out * _MULTIPLIER + self.hashes[k:k + m]
+                out *= _MULTIPLIER
+                out += self.hashes[k:k + m]
             out ^= out >> np.uint64(29)
-        return out, plain[n:] - plain[:-n] >= min(least_words, n)
-
-
-def _layers(text: str) -> list[Template]:
-    first = Template(text)
-    return [first, *(Template(text, layer, first) for layer in LAYERS[1:])]
+        plain = np.concatenate([[0], np.cumsum(self.kind == _PLAIN)])
+        good = (plain[n:] - plain[:-n] >= min(least_words, n)) & (self.owner[:m] == self.owner[n - 1:])
+        if whole:
+            good &= (self.read.before[self.at[:m]] == _END) & (self.read.before[self._ends[n - 1:]] == _END)
+        return out, good
 
 
 def _benchmark_windows(frames: Iterator[pd.DataFrame], width: int, least_words: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
         for item, text in zip(frame["item_id"], frame["__text"]):
-            for layer, t in enumerate(_layers(text)):
-                h, good = t.windows(width, least_words)
-                total, n = int(good.sum()), min(width, len(t))
+            read = Tokens([text])
+            for layer in LAYERS:
+                t = Template(read, layer)
+                n = min(width, len(t))
+                h, good = t.windows(n, least_words)
+                total = int(good.sum())
                 rows += [(item, layer, k, int(h[k].astype(np.int64)), total, n, t.said(k, n))
                          for k in np.flatnonzero(good).tolist()]
         yield as_frame(rows, ["item_id", "layer", "i_at", "hash", "i_windows", "width", "i_said"])
 
 
-def _document_windows(frames: Iterator[pd.DataFrame], bitmap, widths: list[tuple[int, int]], least_words: int) -> Iterator[pd.DataFrame]:
-    bits = np.frombuffer(bitmap.value, np.uint8)
-    shift = np.uint64(64 - BITMAP_BITS)
-    for frame in frames:
-        rows = []
-        for doc, key, text in zip(frame["doc_id"], frame["text_key"], frame["__text"]):
-            layers = _layers(text)
-            for layer, width in widths:
-                t = layers[layer]
-                if len(t) < width:
-                    continue
-                h, good = t.windows(width, least_words)
-                slot = (h >> shift).astype(np.int64)
-                hit = np.flatnonzero(good & ((bits[slot >> 3] >> (slot & 7)) & 1).astype(bool))
-                rows += [(doc, key, layer, k, int(h[k].astype(np.int64)), width, t.said(k, width)) for k in hit.tolist()]
-        out = as_frame(rows, ["doc_id", "text_key", "layer", "d_at", "hash", "width", "d_said"])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        yield out
+def _blocks(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows in blocks of about BLOCK_CHARS characters."""
+    upto = frame["__text"].str.len().cumsum() // BLOCK_CHARS
+    for _, rows in frame.groupby(upto.to_numpy(), sort=False):
+        yield rows
+
+
+def _document_windows(frames: Iterator[pd.DataFrame], bitmap, bits: int, widths: list[tuple[int, int]], width: int,
+                      least_words: int) -> Iterator[pd.DataFrame]:
+    held = np.frombuffer(bitmap.value, np.uint8)
+    shift = np.uint64(64 - bits)
+    for block in (b for frame in frames for b in _blocks(frame)):
+        docs, keys = block["doc_id"].tolist(), block["text_key"].tolist()
+        read, rows, layers = Tokens(block["__text"].tolist()), [], {}
+        for layer, n in widths:
+            if layer not in layers:
+                layers = {layer: Template(read, layer)}  # widths are in layer order
+            t = layers[layer]
+            h, good = t.windows(n, least_words, whole=n < width)
+            slot = (h >> shift).astype(np.int64)
+            hit = np.flatnonzero(good & ((held[slot >> 3] >> (slot & 7)) & 1).astype(bool))
+            owner = t.owner[hit]
+            place = hit - np.searchsorted(t.owner, owner)
+            rows += [(docs[o], keys[o], layer, p, int(x), n, t.said(k, n))
+                     for k, o, p, x in zip(hit.tolist(), owner.tolist(), place.tolist(), h[hit].astype(np.int64).tolist())]
+        yield as_frame(rows, ["doc_id", "text_key", "layer", "d_at", "hash", "width", "d_said"])
         release_memory()
 
 
-def _bitmap(item_windows: DataFrame) -> bytes:
-    """2^BITMAP_BITS bits, one set for each window hash; bytes are or-ed on
-    the executors first, so the driver gets a bounded number of them."""
+def _bitmap_bits(windows: int) -> int:
+    """1024 bits a window or up to twice that, from 8 KB to 16 MB: below 100 000
+    windows a document window hits by chance once in 1000 times at most."""
+    return min(MOST_BITS, max(16, (1024 * windows).bit_length()))
+
+
+def _bitmap(item_windows: DataFrame, bits: int) -> bytes:
+    """2^bits bits, one set for each window hash; bytes are or-ed on the
+    executors first, so the driver gets a bounded number of them."""
     # the top bits of the unsigned hash
-    set_bytes = (item_windows.select(F.shiftrightunsigned("hash", 64 - BITMAP_BITS).alias("slot"))
+    set_bytes = (item_windows.select(F.shiftrightunsigned("hash", 64 - bits).alias("slot"))
                  .selectExpr("shiftright(slot, 3) AS byte", "shiftleft(1, CAST(slot & 7 AS INT)) AS bit")
                  .groupBy("byte").agg(F.bit_or("bit").alias("bits")))
-    out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+    out = np.zeros(1 << (bits - 3), np.uint8)
     got = set_bytes.toPandas()
     out[got["byte"].to_numpy(dtype=np.int64)] = got["bits"].to_numpy(dtype=np.int64)
     return out.tobytes()
@@ -229,13 +332,16 @@ def _checked(frames: Iterator[pd.DataFrame], least_share: float, least_run: int)
             share = len(at) / max(1, r.i_windows)
             if len(at) and (share >= least_share or run >= least_run):
                 rows.append((r.doc_id, r.text_key, r.item_id, len(at), share, run, changed > 0))
-        out = as_frame(rows, ["doc_id", "text_key", "item_id", "n_windows", "share", "run", "changed"])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        out["item_id"] = out["item_id"].astype("Int64")
-        yield out
+        yield as_frame(rows, ["doc_id", "text_key", "item_id", "n_windows", "share", "run", "changed"])
+
+
+# Ids go to Python and back as text: with a null beside them, numbers would
+# turn into floats.
+LEAKS = "doc_id string, text_key long, item_id string, n_windows int, share double, run int, changed boolean"
 
 
-LEAKS = "doc_id long, text_key long, item_id long, n_windows int, share double, run int, changed boolean"
+def _as_text(column: str):
+    return F.col(column).cast("long").cast("string").alias(column)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least_share: float = LEAST_SHARE,
@@ -245,24 +351,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least_share
     marks a question with other numbers or names."""
     spark = docs.sparkSession
     ship(spark)
-    items = stage(benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_col().alias("__text"))
+    items = stage(benchmark.select(_as_text("item_id"), text_col().alias("__text"))
                   .mapInPandas(lambda it: _benchmark_windows(it, width, least_words),
-                               "item_id long, layer int, i_at int, hash long, i_windows int, width int, i_said array<string>"),
+                               "item_id string, layer int, i_at int, hash long, i_windows int, width int, i_said array<string>"),
                   "benchmark")
     # widths 1 to ``width`` of each layer
-    widths = sorted(tuple(r) for r in items.select("layer", "width").distinct().collect())
-    bitmap = spark.sparkContext.broadcast(_bitmap(items))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_col().alias("__text"))
+    counts = items.groupBy("layer", "width").count().collect()
+    widths = sorted((r["layer"], r["width"]) for r in counts)
+    bits = _bitmap_bits(sum(r["count"] for r in counts))
+    bitmap = spark.sparkContext.broadcast(_bitmap(items, bits))
+    texts = docs.select(_as_text("doc_id"), text_col().alias("__text"))
     hits = (texts.withColumn("text_key", F.xxhash64("__text"))
-            .mapInPandas(lambda it: _document_windows(it, bitmap, widths, least_words),
-                         "doc_id long, text_key long, layer int, d_at int, hash long, width int, d_said array<string>"))
+            .mapInPandas(lambda it: _document_windows(it, bitmap, bits, widths, width, least_words),
+                         "doc_id string, text_key long, layer int, d_at int, hash long, width int, d_said array<string>"))
     met = hits.join(items, ["layer", "hash", "width"])
     groups = (met.groupBy("doc_id", "text_key", "item_id", "layer",
                           (F.col("d_at") - F.col("i_at")).alias("diagonal"), "width", "i_windows")
               .agg(F.collect_set(F.struct("i_at", "i_said", "d_said")).alias("found")))
     checked = groups.select("doc_id", "text_key", "item_id", "width", "i_windows", "found").mapInPandas(
         lambda it: _checked(it, least_share, least_run), LEAKS)
-    return checked.groupBy("doc_id", "text_key", "item_id").agg(
+    known = checked.withColumns({c: F.col(c).cast("long") for c in ("doc_id", "item_id")})
+    return known.groupBy("doc_id", "text_key", "item_id").agg(
         F.max("n_windows").alias("n_windows"), F.max("share").alias("share"), F.max("run").alias("run"),
         F.min("changed").alias("changed"))
 
