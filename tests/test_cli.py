@@ -98,3 +98,40 @@ def test_produce_and_logstats(spark, line_files):
     got = sorted(_run(spark, "logstats", "--input", log, "--marker", "consume",
                       "--start", "2023-03-01 10:52:24", "--end", "2023-03-01 10:52:26"))
     assert got == ["2023-03-01 10:52:24,2", "2023-03-01 10:52:25,2"]
+
+
+def test_arrival_mode_with_positions_equals_batch(spark, line_files):
+    """Plain line files: the stream keeps the order of the lines, answers
+    both dialects exactly, and no micro-batch is over the cap."""
+    stream = ("--stream", "--once", "--mode", "arrival", "--positions", "--max-records", "4000")
+    for app, n in (("keyed", 1207), ("global", 4336)):
+        got = _run(spark, app, "--input", line_files, *stream)
+        assert len(got) == n
+        assert content(got) == content(_run(spark, app, "--input", line_files))
+        assert content(got) == content(_run(spark, app, "--input", line_files, "--statistics", "arrival"))
+
+
+def test_late_reports_are_kept_beside_the_checkpoint(spark, capsys):
+    path, ck = scratch_path(spark, "cli-late"), scratch_path(spark, "cli-late-ck")
+    early = [f"0,{60 * k},{k},50,0,1,0,3,0" + ",-1" * 6 for k in range(12)]
+    stray = [f"0,5,{100 + k},50,0,1,0,3,0" + ",-1" * 6 for k in range(3)]
+    for part in (early, stray):
+        spark.createDataFrame([(x,) for x in part], "value string").coalesce(1).write.mode("append").text(path)
+        _run(spark, "keyed", "--input", path, "--stream", "--once", "--mode", "arrival", "--keep-minutes", "5",
+             "--checkpoint", ck)
+    assert spark.read.parquet(f"{ck}/late").count() == 3
+    assert "3 late reports are kept" in capsys.readouterr().out
+
+
+def test_late_rows_of_window_mode_are_told(spark, capsys):
+    from tollstream.streaming.runner import LateRowsDropped
+
+    path = scratch_path(spark, "cli-window-late")
+    parts = [[f"0,600,{k},50,0,1,0,3,0" for k in range(3)], ["0,700,9,50,0,1,0,3,0"], ["0,10,20,50,0,1,0,3,0"]]
+    for part in parts:
+        spark.createDataFrame([(x + ",-1" * 6,) for x in part], "value string").coalesce(1).write.mode("append").text(path)
+    args = ("keyed", "--input", path, "--stream", "--once", "--mode", "window", "--max-files", "1")
+    _run(spark, *args)
+    assert "rows came behind the watermark" in capsys.readouterr().out
+    with pytest.raises((LateRowsDropped, RuntimeError)):
+        _run(spark, *args, "--on-late", "error")

@@ -15,11 +15,16 @@ as ``second,records``.
 
 Add ``--stream`` to run as a Structured Streaming query (``--once``: process
 what is there and stop; otherwise a 1 s trigger, as the original's 1 s file
-roll), ``--mode exact|window`` for keyed tolls, ``--kafka HOST:PORT
-[--topic lrb]`` to read a topic instead of files. Output is text, one
+roll), ``--mode exact|window|arrival``, ``--kafka HOST:PORT [--topic lrb]`` to read
+a topic instead of files. ``arrival`` keeps its state in tables beside the
+checkpoint and is exact for both dialects; with ``--keep-minutes N`` reports
+further behind are late, kept under ``--late``. In batch ``--statistics
+arrival`` answers each report as of its arrival. Output is text, one
 notification or pass-through line per row.
 
-Batch file input is ordered by its place in the files. A file stream has no
+Batch file input is ordered by its place in the files, and so is a stream
+with ``--positions``, in micro-batches of at most ``--max-records`` lines;
+new files must sort after those already read. Spark's own file stream has no
 line position: with ``--numbered`` each line begins with its number and a tab
 (``produce --numbered`` writes such lines) and batch and stream use that;
 otherwise a stream's vehicle order is ``time`` (a Linear Road vehicle reports
@@ -31,8 +36,8 @@ uses the record offset; topics of several partitions must be keyed by vehicle
 ``emit`` in the notifications is the latency from the ingest stamp (the
 record's timestamp, or when the line's file landed) to the clock of the
 (micro-)batch. ``--delay`` is how late a report may come in window mode;
-dropped ones are printed at the end of a ``--once`` run, ``--on-late error``
-makes them an error. A checkpoint remembers the settings its state depends
+dropped ones are printed as they come, ``--on-late error`` makes them an
+error that ends the query. A checkpoint remembers the settings its state depends
 on and refuses others.
 """
 
@@ -42,6 +47,7 @@ import argparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from .functions.format import full_csv
 from .functions.parse import parse_full_lenient, parse_reports
@@ -52,11 +58,13 @@ from .plans.keyed import toll_notifications_keyed
 from .schema import HISTORY_MINUTES, ORDER_COL
 from .session import build_session, drop_scratch, scratch_path
 from .sources.kafka import MAX_RECORDS_PER_TRIGGER, kafka_lines, kafka_options, read_kafka
+from .sources.linefiles import MAX_RECORDS, read_line_stream
 from .sources.text import MAX_FILES_PER_TRIGGER, read_lines, read_lines_stream, write_lines
 from .streaming.applications import (DEFAULT_DELAY, kept_reports_stream, notification_text, passthrough_stream,
                                      toll_stream_global, toll_stream_keyed)
+from .streaming.arrival import ArrivalTolls, late_total, start_arrival_tolls
 from .streaming.layout import JOIN_SALTS, VEHICLE_BUCKETS, keep_layout
-from .streaming.runner import LateRowsDropped, late_rows, no_data_batches, read_stream_like
+from .streaming.runner import LateRowsDropped, counted_late_rows, no_data_batches, read_stream_like
 from .streaming.sinks import text_sink, vehicle_key, write_kafka
 
 INGEST = "ingest_ts"
@@ -71,7 +79,12 @@ def _args(argv: list[str] | None) -> argparse.Namespace:
     p.add_argument("--topic", default="lrb")
     p.add_argument("--stream", action="store_true")
     p.add_argument("--once", action="store_true", help="stream: process what is there, then stop")
-    p.add_argument("--mode", choices=["exact", "window"], default="exact")
+    p.add_argument("--mode", choices=["exact", "window", "arrival"], default="exact")
+    p.add_argument("--statistics", choices=["complete", "arrival"], default="complete", help="batch tolls")
+    p.add_argument("--keep-minutes", type=int, default=None, help="arrival mode: minutes a report may be behind")
+    p.add_argument("--late", default=None, help="arrival mode: folder of late reports (default: beside the checkpoint)")
+    p.add_argument("--positions", action="store_true", help="file stream: lines in file order, capped by --max-records")
+    p.add_argument("--max-records", type=int, default=MAX_RECORDS, help="with --positions: lines per trigger")
     p.add_argument("--delay", default=DEFAULT_DELAY, help="window statistics: how late a report may come")
     p.add_argument("--on-late", choices=["report", "error"], default="report")
     p.add_argument("--ttl-ms", type=int, default=None, help="exact mode: forget state after this time")
@@ -96,8 +109,10 @@ def _args(argv: list[str] | None) -> argparse.Namespace:
     return a
 
 
-def _stream_lines(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+def _stream_lines(spark: SparkSession, a: argparse.Namespace, checkpoint: str) -> DataFrame:
     """``offset, ingest_ts, value`` of the stream's lines."""
+    if a.positions:
+        return read_line_stream(spark, a.input, f"{checkpoint}/progress", a.max_records, unterminated="wait")
     if a.kafka:
         records = read_kafka(spark, kafka_options(a.kafka, a.topic, max_offsets_per_trigger=a.max_offsets))
         return kafka_lines(records, a.keyed_topic).select(ORDER_COL, INGEST, "value")
@@ -155,17 +170,50 @@ def run(a: argparse.Namespace, spark: SparkSession) -> None:
         else:
             lines = read_lines(spark, a.input, not a.numbered, order="value", ingest_ts=INGEST)
             parsed = parse_reports(numbered(lines) if a.numbered else lines)
-            tolls = toll_notifications_keyed(parsed, emit_zero=a.emit_zero, ingest_ts=INGEST) if a.app == "keyed" \
-                else toll_notifications_global(parsed, ingest_ts=INGEST)
+            how = {"ingest_ts": INGEST, "statistics": a.statistics}
+            tolls = toll_notifications_keyed(parsed, emit_zero=a.emit_zero, **how) if a.app == "keyed" \
+                else toll_notifications_global(parsed, **how)
             out = notification_text(tolls, a.app, latency="emit")
         out.select("text").write.text(a.output)
         return
 
-    trigger = "availableNow" if a.once else "1 second"
+    trigger = "0 seconds" if a.once and a.positions else "availableNow" if a.once else "1 second"
     ck = a.checkpoint or scratch_path(spark, f"cli-{a.app}")
+    if a.mode == "arrival" and a.app != "passthrough":
+        # no layout: nothing of this state depends on a count
+        keep_layout(spark, ck, app=a.app, mode=a.mode, keep_minutes=a.keep_minutes, history=HISTORY_MINUTES)
+        step = ArrivalTolls(spark, a.app, a.output, f"{ck}/state", late=a.late or f"{ck}/late",
+                            keep_minutes=a.keep_minutes, emit_zero=a.emit_zero, ingest_ts=INGEST, fmt="text",
+                            shape=lambda tolls: notification_text(tolls, a.app, INGEST).select("text"))
+        q = start_arrival_tolls(parse_reports(_stream_lines(spark, a, ck)), step, f"{ck}/checkpoint",
+                                trigger == "availableNow", trigger)
+        _finish(a, [q])
+        if a.keep_minutes is not None and a.once and (late := late_total(spark, step.late)):
+            print(f"{late} late reports are kept in {step.late}")
+        return
     keep_layout(spark, ck, app=a.app, mode=a.mode, delay=a.delay, ttl_ms=a.ttl_ms, buckets=VEHICLE_BUCKETS,
                 salts=JOIN_SALTS, history=HISTORY_MINUTES)
-    lines = _stream_lines(spark, a)
+    stopped: list[int] = []  # the late total at which the run was ended
+
+    def on_late(query: str, rows: int, total: int) -> None:
+        print(f"{rows} rows came behind the watermark and were dropped (--delay), {total} so far", flush=True)
+        if a.on_late == "error" and not stopped:
+            stopped.append(total)
+            for running in spark.streams.active:
+                running.stop()
+
+    with counted_late_rows(spark, on_late) as late:
+        queries = _start(a, spark, ck, trigger)
+        _finish(a, queries)
+        for q in queries if a.once else []:
+            late.final(q)
+    if stopped:
+        raise LateRowsDropped(f"{stopped[0]} rows came behind the watermark")
+
+
+def _start(a: argparse.Namespace, spark: SparkSession, ck: str, trigger: str) -> list[StreamingQuery]:
+    """The queries of a stream in exact or window mode, and of pass-through."""
+    lines = _stream_lines(spark, a, ck)
     queries = []
     if a.app == "keyed":
         out = notification_text(toll_stream_keyed(parse_reports(lines), mode=a.mode, emit_zero=a.emit_zero, delay=a.delay,
@@ -175,10 +223,10 @@ def run(a: argparse.Namespace, spark: SparkSession) -> None:
         kept_stream = kept_reports_stream(parse_reports(lines), refuse_ties=True)
         stage1 = (kept_stream.writeStream.format("parquet")
                   .option("path", kept_path).option("checkpointLocation", f"{ck}/kept-checkpoint"))
-        stage1 = stage1.trigger(availableNow=True) if a.once else stage1.trigger(processingTime=trigger)
+        stage1 = stage1.trigger(availableNow=True) if trigger == "availableNow" else stage1.trigger(processingTime=trigger)
         q1 = stage1.start()
         if a.once:
-            q1.awaitTermination()
+            _finish(a, [q1])
         else:
             queries.append(q1)
             q1.processAllAvailable()
@@ -187,17 +235,23 @@ def run(a: argparse.Namespace, spark: SparkSession) -> None:
     else:
         out = passthrough_stream(lines.select("value"), "stamped" if a.stamped else "text")
     with no_data_batches(spark, a.ttl_ms is None):
-        q = text_sink(out, a.output, checkpoint=f"{ck}/sink-checkpoint", trigger=trigger)
-    queries.append(q)
+        queries.append(text_sink(out, a.output, checkpoint=f"{ck}/sink-checkpoint", trigger=trigger))
+    return queries
+
+
+def _finish(a: argparse.Namespace, queries: list[StreamingQuery]) -> None:
+    """Wait for the queries: with ``--once`` until all that is there is
+    processed, otherwise until one of them ends."""
     if not a.once:
-        spark.streams.awaitAnyTermination()
+        SparkSession.getActiveSession().streams.awaitAnyTermination()
         return
-    q.awaitTermination()
-    late = late_rows(q)
-    if late and a.on_late == "error":
-        raise LateRowsDropped(f"{late} rows came behind the watermark")
-    if late:
-        print(f"{late} rows came behind the watermark and were dropped (--delay)")
+    for q in queries:
+        if a.positions and q.isActive:
+            q.processAllAvailable()
+            q.stop()
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
 
 
 def main(argv: list[str] | None = None) -> None:

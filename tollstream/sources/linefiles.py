@@ -3,7 +3,8 @@
 Spark's own file stream hands out whole files without line positions. This
 source's offset is a place in the file order: files by natural name, then the
 byte. So a stream has the order of the lines (``offset`` is file number and
-byte in one long), a micro-batch ends in the middle of a file after at most
+byte in one long; ``ingest_ts`` is when the file was last written), a
+micro-batch ends in the middle of a file after at most
 ``max_records`` lines, and a query goes on from there, also in files that
 have grown.
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from datetime import datetime
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ MAX_RECORDS = 100_000
 FILE_SHIFT = 40  # a file has less than 2^40 bytes
 PIECE = 1 << 22  # bytes read at once
 TASK_BYTES = 1 << 20
-SCHEMA = f"{ORDER_COL} long, value string"
+SCHEMA = f"{ORDER_COL} long, value string, ingest_ts timestamp"
 
 
 def natural_key(name: str) -> list:
@@ -53,8 +55,9 @@ def opened(path: str) -> tuple[pafs.FileSystem, str]:
 class Range(InputPartition):
     """Lines that begin in bytes ``start`` to ``stop`` of a file."""
 
-    def __init__(self, number: int, path: str, start: int, stop: int, first: bool):
+    def __init__(self, number: int, path: str, start: int, stop: int, first: bool, written: datetime | None = None):
         self.number, self.path, self.start, self.stop, self.first = number, path, start, stop, first
+        self.written = written
 
 
 def line_stops(f, start: int, stop: int) -> Iterator[np.ndarray]:
@@ -93,7 +96,8 @@ def read_range(r: Range) -> Iterator[pa.RecordBatch]:
             own = int(np.searchsorted(at, r.stop))
             text = [x.removesuffix(b"\r").decode("utf-8", "replace") for x in lines[:own]]
             yield pa.RecordBatch.from_pydict({ORDER_COL: pa.array((r.number << FILE_SHIFT) + at[:own], pa.int64()),
-                                              "value": pa.array(text, pa.string())})
+                                              "value": pa.array(text, pa.string()),
+                                              "ingest_ts": pa.array([r.written] * own, pa.timestamp("us", tz="UTC"))})
             if own < len(lines):
                 return
             start += upto
@@ -107,9 +111,10 @@ class LineFilesReader(DataSourceStreamReader):
 
     # --- places ------------------------------------------------------------
 
-    def _files(self) -> list[tuple[str, int]]:
+    def _files(self) -> list[tuple[str, int, datetime]]:
+        """name, size and time of the files, in order."""
         fs, root = opened(self.path)
-        found = [(i.base_name, i.size) for i in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+        found = [(i.base_name, i.size, i.mtime) for i in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
                  if i.is_file and i.base_name[0] not in "._"]
         return sorted(found, key=lambda x: natural_key(x[0]))
 
@@ -135,8 +140,8 @@ class LineFilesReader(DataSourceStreamReader):
         self.last = self._ahead(here)
         return self.last
 
-    def _checked(self, place: dict, files: list[tuple[str, int]]) -> None:
-        if place["file"] and [n for n, _ in files].index(place["file"]) != place["number"]:
+    def _checked(self, place: dict, files: list[tuple[str, int, datetime]]) -> None:
+        if place["file"] and [f[0] for f in files].index(place["file"]) != place["number"]:
             raise ValueError(f"a file came before {place['file']}, which is read already")
 
     def _ahead(self, here: dict) -> dict:
@@ -146,7 +151,7 @@ class LineFilesReader(DataSourceStreamReader):
         fs, root = opened(self.path)
         place = here
         for k in range(here["number"], len(files)):
-            name, size = files[k]
+            name, size, _ = files[k]
             start = here["byte"] if k == here["number"] else 0
             whole = k + 1 < len(files) or self.unterminated == "read"  # a rest without a line end is a line
             stop = start
@@ -169,11 +174,12 @@ class LineFilesReader(DataSourceStreamReader):
         self.last = end if self.last is None else self.last
         out = []
         for k in range(start["number"], end["number"] + 1 if end["file"] else 0):
-            name, size = files[k]
+            name, size, written = files[k]
             a = start["byte"] if k == start["number"] else 0
             b = end["byte"] if k == end["number"] else size
             step = max(TASK_BYTES, -(-(b - a) // self.tasks))
-            out += [Range(k, f"{self.path}/{name}", at, min(at + step, b), at == a) for at in range(a, b, step)]
+            out += [Range(k, f"{self.path}/{name}", at, min(at + step, b), at == a, written)
+                    for at in range(a, b, step)]
         return out
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
@@ -199,8 +205,10 @@ class LineFiles(DataSource):
 
 def read_line_stream(spark: SparkSession, path: str, progress: str, max_records: int = MAX_RECORDS,
                      unterminated: str = "wait") -> DataFrame:
-    """``offset`` and ``value`` of the lines under ``path``, at most
-    ``max_records`` a micro-batch. ``progress``: a folder of this query's
+    """``offset``, ``value`` and ``ingest_ts`` of the lines under ``path``, at
+    most ``max_records`` a micro-batch. Spark gives such a source one
+    micro-batch under ``availableNow``: run it with a processing time trigger
+    and ``processAllAvailable``. ``progress``: a folder of this query's
     own, kept with its checkpoint."""
     import sys
 
