@@ -184,3 +184,25 @@ def test_redelivered_records_count_once(spark):
     assert got == replay_keyed(rows)
     assert spark.read.parquet(out).count() == len(got)
     assert drop_redelivered(lines.unionByName(again)).count() == 200
+
+
+def test_event_time_drops_minutes_out_of_reach(spark):
+    """Exact mode with ``forget``: over 90 minutes the state holds the
+    minutes in reach, and the answers are those of the loop."""
+    import json
+
+    from test_reference_loop import replay_keyed
+
+    rows = [rep(k, 60 * (k // 12) + (k * 7) % 60, 1 + k % 23, speed=k % 50, seg=k % 2) for k in range(1080)]
+    src, out = scratch_path(spark, "fg-src"), scratch_path(spark, "fg-out")
+    write_ordered_chunks(report_lines(spark.createDataFrame(rows, SCHEMA)), src, 9, files_per_chunk=1)
+    s = read_stream_like(spark, src, "offset long, value string", max_files=1)
+    q = run_to_completion(toll_stream_keyed(parse_reports(s), emit_zero=True, forget=True, delay="2 minutes"), out)
+    assert late_rows(q) == 0
+    got = {r["offset"]: (r["lav"], r["num_vehicles"], r["toll"]) for r in spark.read.parquet(out).collect()}
+    assert got == replay_keyed(rows)
+    state = [[o["numRowsTotal"] for o in json.loads(p.json)["stateOperators"]] for p in q.recentProgress]
+    segments = [max(x) for x in state]  # minutes, packed vids and timers of two segments; vehicles are 23
+    assert max(segments[4:]) <= 1.5 * max(segments[:4])
+    with pytest.raises(ValueError):
+        toll_stream_keyed(parse_reports(s), forget=True, ttl_ms=5)
