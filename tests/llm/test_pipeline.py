@@ -70,7 +70,7 @@ def test_registered_with_its_stages(spark):
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "decontamination", "pii", "packing"]
     ops = {int(re.match(r"op(\d+)_", k)[1]) for k in entry.queries() if re.match(r"op\d+_", k)}
-    assert ops == set(range(1, 11))
+    assert ops == set(range(1, 14))
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 

@@ -268,23 +268,29 @@ def _with_components(prints: DataFrame, max_bits: int, bucket_rows: int) -> Data
     firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = stage(rooted.join(firsts, "root").select("code", "root", "component_id"), "components")
     return prints.join(named, prints["__fp"] == named["code"]).select(
-        "doc_id", "__fp", F.col("root").alias("__root"), "component_id")
+        *prints.columns, F.col("root").alias("__root"), "component_id")
 
 
 def keep_first(docs: DataFrame, words: int = 3, max_bits: int = 2,
                bucket_rows: int = 2048) -> DataFrame:
     """One row of each component, with all columns: the one with the
-    component's id (null if no member has an id); of repeated rows with that
-    id, the first by text."""
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    marked = with_fingerprints(docs.select(row, F.col("doc_id"), F.col("text")), words)
-    prints = stage(marked.select("doc_id", "__fp"), "fingerprints")
+    component's id (null if no member has an id); of several texts with that
+    id, one by their hash.
+
+    The texts are fingerprinted once. The kept rows are found again by id and
+    text hash; whole rows are shuffled once, for that join, and rows that
+    occur again are told apart in the same partitions.
+    """
+    key = {"__key": F.xxhash64("doc_id", "text"), "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit(""))}
+    prints = stage(with_fingerprints(docs.select("doc_id", "text"), words)
+                   .select("doc_id", "__fp", *[c.alias(k) for k, c in key.items()]), "fingerprints")
     named = _with_components(prints, max_bits, bucket_rows)
     heads = (named.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("doc_id").alias("head_id"), F.col("__fp").alias("head_code"), "__root").distinct())
-    kept = marked.join(heads, F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("__fp") == F.col("head_code")))
-    first = F.row_number().over(Window.partitionBy("__root").orderBy(text_col()))
-    return kept.withColumn("place", first).where("place = 1").select("row.*")
+             .groupBy("__root").agg(F.min(F.struct("__key", "__id")).alias("head")).select("head.*"))
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    kept = docs.select(row, *[c.alias(k) for k, c in key.items()]).join(heads, ["__key", "__id"])
+    again = F.row_number().over(Window.partitionBy("__key", "__id").orderBy("__key"))
+    return kept.withColumn("place", again).where("place = 1").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
