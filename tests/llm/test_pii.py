@@ -130,3 +130,29 @@ def test_odd_rows(spark):
 def test_plan_is_native(spark):
     plan = pii.replace(edge_docs(spark), KEY)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_surrogate_numbers_are_nobodys(spark):
+    """Every third number of a dense range is in the corpus: no surrogate is
+    one of them, and all are different."""
+    real = [f"{100 + k // 100:03d}-{k % 100:02d}-{(k * 37) % 10000:04d}" for k in range(0, 3000, 3)]
+    phones = [f"+1 555 {k:03d} 12" for k in range(0, 1000, 2)]
+    df = spark.createDataFrame([(t,) for t in real + phones], "text string")
+    rows = pii.replace(df.withColumn("raw", F.col("text")), KEY).collect()
+    made = [r["text"] for r in rows]
+    assert len(set(made)) == len(made) and not set(made) & set(real + phones)
+    assert all(r["text"].startswith("+1 ") for r in rows if r["raw"].startswith("+"))
+
+
+def test_addresses_of_hosts_stay_hosts(spark):
+    hosts = [f"{a}.{b}.{(a * b) % 256}.{(a + 7 * b) % 256}" for a in range(1, 224) if a != 127 for b in (0, 77, 255)]
+    other = ["0.1.2.3", "127.0.0.1", "224.0.0.251", "255.255.255.255"]
+    rows = spark.createDataFrame([(v,) for v in hosts + other], "v string").select(
+        "v", pii._ip(F.col("v"), KEY, F.lit(0)).alias("made")).collect()
+    made = {r["v"]: r["made"] for r in rows}
+    assert len(set(made.values())) == len(made)
+    first = {v: int(m.split(".")[0]) for v, m in made.items()}
+    assert all(1 <= first[v] <= 223 and first[v] != 127 for v in hosts)
+    assert all(first[v] == int(v.split(".")[0]) for v in other)
+    assert len({first[v] for v in hosts}) > 150
+    assert all(0 <= int(x) <= 255 for m in made.values() for x in m.split("."))

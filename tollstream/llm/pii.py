@@ -10,13 +10,15 @@ written (its normal form decides); different values get different ones:
 * Numbers go through a keyed Feistel permutation of their digits, put back
   into the digit places of the original, so format and length stay and no two
   numbers of a kind and length can meet. Card numbers keep whether their check
-  digit is right. IPv4 addresses are permuted as 32 bits.
+  digit is right, phone numbers the first digit of a country code. IPv4
+  addresses of single hosts stay such.
 * E-mail addresses, secrets and names are drawn by a keyed hash: an address
   under a reserved domain, characters of the same classes, a given name of
-  the same gender and script with a surname of that script. Draws may collide,
-  so the distinct values of the corpus are counted by their surrogate; where
-  several meet, or a surrogate is itself a value of the corpus, all but the
-  first are drawn again until none do. The draws' numbers (0 for nearly all)
+  the same gender and script with a surname of that script.
+* A surrogate may meet another's, or be a real value of the corpus (somebody
+  else's number). So the distinct values of the corpus, of every kind, are
+  counted by their surrogate; where several meet, or it is itself a value of
+  the corpus, all but the first are drawn again until none do. The draws' numbers (0 for nearly all)
   are what a text's surrogates depend on besides its own values.
 
 Within a text, a title with a surname and a surname alone follow the first
@@ -77,7 +79,6 @@ PATTERNS = {
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Texts that can hold any of them, found much faster.
 MAY = rf"[\d@]|[A-Fa-f]{{32}}|sk-|ghp_|AKIA|(?={_CAPITAL})(?<!\p{{L}})(?:{_ALL_TITLES}|{_ALL_GIVEN})(?!\p{{L}})"
-DRAWN = ("email", "secret", "name")
 ROUNDS = 8
 
 
@@ -124,9 +125,10 @@ def normal_form(kind: Column, value: Column) -> Column:
             .otherwise(F.lower(value)))
 
 
-def permuted_digits(digits: Column, key: str, kind: Column) -> Column:
-    """Keyed permutation of the digit strings of a length (2 to 19): a
-    Feistel network over the two halves."""
+def permuted_digits(digits: Column, key: str, kind: Column, again: Column | None = None) -> Column:
+    """Keyed permutation of the digit strings of a length (2 to 19), another
+    one for each draw number: a Feistel network over the two halves."""
+    again = F.lit(0) if again is None else again
     n = F.length(digits)
     left = F.floor(n / 2).cast("int")
 
@@ -139,7 +141,7 @@ def permuted_digits(digits: Column, key: str, kind: Column) -> Column:
 
         def step(s: Column, i: Column) -> Column:
             width = F.when(i % 2 == 0, left).otherwise(n - left)
-            draw = _int(F.substring(_mac(key, kind, n, i, s["b"]), 1, 14))
+            draw = _int(F.substring(_mac(key, kind, n, i, s["b"], again), 1, 14))
             return F.struct(s["b"].alias("a"), F.pmod(s["a"] + F.pmod(draw, power(width)), power(width)).alias("b"))
 
         end = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), begin, step)
@@ -164,29 +166,49 @@ def _into_places(template: Column, digits: Column) -> Column:
         F.concat(F.substring(digits, i, F.lit(1)), p))))
 
 
-def _number(value: Column, kind: Column, key: str) -> Column:
-    return _into_places(value, permuted_digits(F.regexp_replace(value, r"\D", ""), key, kind))
+def _number(value: Column, kind: Column, key: str, again: Column) -> Column:
+    return _into_places(value, permuted_digits(F.regexp_replace(value, r"\D", ""), key, kind, again))
 
 
-def _card(value: Column, key: str) -> Column:
+def _phone(value: Column, key: str, again: Column) -> Column:
+    """The first digit of a country code stays: none begins with 0, and one
+    written without a gap has no other end."""
+    code = F.regexp_extract(value, r"\A(?:\+\d)?", 0)
+    rest = F.substring(value, F.length(code) + 1, F.lit(1 << 20))
+    return F.concat(code, _number(rest, F.lit("phone"), key, again))
+
+
+def _card(value: Column, key: str, again: Column) -> Column:
     def new(d: Column) -> Column:
         body = F.substring(d, F.lit(1), F.length(d) - 1)
         slip = F.pmod(F.substring(d, F.length(d), F.lit(1)).cast("int") - luhn(body), F.lit(10))
-        return let(permuted_digits(body, key, F.lit("card")),
+        return let(permuted_digits(body, key, F.lit("card"), again),
                    lambda p: F.concat(p, F.pmod(luhn(p) + slip, F.lit(10)).cast("string")))
 
     return _into_places(value, let(F.regexp_replace(value, r"\D", ""), new))
 
 
-def _ip(value: Column, key: str) -> Column:
-    """A permutation of the 32 bits: Feistel over two halves of 16."""
+# First octets of addresses of single hosts: 1 to 223 without 127.
+_HOSTS = 222
+
+
+def _ip(value: Column, key: str, again: Column) -> Column:
+    """A permutation: the last 24 bits by a Feistel network over two halves
+    of 12; the first octet moves among those of single hosts by a keyed step
+    that depends on the others (any other first octet stays)."""
     def run(o: Column) -> Column:
-        begin = F.struct((o[0] * 256 + o[1]).alias("a"), (o[2] * 256 + o[3]).alias("b"))
+        low = o[1] * 65536 + o[2] * 256 + o[3]
+        begin = F.struct(F.floor(low / 4096).alias("a"), (low % 4096).alias("b"))
         end = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), begin, lambda s, i: F.struct(
             s["b"].alias("a"),
-            F.pmod(s["a"] + _int(F.substring(_mac(key, F.lit("ip"), i, s["b"]), 1, 4)), F.lit(65536).cast("long")).alias("b")))
-        return let(end, lambda s: F.concat_ws(".", F.floor(s["a"] / 256).cast("string"), (s["a"] % 256).cast("string"),
-                                              F.floor(s["b"] / 256).cast("string"), (s["b"] % 256).cast("string")))
+            F.pmod(s["a"] + _int(F.substring(_mac(key, F.lit("ip"), i, s["b"], again), 1, 4)), F.lit(4096).cast("long")).alias("b")))
+        step = _int(F.substring(_mac(key, F.lit("ip"), low, again), 1, 8))
+        place = F.pmod(o[0] - 1 - (o[0] > 127).cast("int") + step, F.lit(_HOSTS).cast("long"))
+        host = (o[0] >= 1) & (o[0] <= 223) & (o[0] != 127)
+        first = F.when(host, place + 1 + (place >= 126).cast("int")).otherwise(o[0])
+        return let(end, lambda s: let(s["a"] * 4096 + s["b"], lambda x: F.concat_ws(
+            ".", first.cast("string"), F.floor(x / 65536).cast("string"), F.floor(x % 65536 / 256).cast("string"),
+            (x % 256).cast("string"))))
 
     return let(F.transform(F.split(value, r"\."), lambda x: x.cast("long")), run)
 
@@ -255,8 +277,8 @@ def surrogate(value: Column, key: str, again: Column) -> Column:
     def of(v: Column) -> Column:
         def by_kind(k: Column) -> Column:
             draw = _mac(key, k, normal_form(k, v), again)
-            return (F.when(k == "card", _card(v, key)).when(k.isin("phone", "id"), _number(v, k, key))
-                    .when(k == "ip", _ip(v, key))
+            return (F.when(k == "card", _card(v, key, again)).when(k == "phone", _phone(v, key, again))
+                    .when(k == "id", _number(v, k, key, again)).when(k == "ip", _ip(v, key, again))
                     .otherwise(let(draw, lambda d: F.when(k == "email", _email(v, d)).when(k == "secret", _secret(v, d))
                                    .otherwise(_name(v, d, again)))))
 
@@ -265,19 +287,18 @@ def surrogate(value: Column, key: str, again: Column) -> Column:
     return let(value, of)
 
 
-def _drawn_values(found: DataFrame) -> DataFrame:
-    """The corpus' distinct values of the drawn kinds: kind, normal, value
-    (one spelling)."""
+def _values(found: DataFrame) -> DataFrame:
+    """The corpus' distinct values: kind, normal, value (one spelling)."""
     values = found.select(F.explode("found").alias("value"))
     values = values.select(kind_of(F.col("value")).alias("kind"), "value")
     return (values.select("kind", normal_form(F.col("kind"), F.col("value")).alias("normal"), "value")
-            .where(F.col("kind").isin(*DRAWN)).groupBy("kind", "normal").agg(F.min("value").alias("value")))
+            .groupBy("kind", "normal").agg(F.min("value").alias("value")))
 
 
 def redrawn(found: DataFrame, key: str) -> DataFrame:
     """kind, normal and draw number of the values that must not use draw 0,
     because their surrogate met another's or a value of the corpus."""
-    values = stage(_drawn_values(found).withColumn("again", F.lit(0)), "values")
+    values = stage(_values(found).withColumn("again", F.lit(0)), "values")
     real = values.select("kind", F.col("normal").alias("made"), F.lit(1).alias("real"))
     while True:
         made = values.withColumn("made", normal_form(F.col("kind"), surrogate(F.col("value"), key, F.col("again"))))
