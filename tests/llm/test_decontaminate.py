@@ -189,3 +189,33 @@ def test_tokens_are_those_of_the_pattern(monkeypatch):
         for t, h in zip(flat, read.hashes.tolist()):
             assert by_word.setdefault(t.lower(), h) == h
         assert len(set(by_word.values())) == len(by_word)
+
+
+def test_key_windows_are_in_every_leak(spark):
+    """For each item: any 80 % of the windows, and any run of 13 words, hold
+    a key window; windows of many items are left out where there are others."""
+    import itertools
+    import math
+
+    rows = [(k, 0, 0, i, 1000 * k + i if i > 2 else i, 7, 5, ["w"]) for k in range(20) for i in range(7)]
+    rows += [(99, 0, 0, i, 5000 + i, 40, 5, ["w"]) for i in range(40)]
+    df = spark.createDataFrame([(str(a), *r) for a, *r in rows], decontaminate.ITEMS)
+    keys = decontaminate.key_windows(df, 0.8, 13).collect()
+    by_item = {}
+    for r in keys:
+        by_item.setdefault(r["item_id"], set()).add(r["i_at"])
+    for k in range(20):
+        need = math.ceil(0.8 * 7)
+        assert all(set(c) & by_item[str(k)] for c in itertools.combinations(range(7), need))
+        assert not {0, 1, 2} & by_item[str(k)]
+    assert all(set(range(a, a + 9)) & by_item["99"] for a in range(32))
+    assert len(by_item["99"]) <= 9 + 8
+
+
+def test_a_window_of_all_items(spark):
+    """Items that share most of a template and differ in the rest."""
+    stem = "Here is what everyone who reads this should know about"
+    bench = [(k, f"{stem} {prose(k, 6)}") for k in range(30)]
+    texts = [f"{prose(100 + k, 8)} {bench[k][1]} {prose(200 + k, 8)}" for k in range(10)]
+    texts += [f"{stem} {prose(500 + k, 9)}" for k in range(40)]
+    assert set(found(spark, texts, items(spark, bench))) == {(k, k) for k in range(10)}

@@ -25,7 +25,7 @@ def sequences(seed, n_docs):
 
 def test_shard_round_trip_and_gain():
     docs = sequences(1, 80)
-    data = tokenfiles.write_shard(list(range(80)), docs, min_share=1 / 1000)
+    data = tokenfiles.write_shard(list(range(80)), docs, min_count=4)
     shard = tokenfiles.Shard(data)
     assert shard.all().astype("<u4").tobytes() == b"".join(docs)
     assert [shard.document(k).astype("<u4").tobytes() for k in range(80)] == docs
@@ -47,14 +47,14 @@ def test_pairs_stay_inside_documents():
     ends = np.zeros(12, bool)
     ends[::2] = True  # each pair (1, 2) spans two documents
     ends[-1] = True
-    x, last, _, rules = tokenfiles.compress(ids, ends, min_count=2, least_gain=0.0)
+    x, last, _, rules = tokenfiles.compress(ids, ends, min_count=2, rule_bytes=0, least_gain=0.0)
     assert [1, 2] not in rules.tolist()
     assert last.sum() == ends.sum()
 
 
 def test_window_decodes_any_part():
     docs = sequences(2, 30)
-    shard = tokenfiles.Shard(tokenfiles.write_shard([None, *range(29)], docs, min_share=1 / 1000))
+    shard = tokenfiles.Shard(tokenfiles.write_shard([None, *range(29)], docs, min_count=4))
     rng = random.Random(0)
     for k, raw in enumerate(docs):
         ids = np.frombuffer(raw, "<u4").tolist()
@@ -101,3 +101,66 @@ def test_large_ids_beside_a_null_stay_exact(spark):
     tokenfiles.write_files(docs, folder, WORD)
     got = tokenfiles.read_files(spark, folder).orderBy("start").collect()
     assert [r["doc_id"] for r in got] == [None, big + 1, big + 3]
+
+
+def test_copies_are_factored_in_a_full_shard():
+    """The minimum count does not grow with the shard: 200 copies of a
+    passage of 500 ids among a million others become rules."""
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 49000, 500).astype("<u4").tobytes()
+    docs = [rng.integers(0, 49000, 4750).astype("<u4").tobytes() + passage for _ in range(200)]
+    data = tokenfiles.write_shard(list(range(200)), docs)
+    shard = tokenfiles.Shard(data)
+    assert shard.all().astype("<u4").tobytes() == b"".join(docs)
+    assert len(shard.symbols) <= 200 * (4750 + 5)
+    few = tokenfiles.Shard(tokenfiles.write_shard(list(range(20)), docs[:20]))
+    assert len(few.symbols) <= 20 * (4750 + 5)  # as in a small shard
+
+
+def test_rules_are_those_of_pair_by_pair_replacement():
+    """A round at once is at least as small as Re-Pair that replaces one pair
+    after the other, within a few per cent."""
+    from collections import Counter
+
+    docs = sequences(7, 60)
+    ids = [np.frombuffer(d, "<u4").tolist() for d in docs]
+    rules, fresh = 0, 1000
+    while True:
+        seen = Counter(p for d in ids for p in zip(d, d[1:]))
+        pair, n = max(seen.items(), key=lambda x: (x[1], x[0]), default=((0, 0), 0))
+        if n < 16:
+            break
+        out = []
+        for d in ids:
+            new, k = [], 0
+            while k < len(d):
+                if tuple(d[k:k + 2]) == pair:
+                    new.append(fresh)
+                    k += 2
+                else:
+                    new.append(d[k])
+                    k += 1
+            out.append(new)
+        ids, fresh, rules = out, fresh + 1, rules + 1
+    plain = 3 * sum(map(len, ids)) + 12 * rules
+    flat = np.frombuffer(b"".join(docs), "<u4")
+    ends = np.zeros(len(flat), bool)
+    ends[np.cumsum([len(d) // 4 for d in docs]) - 1] = True
+    x, _, _, made = tokenfiles.compress(flat, ends)
+    assert 3 * len(x) + 12 * len(made) <= 1.1 * plain
+
+
+def test_copies_of_a_row_lie_in_several_ranges(spark):
+    """A third of all rows are one row: no range holds them all, and the ids
+    still follow each other."""
+    folder = scratch_path(spark, "files")
+    docs = spark.range(900).selectExpr("if(id % 3 = 0, 7, id + 1000) AS doc_id", "if(id % 3 = 0, 'a b c', 'd e') AS text")
+    tokenfiles.write_files(docs.repartition(3), folder, WORD, rows_per_range=50)
+    sizes = [len(tokenfiles.Shard(bytes(r["data"])).doc_ids) for r in spark.read.parquet(folder).select("data").collect()]
+    assert sum(sizes) == 900 and max(sizes) < 200
+    got = tokenfiles.read_files(spark, folder).orderBy("start").collect()
+    at = 0
+    for r in got:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    assert [r["doc_id"] for r in got] == sorted(r["doc_id"] for r in got)

@@ -80,10 +80,20 @@ def box_shortlist(low: np.ndarray, high: np.ndarray, entries: np.ndarray) -> np.
 
 def nearest(values: np.ndarray, entries: np.ndarray, few: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index and squared distance of each value's nearest entry out of the
-    shortlist ``few``; ties go to the lower index. 64-bit integers."""
-    apart = np.square(values[:, None, :] - entries[few][None, :, :]).sum(axis=2)
+    shortlist ``few``; ties go to the lower index.
+
+    Integers throughout: as a matrix product of doubles where every sum is
+    below 2^53 and so exact, else of 64-bit integers.
+    """
+    own = entries[few]
+    most = max(int(np.abs(values).max()), int(np.abs(own).max()))
+    if 4 * values.shape[1] * most * most < 1 << 53:
+        v, e = values.astype(np.float64), own.astype(np.float64)
+        apart = (v * v).sum(axis=1)[:, None] - 2 * (v @ e.T) + (e * e).sum(axis=1)
+    else:
+        apart = np.square(values[:, None, :] - own[None, :, :]).sum(axis=2)
     best = apart.argmin(axis=1)
-    return few[best], apart[np.arange(len(values)), best]
+    return few[best], apart[np.arange(len(values)), best].astype(np.int64)
 
 
 def integers(column: str, length: int, dims: int):

@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import frame as as_frame, release_memory, ship, stage, table, text_col
@@ -247,16 +247,16 @@ class Template:
 def _benchmark_windows(frames: Iterator[pd.DataFrame], width: int, least_words: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
-        for item, text in zip(frame["item_id"], frame["__text"]):
+        for item, key, text in zip(frame["item_id"], frame["item_key"], frame["__text"]):
             read = Tokens([text])
             for layer in LAYERS:
                 t = Template(read, layer)
                 n = min(width, len(t))
                 h, good = t.windows(n, least_words)
                 total = int(good.sum())
-                rows += [(item, layer, k, int(h[k].astype(np.int64)), total, n, t.said(k, n))
+                rows += [(item, key, layer, k, int(h[k].astype(np.int64)), total, n, t.said(k, n))
                          for k in np.flatnonzero(good).tolist()]
-        yield as_frame(rows, ["item_id", "layer", "i_at", "hash", "i_windows", "width", "i_said"])
+        yield as_frame(rows, ["item_id", "item_key", "layer", "i_at", "hash", "i_windows", "width", "i_said"])
 
 
 def _blocks(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
@@ -288,6 +288,41 @@ def _document_windows(frames: Iterator[pd.DataFrame], bitmap, bits: int, widths:
         release_memory()
 
 
+def key_windows(items: DataFrame, least_share: float, least_run: int) -> DataFrame:
+    """The windows of the items one of which is in every leak, the rarest
+    ones, so that a window of many items rarely has to be joined.
+
+    A leak has ``least_share`` of an item's windows, so one of any set that
+    leaves fewer of them out; or ``least_run`` words in a row, so all windows
+    of an aligned block of about half as many windows.
+    """
+    shared = items.groupBy("layer", "hash", "width").agg(F.count(F.lit(1)).alias("shared"))
+    known = items.join(shared, ["layer", "hash", "width"])
+    one = ["item_id", "item_key", "layer", "width"]  # an item's text in a layer: at most its words
+    rank = F.row_number().over(Window.partitionBy(*one).orderBy("shared", "i_at"))
+    run = F.greatest(F.lit(1), F.lit(least_run) - F.col("width") + 1)
+    block = F.floor(F.col("i_at") / F.floor((run + 1) / 2))
+    first = F.row_number().over(Window.partitionBy(*one, "__block").orderBy("shared", "i_at"))
+    left_out = F.greatest(F.ceil(F.lit(least_share) * F.col("i_windows")) - 1, F.lit(0))
+    return (known.withColumn("__block", block).withColumn("__rank", rank).withColumn("__first", first)
+            .where((F.col("__rank") <= F.col("i_windows") - left_out) | (F.col("__first") == 1))
+            .select("layer", "hash", "width", "item_id", "item_key", "i_at"))
+
+
+def _met(hits: DataFrame, items: DataFrame, keys: DataFrame) -> DataFrame:
+    """All windows that a document and an item have on a diagonal (document
+    position minus item position) on which they share a key window."""
+    found = hits.join(keys, ["layer", "hash", "width"])
+    pair = ["doc_id", "text_key", "item_id", "item_key", "layer", "width"]
+    likely = found.select(*pair, (F.col("d_at") - F.col("i_at")).alias("diagonal")).distinct()
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"i.{c}")) for c in ("item_id", "item_key", "layer", "width")]
+    wanted = likely.alias("l").join(items.alias("i"), same).select(
+        *[f"l.{c}" for c in pair], "diagonal", "i_at", "hash", "i_windows", "i_said",
+        (F.col("diagonal") + F.col("i_at")).alias("d_at"))
+    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"h.{c}")) for c in ("doc_id", "text_key", "layer", "width", "d_at", "hash")]
+    return wanted.alias("w").join(hits.alias("h"), same).select("w.*", "h.d_said")
+
+
 def _bitmap_bits(windows: int) -> int:
     """1024 bits a window or up to twice that, from 8 KB to 16 MB: below 100 000
     windows a document window hits by chance once in 1000 times at most."""
@@ -337,6 +372,7 @@ def _checked(frames: Iterator[pd.DataFrame], least_share: float, least_run: int)
 
 # Ids go to Python and back as text: with a null beside them, numbers would
 # turn into floats.
+ITEMS = "item_id string, item_key long, layer int, i_at int, hash long, i_windows int, width int, i_said array<string>"
 LEAKS = "doc_id string, text_key long, item_id string, n_windows int, share double, run int, changed boolean"
 
 
@@ -351,10 +387,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least_share
     marks a question with other numbers or names."""
     spark = docs.sparkSession
     ship(spark)
-    items = stage(benchmark.select(_as_text("item_id"), text_col().alias("__text"))
-                  .mapInPandas(lambda it: _benchmark_windows(it, width, least_words),
-                               "item_id string, layer int, i_at int, hash long, i_windows int, width int, i_said array<string>"),
-                  "benchmark")
+    texts = benchmark.select(_as_text("item_id"), text_col().alias("__text")).withColumn("item_key", F.xxhash64("__text"))
+    items = stage(texts.mapInPandas(lambda it: _benchmark_windows(it, width, least_words), ITEMS), "benchmark")
     # widths 1 to ``width`` of each layer
     counts = items.groupBy("layer", "width").count().collect()
     widths = sorted((r["layer"], r["width"]) for r in counts)
@@ -364,9 +398,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least_share
     hits = (texts.withColumn("text_key", F.xxhash64("__text"))
             .mapInPandas(lambda it: _document_windows(it, bitmap, bits, widths, width, least_words),
                          "doc_id string, text_key long, layer int, d_at int, hash long, width int, d_said array<string>"))
-    met = hits.join(items, ["layer", "hash", "width"])
-    groups = (met.groupBy("doc_id", "text_key", "item_id", "layer",
-                          (F.col("d_at") - F.col("i_at")).alias("diagonal"), "width", "i_windows")
+    hits = stage(hits, "hits")
+    met = _met(hits, items, key_windows(items, least_share, least_run))
+    groups = (met.groupBy("doc_id", "text_key", "item_id", "item_key", "layer", "diagonal", "width", "i_windows")
               .agg(F.collect_set(F.struct("i_at", "i_said", "d_said")).alias("found")))
     checked = groups.select("doc_id", "text_key", "item_id", "width", "i_windows", "found").mapInPandas(
         lambda it: _checked(it, least_share, least_run), LEAKS)

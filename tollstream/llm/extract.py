@@ -322,7 +322,8 @@ def main_text(html: str | None, threshold: float = 0.2) -> str:
 
 
 def with_main_text(pages: DataFrame, html: str = "html", column: str = "text") -> DataFrame:
-    """The pages, all columns, and the main text of ``html``."""
+    """The pages, all columns, and the main text of ``html``; a column of the
+    name ``column`` is replaced."""
     ship(pages.sparkSession)
 
     @F.pandas_udf("string")

@@ -86,7 +86,8 @@ def with_next(docs: DataFrame, key: str, carried: list[str], rows_per_range: int
               most_ranges: int = 1 << 16) -> DataFrame:
     """``docs`` with a struct ``__next`` of the columns ``carried`` of the
     next row in ascending ``key`` (the first row's, after the last). Rows
-    without a key have no place in the order and a null ``__next``.
+    without a key have no place in the order and a null ``__next``. Columns
+    ``__next``, ``__range``, ``__copies`` and ``__spread`` are this function's.
 
     One shuffle, by ranges of the key: their limits are quantiles, and actual
     keys, so the row that begins a range is known before the shuffle and also

@@ -18,8 +18,9 @@ over salted parts (shared.ranked), so a length that a third of all pieces
 share is no single task's work.
 
 Defined cases: null or empty text: the end id alone, one piece of length 1;
-null ids and repeated rows are packed like others; no rows: no rows; only
-``doc_id`` and ``text`` are read.
+null ids and repeated rows are packed like others; ids are longs, or text
+that is one (other ids are an error); no rows: no rows; only ``doc_id`` and
+``text`` are read.
 """
 
 from __future__ import annotations

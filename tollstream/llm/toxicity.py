@@ -224,7 +224,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", exceptions: tu
 
 
 def score(docs: DataFrame, lexicon: Lexicon, column: str = "score") -> DataFrame:
-    """The documents, all columns, and the score of their text."""
+    """The documents, all columns, and the score of their text; a column of
+    the name ``column`` is replaced."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
