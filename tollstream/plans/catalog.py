@@ -25,7 +25,7 @@ from ..operators.vehicle import flag_new_segment, keep_first_segment
 from ..schema import ORDER_COL
 from ..session import scratch_path, stage_table
 from ..sources.events import (TIME_ORIGIN, load_lines, load_reports, load_table, once_per_session, report_lines,
-                              reports_from_events, staged_lines)
+                              reports_from_events, staged_lines, staged_reports)
 from ..sources.json_value import json_value_text
 from ..sources.kafka import drop_redelivered
 from ..sources.text import read_lines, write_lines
@@ -110,13 +110,13 @@ def q_event_time(spark, sf_dir):
 
 def q_passthrough_stamped(spark, sf_dir):
     # The fixed clock needs `time`: field 1 of the line itself.
-    lines = load_lines(spark, sf_dir)
+    lines = staged_lines(spark, sf_dir)
     lines = lines.withColumn("time", F.get(F.split("value", ","), 1).cast("smallint"))
     return passthrough_stamped(lines, clock=_fixed_clock()).select(ORDER_COL, "stamp", "value", "text")
 
 
 def q_passthrough_text(spark, sf_dir):
-    return passthrough_text(load_lines(spark, sf_dir))
+    return passthrough_text(staged_lines(spark, sf_dir))
 
 
 def q_toll_formula(spark, sf_dir):
@@ -138,17 +138,17 @@ def q_non_exit_reports(spark, sf_dir):
 
 
 def q_vehicle_new_segment(spark, sf_dir):
-    r = position_reports(load_reports(spark, sf_dir))
+    r = position_reports(staged_reports(spark, sf_dir))
     return flag_new_segment(r).select(ORDER_COL, "vid", "seg", "in_new_seg")
 
 
 def q_vehicle_same_segment(spark, sf_dir):
-    r = position_reports(load_reports(spark, sf_dir))
+    r = position_reports(staged_reports(spark, sf_dir))
     return keep_first_segment(r).select(ORDER_COL, "vid", "seg")
 
 
 def _segment_stats(spark, sf_dir):
-    return segment_minute_stats(with_minute(position_reports(load_reports(spark, sf_dir))))
+    return segment_minute_stats(with_minute(position_reports(staged_reports(spark, sf_dir))))
 
 
 def q_segment_minute_stats(spark, sf_dir):
@@ -164,16 +164,16 @@ def q_segment_car_count(spark, sf_dir):
 
 
 def q_reports_with_stats(spark, sf_dir):
-    return keyed_enriched(load_reports(spark, sf_dir)).select(
+    return keyed_enriched(staged_reports(spark, sf_dir)).select(
         ORDER_COL, "vid", "xway", "dir", "seg", "minute", "lav", "num_vehicles")
 
 
 def q_global_minute_stats(spark, sf_dir):
-    return global_stats(load_reports(spark, sf_dir))
+    return global_stats(staged_reports(spark, sf_dir))
 
 
 def q_global_lav(spark, sf_dir):
-    return global_lav(stage_table(position_reports(load_reports(spark, sf_dir)), "parsed-reports"))
+    return global_lav(position_reports(staged_reports(spark, sf_dir)))
 
 
 def q_toll_notifications_keyed(spark, sf_dir):
@@ -229,7 +229,7 @@ def q_format_toll_global(spark, sf_dir):
 
 
 def q_replay_prefix(spark, sf_dir):
-    return replay_prefix(load_reports(spark, sf_dir), REPLAY_SECOND).select(ORDER_COL, "time", "vid")
+    return replay_prefix(staged_reports(spark, sf_dir), REPLAY_SECOND).select(ORDER_COL, "time", "vid")
 
 
 def q_to_kafka_frame(spark, sf_dir):

@@ -137,12 +137,22 @@ def staged_lines(spark: SparkSession, sf_dir: str, broken: bool = False) -> Data
     ``value`` (validity check, split) would re-evaluate it, JSON parse
     included. A real source delivers them as a column, and so does this.
     """
+    return _staged(spark, ("lines", sf_dir, broken), lambda: load_lines(spark, sf_dir, broken))
+
+
+def staged_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports as a table, written once per session as
+    :func:`staged_lines`: operators that read them more than once would parse
+    the events' JSON each time."""
+    return _staged(spark, ("reports", sf_dir), lambda: load_reports(spark, sf_dir))
+
+
+def _staged(spark: SparkSession, key: tuple, make) -> DataFrame:
     from ..session import scratch_path
 
-    def make() -> DataFrame:
-        path = scratch_path(spark, "staged-lines")
-        lines = load_lines(spark, sf_dir, broken)
-        n = task_slots(spark)
-        lines.repartitionByRange(n, ORDER_COL).write.parquet(path)
-        return spark.read.parquet(path)
-    return once_per_session(spark, ("lines", sf_dir, broken), make)
+    def staged() -> DataFrame:
+        path = scratch_path(spark, f"staged-{key[0]}")
+        made = make()
+        made.repartitionByRange(task_slots(spark), ORDER_COL).write.parquet(path)
+        return spark.read.schema(made.schema).parquet(path)
+    return once_per_session(spark, key, staged)
