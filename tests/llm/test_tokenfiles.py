@@ -112,9 +112,9 @@ def test_copies_are_factored_in_a_full_shard():
     data = tokenfiles.write_shard(list(range(200)), docs)
     shard = tokenfiles.Shard(data)
     assert shard.all().astype("<u4").tobytes() == b"".join(docs)
-    assert len(shard.symbols) <= 200 * (4750 + 16)  # the passage is 16 symbols at most
+    assert len(shard.symbols) <= 200 * (4750 + 64)  # the passage is 64 symbols at most
     few = tokenfiles.Shard(tokenfiles.write_shard(list(range(20)), docs[:20]))
-    assert len(few.symbols) <= 20 * (4750 + 16)  # as in a small shard
+    assert len(few.symbols) <= 20 * (4750 + 64)  # as in a small shard
 
 
 def test_rules_are_those_of_pair_by_pair_replacement():

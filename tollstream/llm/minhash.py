@@ -18,7 +18,7 @@ wanted similarity falls short of with a probability of at most ``MISS``.
   descending collisions, until everything is connected or checked.
 
 Scale: a list of over ``LIST_ROWS`` classes, and a candidate group of over
-``SET_ROWS`` shingles, is cut into blocks, and every pair of blocks is a task
+``LIST_ROWS`` classes or ``SET_ROWS`` shingles, is cut into blocks, and every pair of blocks is a task
 of its own: no task grows with a hot list, no pair is lost. Lists give a
 spanning forest of their candidates and groups one of their links, never all
 pairs. The driver sees row counts only.
@@ -242,9 +242,9 @@ def confirmed(docs: DataFrame, classes: DataFrame, edges: DataFrame, words: int,
     below = components(edges)  # without the roots themselves
     groups = stage(below.unionByName(below.select(F.col("root").alias("node"), "root").distinct()), "groups")
     total = groups.join(classes.select("c", "n"), groups["node"] == F.col("c")).groupBy("root").agg(
-        F.sum("n").alias("total"))
+        F.greatest(F.ceil(F.sum("n") / SET_ROWS), F.ceil(F.count(F.lit(1)) / LIST_ROWS)).alias("cuts"))
     chosen = stage(groups.join(classes, groups["node"] == F.col("c")).join(total, "root")
-                   .select("root", "total", "c", "at.doc_id", "at.hash"), "members")
+                   .select("root", "cuts", "c", "at.doc_id", "at.hash"), "members")
     few = chosen.count()
     side = chosen.select("c", F.col("doc_id").alias("id"), F.col("hash").alias("h"))
     side = F.broadcast(side) if few <= BROADCAST_ROWS else side
@@ -258,9 +258,9 @@ def confirmed(docs: DataFrame, classes: DataFrame, edges: DataFrame, words: int,
         release_memory()
         return out
 
-    full = (texts.select("c", sets("text").alias("set")).join(chosen.select("root", "total", "c"), "c")
+    full = (texts.select("c", sets("text").alias("set")).join(chosen.select("root", "cuts", "c"), "c")
             .join(classes.select("c", "sig"), "c"))
-    grouped = _in_blocks(full, "root", F.ceil(F.col("total") / SET_ROWS), ["sig", "set"])
+    grouped = _in_blocks(full, "root", F.col("cuts"), ["sig", "set"])
     return grouped.mapInPandas(lambda it: _confirmed(it, coords, t, percent), "a long, b long").distinct()
 
 
